@@ -38,13 +38,18 @@ def usable_pairs(
     return keep_plausible_reading_times(drop_ties(df), minimum, maximum)
 
 
-def filter_statistics(
-    df: DataFrame, minimum: float = MIN_READING_TIME_S, maximum: float = MAX_READING_TIME_S
-) -> DataFrame:
-    """One row of counts from one pass; time counts refer to rows that are no tie."""
+def is_usable(minimum: float = MIN_READING_TIME_S, maximum: float = MAX_READING_TIME_S) -> Column:
+    """Condition of ``usable_pairs`` for use inside an aggregation; never null."""
+    return F.coalesce(F.col("is_tie") == 0, F.lit(False)) & ~(_too_fast(minimum) | _too_slow(maximum))
+
+
+def filter_counts(
+    minimum: float = MIN_READING_TIME_S, maximum: float = MAX_READING_TIME_S
+) -> list[Column]:
+    """Aggregates of one pass over raw rows; time counts refer to rows that are no tie."""
     kept = F.coalesce(F.col("is_tie") == 0, F.lit(False))
     fast, slow = _too_fast(minimum), _too_slow(maximum)
-    return df.agg(
+    return [
         F.count("*").alias("total_rows"),
         F.count_if(F.col("is_tie") == 1).alias("ties_removed"),
         F.count_if(F.col("is_tie").isNull()).alias("tie_unknown"),
@@ -52,4 +57,11 @@ def filter_statistics(
         F.count_if(kept & fast).alias("too_fast"),
         F.count_if(kept & slow).alias("too_slow"),
         F.count_if(kept & ~(fast | slow)).alias("usable_pairs"),
-    )
+    ]
+
+
+def filter_statistics(
+    df: DataFrame, minimum: float = MIN_READING_TIME_S, maximum: float = MAX_READING_TIME_S
+) -> DataFrame:
+    """One row: what the filters remove and what they leave."""
+    return df.agg(*filter_counts(minimum, maximum))

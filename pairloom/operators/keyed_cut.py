@@ -9,6 +9,10 @@ split a stratum into 4,096).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +27,19 @@ DIGITS = 3
 COPIES_PER_CHUNK = 65_536
 
 
+@contextmanager
+def held(keyed: DataFrame) -> Iterator[DataFrame]:
+    """The strata and keys, kept while the histogram and the cut keys are taken from them.
+
+    Two short columns per row; partitions of a lost executor are computed again.
+    """
+    narrow = keyed.select(STRATUM, KEY).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield narrow
+    finally:
+        narrow.unpersist()
+
+
 def key_histogram(keyed: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Rows per (stratum, bucket), written once because several steps read it."""
     buckets = keyed.select(STRATUM, key_bucket(F.col(KEY), digits).alias(BUCKET))
@@ -139,7 +156,7 @@ def proportional_quotas(histogram: DataFrame, fraction: float) -> tuple[dict, Co
         .withColumn("rest", _remainder(F.col("take"), F.col("rows")))
         .withColumn("left", F.col("take") - F.sum(F.expr("base * strata")).over(everything))
         .withColumn("through", F.sum("strata").over(by_remainder))
-        .withColumn("tied", F.sum("strata").over(Window.partitionBy("rest")))
+        .withColumn("tied", F.sum("strata").over(by_remainder.rangeBetween(0, 0)))
     )
     at_edge = (F.expr("through - tied < left")) & (F.expr("left <= through"))
     totals = shares.agg(

@@ -8,25 +8,31 @@ from pyspark.sql import functions as F
 SKETCH_ACCURACY = 100_000
 
 
-def exact_median(df: DataFrame, column: str, accuracy: int = SKETCH_ACCURACY) -> float | None:
+def median_bracket(value: Column, margin: float = 4.0 / SKETCH_ACCURACY) -> Column:
+    """Aggregate struct(low, high, n): two values around the median from a quantile sketch,
+    whose rank error is n / accuracy, and the number of values. Skips null and NaN."""
+    value = F.when(~F.isnan(value), value)
+    share = [max(0.5 - margin, 0.0), min(0.5 + margin, 1.0)]
+    q = F.percentile_approx(value, share, SKETCH_ACCURACY)
+    return F.struct(q[0].alias("low"), q[1].alias("high"), F.count(value).alias("n"))
+
+
+def exact_median(df: DataFrame, column: str, bracket: tuple | None = None) -> float | None:
     """Interpolated median in two passes, without gathering the column in one task.
 
-    A quantile sketch with rank error n/accuracy brackets the middle; the second pass counts
-    the values below the bracket and orders only the distinct values inside it.
+    The first pass finds a bracket (or takes the given one); the second counts the values below
+    it and orders only the distinct values inside, a few in 100,000 and the copies of its ends.
     """
     values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    margin = 4.0 / accuracy
+    margin = 4.0 / SKETCH_ACCURACY
     while True:
-        bracket = values.agg(
-            F.percentile_approx("v", [max(0.5 - margin, 0.0), min(0.5 + margin, 1.0)], accuracy).alias("q"),
-            F.count("*").alias("n"),
-        ).first()
-        if bracket["n"] == 0:
+        low, high, n = bracket or values.agg(median_bracket(F.col("v"), margin).alias("b")).first()["b"]
+        if n == 0:
             return None
-        found = _middle_values(values, *bracket["q"], bracket["n"])
+        found = _middle_values(values, low, high, n)
         if margin >= 0.5 or None not in found and float("-inf") not in found:
             return sum(found) / 2
-        margin *= 8
+        bracket, margin = None, margin * 8
 
 
 def _middle_values(values: DataFrame, low: float, high: float, n: int) -> tuple[float, float]:

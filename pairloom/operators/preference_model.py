@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairloom.functions.keys import row_key
-from pairloom.functions.text import whitespace_tokens
+from pairloom.functions.text import stripped, whitespace_tokens
 from pairloom.operators.evaluate import category_evaluation
 from pairloom.operators.subsample import fraction_membership
 from pairloom.settings import CURVE_FRACTIONS, PreferenceModelSettings
@@ -26,7 +27,8 @@ def add_text_features(df: DataFrame, text: str, features: str, num_buckets: int)
     """Hashed token counts plus the token count itself, as an array; row-local."""
     tokens, counts = f"_{text}_tokens", f"_{text}_counts"
     hashing = HashingTF(numFeatures=num_buckets, inputCol=tokens, outputCol=counts)
-    with_tokens = df.withColumn(tokens, F.coalesce(whitespace_tokens(F.col(text)), F.array().cast("array<string>")))
+    words = whitespace_tokens(stripped(F.coalesce(text, F.lit(""))))
+    with_tokens = df.withColumn(tokens, words)
     values = F.concat(vector_to_array(F.col(counts)), F.array(F.size(tokens).cast("double")))
     return hashing.transform(with_tokens).withColumn(features, values).drop(tokens, counts)
 
@@ -51,13 +53,29 @@ def _oriented(features: DataFrame, order_key: Column) -> DataFrame:
 
 
 def fit_preferences(
-    features: DataFrame, settings: PreferenceModelSettings = PreferenceModelSettings()
+    features: DataFrame,
+    settings: PreferenceModelSettings = PreferenceModelSettings(),
+    cached: bool = False,
 ) -> LogisticRegressionModel:
-    """Bradley-Terry fit: logistic regression without intercept on feature differences."""
-    fit = LogisticRegression(
-        fitIntercept=False, family="binomial", maxIter=settings.max_iter, regParam=settings.reg_param
+    """Bradley-Terry fit: logistic regression without intercept on feature differences.
+
+    The solver reads its input twice, so it is kept for that time unless it comes from a cache.
+    """
+    regression = LogisticRegression(
+        fitIntercept=False,
+        family="binomial",
+        maxIter=settings.max_iter,
+        tol=settings.tolerance,
+        regParam=settings.reg_param,
     )
-    return fit.fit(_oriented(features, row_key(features, settings.seed)))
+    examples = _oriented(features, row_key(features, settings.seed))
+    if cached:
+        return regression.fit(examples)
+    examples.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return regression.fit(examples)
+    finally:
+        examples.unpersist()
 
 
 def weights_table(model: LogisticRegressionModel, spark) -> DataFrame:
@@ -127,7 +145,7 @@ def learning_curve(
         in_sample = {float(f): F.array_contains("fractions", float(f)) for f in fractions}
         sizes = sampled.agg(*[F.count_if(held).alias(str(f)) for f, held in in_sample.items()]).first()
         models = {
-            f: fit_preferences(sampled.where(held).drop("fractions"), settings)
+            f: fit_preferences(sampled.where(held).drop("fractions"), settings, cached=True)
             for f, held in in_sample.items()
         }
     finally:

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.operators.curate import filter_statistics
-from pairloom.operators.median import exact_median
+from pairloom.operators.curate import filter_counts, is_usable
+from pairloom.operators.median import exact_median, median_bracket
 from pairloom.settings import CurationSettings
 
 
@@ -52,19 +52,31 @@ def median_reading_time(usable: DataFrame) -> DataFrame:
     return usable.sparkSession.range(1).select(value.alias("median_reading_time_s"))
 
 
-def _counts_map(of_split: str | None) -> Column:
-    """Map category -> rows, largest first, from rows of ``category_counts``."""
-    chosen = F.col("split").isNull() if of_split is None else F.col("split") == of_split
-    entries = F.collect_list(
-        F.when(chosen, F.struct((-F.col("n")).alias("descending"), F.col("prompt_category").alias("category")))
-    )
+def _counts_map(chosen: Column) -> Column:
+    """Map category -> rows, largest first, from the chosen rows of grouped counts."""
+    entry = F.struct((-F.col("n")).alias("descending"), F.col("prompt_category").alias("category"))
+    entries = F.collect_list(F.when(chosen & F.col("prompt_category").isNotNull(), entry))
     return F.map_from_entries(
         F.transform(F.array_sort(entries), lambda e: F.struct(e["category"], -e["descending"]))
     )
 
 
-def _one_row(df: DataFrame) -> Column:
-    return df.select(F.struct("*")).scalar()
+def _split_summary(labelled: DataFrame) -> DataFrame:
+    """One row of pairs, distinct prompts and category maps per split, from one pass."""
+    sets = [["split", "prompt_category"], ["prompt_category"], ["split", "prompt_id"]]
+    grouped = labelled.groupingSets(sets, "split", "prompt_category", "prompt_id").agg(
+        F.count("*").alias("n"), F.grouping_id().alias("set")
+    )
+    by_category, total, by_prompt = (F.col("set") == bits for bits in (0b001, 0b101, 0b010))
+    parts = []
+    for name in ("train", "val"):
+        here = F.col("split") == name
+        parts += [
+            F.coalesce(F.sum(F.when(by_category & here, F.col("n"))), F.lit(0)).alias(f"{name}_pairs"),
+            F.count_if(by_prompt & here).alias(f"{name}_prompts"),
+            _counts_map(by_category & here).alias(f"{name}_categories"),
+        ]
+    return grouped.agg(*parts, _counts_map(total).alias("categories"))
 
 
 def metadata_report(
@@ -75,47 +87,50 @@ def metadata_report(
 ) -> DataFrame:
     """One row that describes a run of the curation: sizes, removals, categories, means.
 
-    The count maps hold one entry per category, as the report prints them all.
+    One pass over the raw rows gives the counts, the means and a bracket for the median, a
+    second the median, and one over the labelled rows all that depends on the split. The count
+    maps hold one entry per category, as the report lists them all.
     """
-    sizes = view_sizes(labelled).agg(
-        *[
-            F.coalesce(F.max(F.when(F.col("split") == split, F.col(count))), F.lit(0)).alias(f"{split}_{count}")
-            for split in ("train", "val")
-            for count in ("pairs", "prompts")
-        ]
-    )
-    maps = category_counts(labelled).agg(
-        _counts_map(None).alias("categories"),
-        _counts_map("train").alias("train_categories"),
-        _counts_map("val").alias("val_categories"),
-    )
-    median = exact_median(labelled, "reading_time_s")
-    parts = (
-        filter_statistics(raw, settings.min_reading_time, settings.max_reading_time)
-        .withColumn("sizes", _one_row(sizes))
-        .withColumn("maps", _one_row(maps))
-        .withColumn("means", _one_row(token_means(labelled)))
-    )
-    return parts.select(
+    bounds = settings.min_reading_time, settings.max_reading_time
+    usable = is_usable(*bounds)
+
+    def of_usable(column: str) -> Column:
+        return F.when(usable, F.col(column))
+
+    totals = raw.agg(
+        *filter_counts(*bounds),
+        F.avg(of_usable("chosen_output_tokens")).alias("avg_chosen_tokens"),
+        F.avg(of_usable("rejected_output_tokens")).alias("avg_rejected_tokens"),
+        median_bracket(of_usable("reading_time_s").cast("double")).alias("bracket"),
+    ).first()
+    median = exact_median(raw.where(usable), "reading_time_s", tuple(totals["bracket"]))
+
+    def known(name: str, kind: str = "bigint") -> Column:
+        return F.lit(totals[name]).cast(kind).alias(name)
+
+    sizes = {
+        f"{view}_{split}_{unit}": f"{split}_{rows}"
+        for view, unit, rows in (
+            ("sft", "examples", "pairs"),
+            ("reward", "examples", "pairs"),
+            ("ppo", "prompts", "prompts"),
+        )
+        for split in ("train", "val")
+    }
+    return _split_summary(labelled).select(
         F.array(*[F.lit(f) for f in source_files]).cast("array<string>").alias("source_files"),
         F.lit(len(source_files)).alias("num_source_files"),
-        "total_rows",
+        known("total_rows"),
         F.lit(float(settings.val_fraction)).alias("val_fraction"),
-        "ties_removed",
-        "tie_unknown",
-        "quality_filtered",
-        "too_fast",
-        "too_slow",
-        "usable_pairs",
-        "sizes.train_pairs",
-        "sizes.val_pairs",
-        F.col("sizes.train_pairs").alias("sft_train_examples"),
-        F.col("sizes.val_pairs").alias("sft_val_examples"),
-        F.col("sizes.train_pairs").alias("reward_train_examples"),
-        F.col("sizes.val_pairs").alias("reward_val_examples"),
-        F.col("sizes.train_prompts").alias("ppo_train_prompts"),
-        F.col("sizes.val_prompts").alias("ppo_val_prompts"),
-        "maps.*",
-        "means.*",
+        *[known(c) for c in ("ties_removed", "tie_unknown", "quality_filtered", "too_fast", "too_slow")],
+        known("usable_pairs"),
+        "train_pairs",
+        "val_pairs",
+        *[F.col(source).alias(name) for name, source in sizes.items()],
+        "categories",
+        "train_categories",
+        "val_categories",
+        known("avg_chosen_tokens", "double"),
+        known("avg_rejected_tokens", "double"),
         F.lit(median).cast("double").alias("median_reading_time_s"),
     )

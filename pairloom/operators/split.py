@@ -15,6 +15,7 @@ from pairloom.operators.keyed_cut import (
     KEY,
     STRATUM,
     cut_keys,
+    held,
     key_histogram,
     number_copies,
     proportional_quotas,
@@ -94,20 +95,19 @@ def split_pairs(
     """
     columns = df.columns
     rows = _keyed(df, seed, category, id_column)
-    histogram = key_histogram(rows.select(STRATUM, KEY), digits)
-    totals, quota = proportional_quotas(histogram, val_fraction)
-    decision = _decide(totals, val_fraction)
-    if decision.val_size == 0:
-        labelled = rows.withColumn("split", F.lit("train"))
-        return labelled.select(*columns, F.col(KEY).alias("row_key"), "split")
-    fits = fits_broadcast(totals["strata"], totals["bytes"])
-    if not decision.stratified and category is not None:
-        rows = rows.withColumn(STRATUM, F.lit(""))
-        histogram = cut_lineage(
-            histogram.groupBy(F.lit("").alias(STRATUM), BUCKET).agg(F.sum("n").alias("n"))
-        )
-        quota, fits = F.lit(decision.val_size), True
-    cuts = cut_keys(rows.select(STRATUM, KEY), histogram, [quota], fits, digits)
+    with held(rows) as keyed:
+        histogram = key_histogram(keyed, digits)
+        totals, quota = proportional_quotas(histogram, val_fraction)
+        decision = _decide(totals, val_fraction)
+        if decision.val_size == 0:
+            labelled = rows.withColumn("split", F.lit("train"))
+            return labelled.select(*columns, F.col(KEY).alias("row_key"), "split")
+        fits = fits_broadcast(totals["strata"], totals["bytes"])
+        if not decision.stratified and category is not None:
+            rows, keyed = (t.withColumn(STRATUM, F.lit("")) for t in (rows, keyed))
+            merged = histogram.groupBy(F.lit("").alias(STRATUM), BUCKET).agg(F.sum("n").alias("n"))
+            histogram, quota, fits = cut_lineage(merged), F.lit(decision.val_size), True
+        cuts = cut_keys(keyed, histogram, [quota], fits, digits)
     numbered = number_copies(rows, cuts, fits)
     bounds = broadcast_if(cuts.select(STRATUM, "cut_key", "copies_in"), fits)
     in_val = within(F.col(KEY), F.col(COPY), F.col("cut_key"), F.col("copies_in"))

@@ -14,6 +14,7 @@ from pairloom.operators.keyed_cut import (
     KEY,
     STRATUM,
     cut_keys,
+    held,
     key_histogram,
     number_copies,
     strata_fit_broadcast,
@@ -48,20 +49,20 @@ def fraction_membership(
     rows = df.withColumn(KEY, row_key(df, seed, id_column)).withColumn(STRATUM, stratum_key(F.col(category)))
     if not partial:
         return df.withColumn("fractions", whole_array)
-    keyed = rows.where(F.col(category).isNotNull()).select(STRATUM, KEY)
-    histogram = key_histogram(keyed, digits)
-    fits = strata_fit_broadcast(histogram)
-    cuts = cut_keys(keyed, histogram, [_sample_size(f) for f in partial], fits, digits)
+    with held(rows.where(F.col(category).isNotNull())) as keyed:
+        histogram = key_histogram(keyed, digits)
+        fits = strata_fit_broadcast(histogram)
+        cuts = cut_keys(keyed, histogram, [_sample_size(f) for f in partial], fits, digits)
     numbered = number_copies(rows, cuts, fits)
     fraction_of = F.element_at(F.array(*[F.lit(f) for f in partial]), F.col("cut_no") + 1)
     bounds = cuts.groupBy(STRATUM).agg(
         F.collect_list(F.struct(fraction_of.alias("fraction"), "cut_key", "copies_in")).alias("cuts")
     )
-    held = F.transform(
+    sampled = F.transform(
         F.filter("cuts", lambda c: within(F.col(KEY), F.col(COPY), c["cut_key"], c["copies_in"])),
         lambda c: c["fraction"],
     )
-    chosen = F.concat(F.coalesce(held, F.expr("array()").cast("array<double>")), whole_array)
+    chosen = F.concat(F.coalesce(sampled, F.expr("array()").cast("array<double>")), whole_array)
     return numbered.join(broadcast_if(bounds, fits), STRATUM, "left").select(
         *columns, chosen.alias("fractions")
     )

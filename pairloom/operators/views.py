@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.functions.text import ChatTemplate, chat_format
+from pairloom.functions.text import ChatTemplate, chat_format, stripped, whitespace_tokens
 
 
 def supervised_view(labelled: DataFrame) -> DataFrame:
@@ -48,6 +48,23 @@ def format_chats(view: DataFrame, template: ChatTemplate = ChatTemplate(), colum
     return view.withColumn(column, chat_format(F.col(column), template))
 
 
+def cap_length(df: DataFrame, column: str, max_tokens: int) -> DataFrame:
+    """Cut a text to its first whitespace tokens, joined by blanks, if it has too many.
+
+    Adds ``<column>_was_truncated``. Tokens are searched once per text and only up to the cap.
+    """
+    tokens, flag = f"_{column}_tokens", f"{column}_was_truncated"
+    found = df.withColumn(tokens, stripped(F.col(column))).withColumn(
+        tokens, whitespace_tokens(F.col(tokens), max_tokens + 1)
+    )
+    capped = F.array_join(F.slice(tokens, 1, max_tokens), " ")
+    return (
+        found.withColumn(flag, F.size(tokens) > max_tokens)
+        .withColumn(column, F.when(F.col(flag), capped).otherwise(F.col(column)))
+        .drop(tokens)
+    )
+
+
 def sample_prompt(labelled: DataFrame) -> DataFrame:
     """A prompt to look at: from 'val' if there is one, otherwise from 'train'."""
     order = F.struct((F.col("split") != "val").alias("later"), F.col("row_key"))

@@ -264,18 +264,11 @@ def scoring_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def length_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def capped(name: str, whole: Column, limit: int) -> list[Column]:
-        return [
-            F.md5(text.cap_tokens(whole, limit)).alias(f"{name}_md5"),
-            text.is_longer_than(whole, limit).alias(f"{name}_was_truncated"),
-        ]
-
-    chosen = text.scoring_text(F.col("prompt"), F.col("chosen"))
-    return _usable(spark, sf_dir).select(
-        "pair_id",
-        *capped("prompt", F.col("prompt"), MAX_PROMPT_TOKENS),
-        *capped("text", chosen, MAX_TEXT_TOKENS),
+    texts = _usable(spark, sf_dir).select(
+        "pair_id", "prompt", text.scoring_text(F.col("prompt"), F.col("chosen")).alias("text")
     )
+    capped = views.cap_length(views.cap_length(texts, "prompt", MAX_PROMPT_TOKENS), "text", MAX_TEXT_TOKENS)
+    return capped.withColumn("prompt", F.md5("prompt")).withColumn("text", F.md5("text"))
 
 
 # Splits and samples

@@ -374,9 +374,9 @@ WHERE NOT coalesce(reading_time_s < 2 OR reading_time_s > 600, FALSE)""",
     ),
     "length_cap": _with(
         USABLE,
-        f"""SELECT pair_id, md5({_capped("prompt", 512)}) AS prompt_md5,
+        f"""SELECT pair_id, md5({_capped("prompt", 512)}) AS prompt,
   len({_tokens("prompt")}) > 512 AS prompt_was_truncated,
-  md5({_capped("(prompt || chosen)", 1024)}) AS text_md5,
+  md5({_capped("(prompt || chosen)", 1024)}) AS text,
   len({_tokens("(prompt || chosen)")}) > 1024 AS text_was_truncated FROM usable""",
     ),
     "split_stratified": _with(LABELLED, "SELECT pair_id, prompt_category, split FROM labelled"),

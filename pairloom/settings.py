@@ -92,6 +92,7 @@ class PreferenceModelSettings:
     """Parameters of the linear preference model."""
 
     num_buckets: int = 64
-    max_iter: int = 100
+    max_iter: int = 50
+    tolerance: float = 1e-5
     reg_param: float = 1e-3
     seed: int = SEED
