@@ -23,9 +23,28 @@ class LearningCurve:
     table: DataFrame
     power: DataFrame
 
-    def write(self, folder: str) -> None:
-        write_metrics(self.results, f"{folder}/learning_curve")
-        write_metrics(self.power, f"{folder}/power_analysis")
+    def record(self) -> DataFrame:
+        """One row: a list of results per fraction and the power report of the last fit."""
+        overall, per_category = F.col("is_total"), ~F.col("is_total") & F.col("category").isNotNull()
+        entry = F.struct("category", F.struct("accuracy", F.col("pairs").alias("count")))
+        fractions = self.results.groupBy("fraction", "train_pairs").agg(
+            F.max(F.when(overall, F.col("accuracy"))).alias("overall_accuracy"),
+            F.max(F.when(overall, F.col("mean_margin"))).alias("mean_margin"),
+            F.map_from_entries(F.array_sort(F.collect_list(F.when(per_category, entry)))).alias("per_category"),
+        )
+        sizes = F.struct("target", "target_label", "val_pairs_needed", "total_pairs_needed")
+        power = self.power.groupBy("observed_accuracy", "val_size", "ci_low", "ci_high").agg(
+            F.array_sort(F.collect_list(sizes)).alias("sample_sizes")
+        )
+        in_order = F.array_sort(
+            F.collect_list(F.struct("*")),
+            lambda a, b: F.when(a["fraction"] < b["fraction"], -1).otherwise(1),
+        )
+        listed = fractions.agg(in_order.alias("learning_curve"))
+        return listed.select("*", power.select(F.struct("*")).scalar().alias("power_analysis"))
+
+    def write(self, path: str) -> None:
+        write_metrics(self.record(), path)
 
 
 def run_learning_curve(
