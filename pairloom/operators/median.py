@@ -5,44 +5,69 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SKETCH_ACCURACY = 100_000
+SKETCH_ACCURACY = 20_000
+MARGIN = 4.0 / SKETCH_ACCURACY
+ORDERED_IN_ONE_TASK = 5_000_000
 
 
-def median_bracket(value: Column, margin: float = 4.0 / SKETCH_ACCURACY) -> Column:
-    """Aggregate struct(low, high, n): two values around the median from a quantile sketch,
-    whose rank error is n / accuracy, and the number of values. Skips null and NaN."""
+def bracket_around(value: Column, shares: tuple[float, float]) -> Column:
+    """Aggregate struct(low, high, n): sketched quantiles at two shares, and the count.
+
+    The rank error of the sketch is n / accuracy. Null and NaN are skipped.
+    """
     value = F.when(~F.isnan(value), value)
-    share = [max(0.5 - margin, 0.0), min(0.5 + margin, 1.0)]
-    q = F.percentile_approx(value, share, SKETCH_ACCURACY)
+    q = F.percentile_approx(value, [min(max(s, 0.0), 1.0) for s in shares], SKETCH_ACCURACY)
     return F.struct(q[0].alias("low"), q[1].alias("high"), F.count(value).alias("n"))
 
 
+def median_bracket(value: Column) -> Column:
+    return bracket_around(value, (0.5 - MARGIN, 0.5 + MARGIN))
+
+
 def exact_median(df: DataFrame, column: str, bracket: tuple | None = None) -> float | None:
-    """Interpolated median in two passes, without gathering the column in one task.
+    """Interpolated median without gathering the column in one task.
 
-    The first pass finds a bracket (or takes the given one); the second counts the values below
-    it and orders only the distinct values inside, a few in 100,000 and the copies of its ends.
+    A sketch brackets the middle (``bracket`` takes one from an earlier pass), and the next pass
+    orders the distinct values inside the bracket. While the bracket holds too many rows it is
+    narrowed by a sketch of its own rows; should it miss the middle, it is widened.
     """
     values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    margin = 4.0 / SKETCH_ACCURACY
+    margin = MARGIN
+    low, high, n = bracket or values.agg(median_bracket(F.col("v")).alias("b")).first()["b"]
+    if n == 0:
+        return None
+    ranks = ((n + 1) // 2, n // 2 + 1)
     while True:
-        low, high, n = bracket or values.agg(median_bracket(F.col("v"), margin).alias("b")).first()["b"]
-        if n == 0:
-            return None
-        found = _middle_values(values, low, high, n)
+        if n * margin * 4 > ORDERED_IN_ONE_TASK:
+            low, high = _narrowed(values, low, high, ranks)
+        found = _values_at(values, low, high, ranks)
         if margin >= 0.5 or None not in found and float("-inf") not in found:
             return sum(found) / 2
-        bracket, margin = None, margin * 8
+        margin *= 8
+        shares = (0.5 - margin, 0.5 + margin)
+        low, high, _ = values.agg(bracket_around(F.col("v"), shares).alias("b")).first()["b"]
 
 
-def _middle_values(values: DataFrame, low: float, high: float, n: int) -> tuple[float, float]:
-    """The two middle values; values below the bracket count as one value of -infinity."""
+def _narrowed(values: DataFrame, low: float, high: float, ranks: tuple[int, int]) -> tuple[float, float]:
+    """Shrink a bracket that holds the ranks until few rows or one value are left in it."""
+    while low < high:
+        within = (F.col("v") >= low) & (F.col("v") <= high)
+        row = values.agg(F.count_if(F.col("v") < low).alias("below"), F.count_if(within).alias("inside")).first()
+        below, inside = row["below"], row["inside"]
+        if inside <= ORDERED_IN_ONE_TASK or ranks[0] <= below or ranks[1] > below + inside:
+            break
+        shares = tuple((rank - below) / inside + shift for rank, shift in zip(ranks, (-MARGIN, MARGIN)))
+        b = values.where(within).agg(bracket_around(F.col("v"), shares).alias("b")).first()["b"]
+        if (b["low"], b["high"]) == (low, high):
+            break
+        low, high = b["low"], b["high"]
+    return low, high
+
+
+def _values_at(values: DataFrame, low: float, high: float, ranks: tuple[int, int]) -> tuple:
+    """Values at two ranks; all values below the bracket count as one value of -infinity."""
     inside = F.when(F.col("v") < low, F.lit(float("-inf"))).otherwise(F.col("v"))
     counted = values.where(F.col("v") <= high).groupBy(inside.alias("v")).agg(F.count("*").alias("c"))
     in_order = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = counted.withColumn("through", F.sum("c").over(in_order))
-
-    def value_at(rank: int) -> Column:
-        return F.min(F.when(F.col("through") >= rank, F.col("v")))
-
-    return tuple(placed.agg(value_at((n + 1) // 2), value_at(n // 2 + 1)).first())
+    return tuple(placed.agg(*[F.min(F.when(F.col("through") >= r, F.col("v"))) for r in ranks]).first())

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.functions.statistics import perplexity
+from pairloom.session import cut_lineage
 from pairloom.settings import (
     ADVANTAGE_EPSILON,
     BASELINE_KEEP,
@@ -127,47 +128,70 @@ def reward_baseline(steps: DataFrame, keep: float = BASELINE_KEEP) -> DataFrame:
     )
 
 
-def advantages(sequences: DataFrame) -> DataFrame:
+def advantages(sequences: DataFrame, steps: DataFrame | None = None) -> DataFrame:
     """Rewards centred and scaled within their step; a lone sequence is compared to the baseline.
 
     Step moments are aggregated and joined back, so a large step is combined before it moves.
+    ``steps`` takes the result of ``reward_baseline`` where it is at hand.
     """
-    steps = reward_baseline(
-        step_metrics(sequences).select(*STEP, "mean_total_reward", "std_total_reward", "sequences")
-    )
+    if steps is None:
+        steps = reward_baseline(step_metrics(sequences))
+    moments = ["mean_total_reward", "std_total_reward", "sequences", "baseline_before"]
     centred = F.col("total_reward") - F.col("mean_total_reward")
     advantage = F.when(
         F.col("sequences") > 1, centred / (F.col("std_total_reward") + F.lit(ADVANTAGE_EPSILON))
     ).otherwise(F.col("total_reward") - F.col("baseline_before"))
     return (
-        sequences.join(steps.select(*STEP, "mean_total_reward", "std_total_reward", "sequences", "baseline_before"), STEP)
+        sequences.join(steps.select(*STEP, *moments), STEP)
         .withColumn("advantage", advantage)
         .select(*SEQUENCE, "total_reward", "advantage")
     )
 
 
-def clip_fraction(tokens: DataFrame, settings: PolicyRunSettings = PolicyRunSettings()) -> DataFrame:
+def _is_clipped(clip_range: float) -> Column:
+    outside = (_ratio() > 1.0 + clip_range) | (_ratio() < 1.0 - clip_range)
+    return F.col("mask") & outside
+
+
+def _clip_share(n: Column, clipped: Column) -> list[Column]:
+    return [(clipped / _at_least_one(n)).alias("clip_fraction"), n.alias("tokens")]
+
+
+def clip_fraction(updates: DataFrame, settings: PolicyRunSettings = PolicyRunSettings()) -> DataFrame:
     """Share of response tokens per update whose probability ratio leaves the clip range."""
-    outside = (_ratio() > 1.0 + settings.clip_range) | (_ratio() < 1.0 - settings.clip_range)
-    n = F.count_if(F.col("mask"))
-    share = F.count_if(F.col("mask") & outside) / _at_least_one(n)
-    return tokens.groupBy(*STEP, "update_id").agg(share.alias("clip_fraction"), n.alias("tokens"))
+    share = _clip_share(F.count_if(F.col("mask")), F.count_if(_is_clipped(settings.clip_range)))
+    return updates.groupBy(*STEP, "update_id").agg(*share)
+
+
+def update_sums(updates: DataFrame, settings: PolicyRunSettings = PolicyRunSettings()) -> DataFrame:
+    """All token sums that the step metrics need, one row per sequence and update."""
+    return updates.groupBy(*SEQUENCE, "update_id").agg(
+        F.count_if(F.col("mask")).alias("n"),
+        _masked_sum(F.col("old_lp") - F.col("ref_lp")).alias("kl"),
+        _masked_sum(F.least(_ratio(), F.lit(1.0 + settings.clip_range))).alias("capped"),
+        _masked_sum(F.greatest(_ratio(), F.lit(1.0 - settings.clip_range))).alias("floored"),
+        F.count_if(_is_clipped(settings.clip_range)).alias("clipped"),
+    )
 
 
-def surrogate_loss(
-    tokens: DataFrame, advantage: DataFrame, settings: PolicyRunSettings = PolicyRunSettings()
+def sequences_of(
+    sums: DataFrame, rewards: DataFrame, settings: PolicyRunSettings = PolicyRunSettings()
 ) -> DataFrame:
+    """The rows of ``rewarded_sequences`` from update sums; update 0 stands for all."""
+    kl = F.col("kl") / _at_least_one(F.col("n"))
+    sequences = sums.where(F.col("update_id") == 0).select(
+        *SEQUENCE, kl.alias("mean_kl"), F.col("n").alias("response_tokens")
+    )
+    return penalise(sequences.join(rewards, "seq_id"), settings.kl_coefficient)
+
+
+def surrogate_loss(sums: DataFrame, advantage: DataFrame) -> DataFrame:
     """Clipped policy loss per update.
 
     For an advantage A >= 0 a token adds A * min(ratio, 1 + range), otherwise
     A * max(ratio, 1 - range). Both ratio sums are taken per sequence before the advantage
     is joined, so no token row takes part in the join.
     """
-    sums = tokens.groupBy(*SEQUENCE, "update_id").agg(
-        F.count_if(F.col("mask")).alias("n"),
-        _masked_sum(F.least(_ratio(), F.lit(1.0 + settings.clip_range))).alias("capped"),
-        _masked_sum(F.greatest(_ratio(), F.lit(1.0 - settings.clip_range))).alias("floored"),
-    )
     a = F.col("advantage")
     objective = a * F.when(a >= 0, F.col("capped")).otherwise(F.col("floored"))
     return (
@@ -191,17 +215,19 @@ def update_means(loss: DataFrame, clipped: DataFrame) -> DataFrame:
 
 
 def step_history(
-    tokens: DataFrame,
-    updates: DataFrame,
-    rewards: DataFrame,
-    settings: PolicyRunSettings = PolicyRunSettings(),
+    updates: DataFrame, rewards: DataFrame, settings: PolicyRunSettings = PolicyRunSettings()
 ) -> DataFrame:
-    """One row per step with every metric; ``updates`` repeats the tokens per update."""
-    sequences = rewarded_sequences(tokens, rewards, settings)
-    loss = surrogate_loss(updates, advantages(sequences), settings)
-    return step_metrics(sequences).join(
-        update_means(loss, clip_fraction(updates, settings)), STEP
-    )
+    """One row per step with every metric, from one pass over the token log.
+
+    The sums per sequence and update are written to the checkpoint folder, since the step
+    moments, the advantages, the loss and the clip fraction all start from them.
+    """
+    sums = cut_lineage(update_sums(updates, settings))
+    sequences = sequences_of(sums, rewards, settings)
+    steps = cut_lineage(reward_baseline(step_metrics(sequences)))
+    loss = surrogate_loss(sums, advantages(sequences, steps))
+    clipped = sums.groupBy(*STEP, "update_id").agg(*_clip_share(F.sum("n"), F.sum("clipped")))
+    return steps.join(update_means(loss, clipped), STEP)
 
 
 def run_metrics(history: DataFrame, by: Sequence[str] = ("run_id",)) -> DataFrame:

@@ -438,21 +438,13 @@ def _sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _loss(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollout.surrogate_loss(
-        tables.rollout_updates(spark, sf_dir), rollout.advantages(_sequences(spark, sf_dir))
-    )
-
-
-def _clip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollout.clip_fraction(tables.rollout_updates(spark, sf_dir))
+    sums = rollout.update_sums(tables.rollout_updates(spark, sf_dir))
+    sequences = rollout.sequences_of(sums, tables.rollout_rewards(spark, sf_dir))
+    return rollout.surrogate_loss(sums, rollout.advantages(sequences))
 
 
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollout.step_history(
-        tables.rollout_tokens(spark, sf_dir),
-        tables.rollout_updates(spark, sf_dir),
-        tables.rollout_rewards(spark, sf_dir),
-    )
+    return rollout.step_history(tables.rollout_updates(spark, sf_dir), tables.rollout_rewards(spark, sf_dir))
 
 
 @register
@@ -504,7 +496,7 @@ def reward_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def clip_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_clip(spark, sf_dir))
+    return _rounded(rollout.clip_fraction(tables.rollout_updates(spark, sf_dir)))
 
 
 @register
@@ -514,7 +506,7 @@ def surrogate_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def update_means(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(rollout.update_means(_loss(spark, sf_dir), _clip(spark, sf_dir)))
+    return _rounded(_history(spark, sf_dir).select("run_id", "step_id", "policy_loss", "clip_fraction", "updates"))
 
 
 @register

@@ -14,6 +14,7 @@ from pairloom.functions.text import (
     response_mask,
     response_tokens,
 )
+from pairloom.operators import median
 from pairloom.operators.curate import drop_ties, filter_statistics, keep_plausible_reading_times
 from pairloom.operators.median import exact_median
 from pairloom.operators.report import category_counts, metadata_report, view_sizes
@@ -56,6 +57,14 @@ def test_median_recovers_from_a_bad_bracket(spark):
     assert exact_median(df, "v", (1.0, 5.0, 101)) == 51.0
 
 
+def test_median_narrows_a_large_bracket(spark, monkeypatch):
+    monkeypatch.setattr(median, "ORDERED_IN_ONE_TASK", 5)
+    monkeypatch.setattr(median, "MARGIN", 0.2)
+    values = [float((i * 7919) % 1000) for i in range(1000)] + [500.0] * 300
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    assert exact_median(df, "v") == statistics.median(values)
+
+
 def labelled(spark):
     rows = [
         ("train", 1, "p1", "a", "02"),

@@ -78,7 +78,7 @@ def test_loss_clip_and_history_against_python(spark):
     updates = tokens(spark, rows)
     reward_table = spark.createDataFrame(list(rewards.items()), "seq_id long, reward double")
     settings = PolicyRunSettings()
-    history = rollout.step_history(updates.where("update_id = 0"), updates, reward_table, settings)
+    history = rollout.step_history(updates, reward_table, settings)
     got = {r.step_id: r for r in history.collect()}
     baseline = 0.0
     for step in range(3):
