@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.functions.statistics import perplexity
-from pairloom.session import cut_lineage
+from pairloom.session import stored
 from pairloom.settings import (
     ADVANTAGE_EPSILON,
     BASELINE_KEEP,
@@ -219,12 +219,12 @@ def step_history(
 ) -> DataFrame:
     """One row per step with every metric, from one pass over the token log.
 
-    The sums per sequence and update are written to the checkpoint folder, since the step
+    The sums per sequence and update are stored once, since the step
     moments, the advantages, the loss and the clip fraction all start from them.
     """
-    sums = cut_lineage(update_sums(updates, settings))
+    sums = stored(update_sums(updates, settings), "update-sums")
     sequences = sequences_of(sums, rewards, settings)
-    steps = cut_lineage(reward_baseline(step_metrics(sequences)))
+    steps = stored(reward_baseline(step_metrics(sequences)), "steps")
     loss = surrogate_loss(sums, advantages(sequences, steps))
     clipped = sums.groupBy(*STEP, "update_id").agg(*_clip_share(F.sum("n"), F.sum("clipped")))
     return steps.join(update_means(loss, clipped), STEP)

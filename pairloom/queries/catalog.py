@@ -6,7 +6,7 @@ Numbers are rounded to nine digits here, and only here, so that both engines has
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache
+from functools import cache, partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,8 +36,8 @@ REGISTRY: dict[str, Query] = {}
 CATEGORIES = ("de", "en", "es", "fr")
 
 
-def register(query: Query) -> Query:
-    REGISTRY[query.__name__] = query
+def register(query: Query, name: str | None = None) -> Query:
+    REGISTRY[name or query.__name__] = query
     return query
 
 
@@ -160,8 +160,8 @@ def _stage_records(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-@register
-def stage_record_ppo(spark: SparkSession, sf_dir: str) -> DataFrame:
+@partial(register, name="stage_record")
+def stage_record_of_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = _stage_records(spark, sf_dir)["ppo"]
     nested = [F.col(f"eval.{c}").alias(f"eval_{c}") for c in record.schema["eval"].dataType.names]
     return _rounded(record.select(*[c for c in record.columns if c != "eval"], *nested))
@@ -289,7 +289,7 @@ def stratify_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.stratify_decision(_usable(spark, sf_dir))
 
 
-@register
+@partial(register, name="subsample")
 def subsample_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subsample.subsample(_train_half(spark, sf_dir), 0.6).select("pair_id", "prompt_category")
 

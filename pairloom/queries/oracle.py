@@ -278,10 +278,10 @@ RUN_MEANS = ", ".join(
     ]
 )
 
-DIGESTS = ", ".join(f"md5({t}) AS {t}, length({t}) AS {t}_chars" for t in ("prompt", "chosen", "rejected"))
+DIGESTS = ", ".join(f"md5({t}) AS {t}, CAST(length({t}) AS INTEGER) AS {t}_chars" for t in ("prompt", "chosen", "rejected"))
 
 SFT_EVAL = f"""
-SELECT 'sft' AS stage, 3 AS num_epochs, (SELECT count(*) FROM labelled) AS usable_pairs,
+SELECT 'sft' AS stage, CAST(3 AS BIGINT) AS num_epochs, (SELECT count(*) FROM labelled) AS usable_pairs,
   (SELECT count(*) FROM labelled WHERE split = 'val') AS val_pairs,
   {_r("avg(-old_lp) FILTER (WHERE mask)", "loss")}, count(*) AS tokens,
   {_r("exp(least(avg(-old_lp) FILTER (WHERE mask), 20))", "perplexity")}
@@ -312,7 +312,7 @@ FROM pairs""",
   UNION ALL SELECT 'ppo', split, prompt_category, prompt FROM first)
 GROUP BY ALL""",
     ),
-    "stage_record_ppo": _with(
+    "stage_record": _with(
         f"{USABLE}, {ROLLOUT}, {POLICIES}",
         f"""SELECT 'ppo' AS stage, 2 AS num_epochs, 4 AS batch_size, CAST(1e-5 AS DOUBLE) AS learning_rate,
   CAST(0.2 AS DOUBLE) AS clip_range, CAST(0.05 AS DOUBLE) AS kl_coefficient, 42 AS seed, runs.*,
@@ -369,8 +369,8 @@ WHERE NOT coalesce(reading_time_s < 2 OR reading_time_s > 600, FALSE)""",
         USABLE,
         f"""SELECT pair_id, md5({_chat("prompt")} || chosen) AS chosen_text_md5,
   md5({_chat("prompt")} || rejected) AS rejected_text_md5,
-  length({_chat("prompt")} || chosen) AS chosen_text_chars,
-  length({_chat("prompt")} || rejected) AS rejected_text_chars FROM usable""",
+  CAST(length({_chat("prompt")} || chosen) AS INTEGER) AS chosen_text_chars,
+  CAST(length({_chat("prompt")} || rejected) AS INTEGER) AS rejected_text_chars FROM usable""",
     ),
     "length_cap": _with(
         USABLE,
@@ -390,7 +390,7 @@ FROM labelled""",
         """SELECT n AS rows, categories, smallest AS smallest_category, v AS val_size, n - v AS train_size,
   smallest >= 2 AND v >= categories AND n - v >= categories AS stratified FROM totals""",
     ),
-    "subsample_by_category": _with(
+    "subsample": _with(
         SWEEP, "SELECT pair_id, prompt_category FROM sweep WHERE fraction = CAST(0.6 AS DOUBLE)"
     ),
     "fraction_sweep": _with(SWEEP, "SELECT fraction, pair_id FROM sweep"),
@@ -495,13 +495,13 @@ FROM evaluated, (SELECT CAST(t AS DOUBLE) AS target
     ),
     "response_tokens": _with(
         RESPONSES,
-        """SELECT doc_id, unnest(range(0, len(kept))) AS place, unnest(kept) AS token FROM (
+        """SELECT doc_id, CAST(unnest(range(0, len(kept))) AS INTEGER) AS place, unnest(kept) AS token FROM (
   SELECT doc_id, list_filter(list_slice(token_ids, 6, len(token_ids)), lambda x: x <> 'the') AS kept
   FROM responses)""",
     ),
     "response_mask": _with(
         RESPONSES,
-        """SELECT doc_id, position, position >= 5 AND token <> 'the' AS in_response FROM (
+        """SELECT doc_id, CAST(position AS INTEGER) AS position, position >= 5 AND token <> 'the' AS in_response FROM (
   SELECT doc_id, unnest(range(0, len(token_ids))) AS position, unnest(token_ids) AS token FROM responses)""",
     ),
     "kl_join": _with(

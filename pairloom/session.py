@@ -36,6 +36,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a derived table as Parquet beside the checkpoints and read it from there.
+
+    For tables that later steps read in parts: scans prune columns and know the size.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fits_broadcast(rows: int, text_bytes: int, bytes_per_row: int = 64) -> bool:
     return rows <= BROADCAST_MAX_ROWS and text_bytes + rows * bytes_per_row <= BROADCAST_MAX_BYTES
 
