@@ -23,6 +23,7 @@ from pairloom.queries import tables
 from pairloom.session import scratch_path
 from pairloom.settings import (
     CURVE_VAL_FRACTION,
+    MAX_LOSS_FOR_PERPLEXITY,
     MAX_PROMPT_TOKENS,
     MAX_TEXT_TOKENS,
     PREFERENCE_SCHEMA,
@@ -140,50 +141,55 @@ def view_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _stage_records(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    labelled = _labelled(spark, sf_dir)
-    usable = labelled.agg(
-        F.count("*").alias("usable_pairs"), F.count_if(F.col("split") == "val").alias("val_pairs")
-    )
+def _sft_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = tables.rollout_tokens(spark, sf_dir)
-    eval_loss = tokens.agg(
+    loss = tokens.agg(
         F.avg(F.when(F.col("mask"), -F.col("old_lp"))).alias("loss"), F.count("*").alias("tokens")
-    ).withColumn("perplexity", statistics.perplexity(F.col("loss"), 20.0))
+    ).withColumn("perplexity", statistics.perplexity(F.col("loss"), MAX_LOSS_FOR_PERPLEXITY))
+    sizes = _labelled(spark, sf_dir).agg(
+        F.count("*").alias("usable_pairs"), F.count_if(F.col("split") == "val").alias("val_pairs")
+    )
+    return stage_record("sft", sizes, {"num_epochs": 3}, {"eval": (loss, "tokens")})
+
+
+def _reward_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = _labelled(spark, sf_dir)
     ranking = evaluate.pairwise_evaluation(labelled.where("split = 'val'"))
+    sizes = labelled.agg(F.count("*").alias("usable_pairs"))
+    return stage_record("reward", sizes, {"num_epochs": 3}, {"eval": (ranking, "pairs")})
+
+
+def _run_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     duel = evaluate.win_rate(evaluate.pair_policies(tables.policy_scores(spark, sf_dir)))
-    runs = rollout.run_metrics(_history(spark, sf_dir), by=())
-    settings = PolicyRunSettings()
-    return {
-        "sft": stage_record("sft", usable, {"num_epochs": 3}, {"eval": (eval_loss, "tokens")}),
-        "reward": stage_record("reward", usable, {"num_epochs": 3}, {"eval": (ranking, "pairs")}),
-        "ppo": stage_record("ppo", runs, settings, {"eval": (duel, "prompts")}, metadata=usable),
-    }
+    metrics = rollout.run_metrics(_history(spark, sf_dir), by=())
+    usable = _usable(spark, sf_dir).agg(F.count("*").alias("usable_pairs"))
+    return stage_record("ppo", metrics, PolicyRunSettings(), {"eval": (duel, "prompts")}, usable)
 
 
 @partial(register, name="stage_record")
 def stage_record_of_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    record = _stage_records(spark, sf_dir)["ppo"]
+    record = _run_record(spark, sf_dir)
     nested = [F.col(f"eval.{c}").alias(f"eval_{c}") for c in record.schema["eval"].dataType.names]
     return _rounded(record.select(*[c for c in record.columns if c != "eval"], *nested))
 
 
 @register
 def stage_record_reward(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_stage_records(spark, sf_dir)["reward"].select("stage", "num_epochs", "usable_pairs", "eval.*"))
+    return _rounded(_reward_record(spark, sf_dir).select("stage", "num_epochs", "usable_pairs", "eval.*"))
 
 
 @register
 def metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "metrics")
-    sinks.write_metrics(_stage_records(spark, sf_dir)["sft"], path)
+    sinks.write_metrics(_sft_record(spark, sf_dir), path)
     return _rounded(spark.read.json(path).select("stage", "num_epochs", "usable_pairs", "val_pairs", "eval.*"))
 
 
 @register
 def metrics_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "logs")
-    for stage, record in _stage_records(spark, sf_dir).items():
-        sinks.write_metrics(record, f"{root}/{stage}")
+    for stage, record in {"sft": _sft_record, "reward": _reward_record, "ppo": _run_record}.items():
+        sinks.write_metrics(record(spark, sf_dir), f"{root}/{stage}")
     found = sinks.read_metrics(spark, root)
     folder = F.element_at(F.split("path", "/"), -2)
     return found.select(folder.alias("folder"), "stage", "usable_pairs", F.col("eval").isNotNull().alias("has_eval"))
