@@ -12,7 +12,7 @@ def seeded_md5(seed: int, *parts: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *texts))
 
 
-def row_key(df: DataFrame, seed: int, id_column: str = "pair_id") -> Column:
+def row_key(df: DataFrame, seed: int, id_column: str | None = "pair_id") -> Column:
     """Key of a row: from its id if the table has one, otherwise from all its columns.
 
     Identical rows without an id share a key. They are interchangeable, and the cut

@@ -98,34 +98,30 @@ def cut_keys(
     )
 
 
-def number_copies(rows: DataFrame, cuts: DataFrame, fits: bool) -> DataFrame:
-    """Add the copy number that tells apart rows with the same key when a cut divides them.
+def divides_copies(cuts: DataFrame) -> bool:
+    """Whether some cut lets in a part of the rows with one key."""
+    return not cuts.where(F.col("copies_in") < F.col("copies")).isEmpty()
+
+
+def number_copies(rows: DataFrame, cuts: DataFrame, fits: bool, divided: bool) -> DataFrame:
+    """Add the copy number that tells apart identical rows when a cut divides them.
 
     Without such a cut every row is copy 1. Otherwise the copies are collapsed to one counted
     row before the shuffle and written out again in chunks spread over the cluster.
     """
-    divided = cuts.where(F.col("copies_in") < F.col("copies"))
-    if divided.isEmpty():
+    if not divided:
         return rows.withColumn(COPY, F.lit(1).cast("bigint"))
-    divided = divided.select(STRATUM, F.col("cut_key").alias(KEY)).distinct()
-    divided = broadcast_if(divided, fits)
+    keys = cuts.where(F.col("copies_in") < F.col("copies")).select(STRATUM, F.col("cut_key").alias(KEY))
+    keys = broadcast_if(keys.distinct(), fits)
     columns = rows.columns
-    single = rows.join(divided, [STRATUM, KEY], "left_anti").withColumn(COPY, F.lit(1).cast("bigint"))
-    counted = rows.join(divided, [STRATUM, KEY], "left_semi").groupBy(*columns).agg(F.count("*").alias("m"))
-    content = F.md5(F.to_json(F.struct(*columns)))
-    earlier = (
-        Window.partitionBy(STRATUM, KEY)
-        .orderBy(content)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    single = rows.join(keys, [STRATUM, KEY], "left_anti").withColumn(COPY, F.lit(1).cast("bigint"))
+    counted = rows.join(keys, [STRATUM, KEY], "left_semi").groupBy(*columns).agg(F.count("*").alias("m"))
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunk = F.col("chunk") * COPIES_PER_CHUNK
+    before = F.col("chunk") * COPIES_PER_CHUNK
     written = (
-        counted.withColumn("offset", F.coalesce(F.sum("m").over(earlier), F.lit(0)))
-        .withColumn("chunk", F.explode(F.expr(f"sequence(0L, (m - 1) div {COPIES_PER_CHUNK})")))
+        counted.withColumn("chunk", F.explode(F.expr(f"sequence(0L, (m - 1) div {COPIES_PER_CHUNK})")))
         .repartition(partitions, "chunk", KEY)
-        .withColumn("copy", F.explode(F.sequence(chunk + 1, F.least("m", chunk + COPIES_PER_CHUNK))))
-        .withColumn(COPY, F.col("offset") + F.col("copy"))
+        .withColumn(COPY, F.explode(F.sequence(before + 1, F.least("m", before + COPIES_PER_CHUNK))))
         .select(*columns, COPY)
     )
     return single.select(*columns, COPY).unionByName(written)

@@ -15,6 +15,7 @@ from pairloom.operators.keyed_cut import (
     KEY,
     STRATUM,
     cut_keys,
+    divides_copies,
     held,
     key_histogram,
     number_copies,
@@ -49,7 +50,7 @@ def _decide(totals: dict, val_fraction: float) -> SplitDecision:
     return SplitDecision(rows, strata, totals["smallest"], val_size, enough)
 
 
-def _keyed(df: DataFrame, seed: int, category: str | None, id_column: str) -> DataFrame:
+def _keyed(df: DataFrame, seed: int, category: str | None, id_column: str | None) -> DataFrame:
     stratum = F.lit("") if category is None else stratum_key(F.col(category))
     return df.withColumn(KEY, row_key(df, seed, id_column)).withColumn(STRATUM, stratum)
 
@@ -90,29 +91,51 @@ def split_pairs(
 ) -> DataFrame:
     """Add ``split`` ('train' or 'val') and ``row_key``; ceil(n * val_fraction) rows are 'val'.
 
-    The choice depends on the seed and the row alone. A category of None gives a plain random
-    split; so does a category table too sparse to stratify.
+    The choice depends on the seed and the rows alone. A category of None gives a plain random
+    split; so does a category table too sparse to stratify. Ids should be unique: if the cut
+    falls among rows with one id, all rows are keyed by their content instead.
     """
-    columns = df.columns
     rows = _keyed(df, seed, category, id_column)
+    found = _find_cut(rows, val_fraction, category is not None, digits)
+    if found is not None and found.divided and id_column in df.columns:
+        rows = _keyed(df, seed, category, None)
+        found = _find_cut(rows, val_fraction, category is not None, digits)
+    labelled = [*df.columns, F.col(KEY).alias("row_key"), "split"]
+    if found is None:
+        return rows.withColumn("split", F.lit("train")).select(*labelled)
+    if not found.by_category:
+        rows = rows.withColumn(STRATUM, F.lit(""))
+    numbered = number_copies(rows, found.cuts, found.fits, found.divided)
+    bounds = broadcast_if(found.cuts.select(STRATUM, "cut_key", "copies_in"), found.fits)
+    in_val = within(F.col(KEY), F.col(COPY), F.col("cut_key"), F.col("copies_in"))
+    return (
+        numbered.join(bounds, STRATUM, "left")
+        .withColumn("split", F.when(in_val, "val").otherwise("train"))
+        .select(*labelled)
+    )
+
+
+@dataclass(frozen=True)
+class _Found:
+    cuts: DataFrame
+    fits: bool
+    by_category: bool
+    divided: bool
+
+
+def _find_cut(rows: DataFrame, val_fraction: float, by_category: bool, digits: int) -> _Found | None:
+    """The last 'val' key of each stratum; None if there are no 'val' rows."""
     with held(rows) as keyed:
         histogram = key_histogram(keyed, digits)
         totals, quota = proportional_quotas(histogram, val_fraction)
         decision = _decide(totals, val_fraction)
         if decision.val_size == 0:
-            labelled = rows.withColumn("split", F.lit("train"))
-            return labelled.select(*columns, F.col(KEY).alias("row_key"), "split")
+            return None
         fits = fits_broadcast(totals["strata"], totals["bytes"])
-        if not decision.stratified and category is not None:
-            rows, keyed = (t.withColumn(STRATUM, F.lit("")) for t in (rows, keyed))
+        if by_category and not decision.stratified:
+            by_category, fits, quota = False, True, F.lit(decision.val_size)
+            keyed = keyed.withColumn(STRATUM, F.lit(""))
             merged = histogram.groupBy(F.lit("").alias(STRATUM), BUCKET).agg(F.sum("n").alias("n"))
-            histogram, quota, fits = cut_lineage(merged), F.lit(decision.val_size), True
+            histogram = cut_lineage(merged)
         cuts = cut_keys(keyed, histogram, [quota], fits, digits)
-    numbered = number_copies(rows, cuts, fits)
-    bounds = broadcast_if(cuts.select(STRATUM, "cut_key", "copies_in"), fits)
-    in_val = within(F.col(KEY), F.col(COPY), F.col("cut_key"), F.col("copies_in"))
-    return (
-        numbered.join(bounds, STRATUM, "left")
-        .withColumn("split", F.when(in_val, "val").otherwise("train"))
-        .select(*columns, F.col(KEY).alias("row_key"), "split")
-    )
+        return _Found(cuts, fits, by_category, divides_copies(cuts))

@@ -14,6 +14,7 @@ from pairloom.operators.keyed_cut import (
     KEY,
     STRATUM,
     cut_keys,
+    divides_copies,
     held,
     key_histogram,
     number_copies,
@@ -46,14 +47,21 @@ def fraction_membership(
     partial = [float(f) for f in fractions if f < 1.0]
     whole = [float(f) for f in fractions if f >= 1.0]
     whole_array = F.array(*[F.lit(f) for f in whole]) if whole else F.expr("array()").cast("array<double>")
-    rows = df.withColumn(KEY, row_key(df, seed, id_column)).withColumn(STRATUM, stratum_key(F.col(category)))
     if not partial:
         return df.withColumn("fractions", whole_array)
-    with held(rows.where(F.col(category).isNotNull())) as keyed:
-        histogram = key_histogram(keyed, digits)
-        fits = strata_fit_broadcast(histogram)
-        cuts = cut_keys(keyed, histogram, [_sample_size(f) for f in partial], fits, digits)
-    numbered = number_copies(rows, cuts, fits)
+
+    def find(key: Column) -> tuple[DataFrame, DataFrame, bool, bool]:
+        rows = df.withColumn(KEY, key).withColumn(STRATUM, stratum_key(F.col(category)))
+        with held(rows.where(F.col(category).isNotNull())) as keyed:
+            histogram = key_histogram(keyed, digits)
+            fits = strata_fit_broadcast(histogram)
+            cuts = cut_keys(keyed, histogram, [_sample_size(f) for f in partial], fits, digits)
+            return rows, cuts, fits, divides_copies(cuts)
+
+    rows, cuts, fits, divided = find(row_key(df, seed, id_column))
+    if divided and id_column in columns:
+        rows, cuts, fits, divided = find(row_key(df, seed, None))
+    numbered = number_copies(rows, cuts, fits, divided)
     fraction_of = F.element_at(F.array(*[F.lit(f) for f in partial]), F.col("cut_no") + 1)
     bounds = cuts.groupBy(STRATUM).agg(
         F.collect_list(F.struct(fraction_of.alias("fraction"), "cut_key", "copies_in")).alias("cuts")

@@ -140,6 +140,8 @@ def test_repeated_ids_are_divided_exactly(spark):
     out = split_pairs(df, 0.5)
     assert out.where("split = 'val'").count() == 60
     assert Counter(tuple(r) for r in out.select(*df.columns).collect()) == Counter(rows)
+    half = [r for r in fraction_sweep(df, [0.5, 1.0]).collect() if r.fraction == 0.5]
+    assert len(half) == 60
 
 
 def test_results_without_broadcast_are_the_same(spark, monkeypatch):
