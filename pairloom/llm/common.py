@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,8 @@ __all__ = [
     "words_of",
 ]
 
+VECTOR_SCHEMA = "name string, chunk int, values binary"
+
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[32, *range(9, 14)]] = True
 
@@ -110,26 +114,22 @@ def token_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(offsets, starts, side="right")
 
 
-def summed_vectors(parts: DataFrame, chunk: int = 8192) -> DataFrame:
+def summed_vectors(parts: DataFrame) -> DataFrame:
     """Sum long vectors that tasks have sent in as rows (name, chunk, bytes of float64).
 
-    Returns one row per name and chunk, so no task needs a whole vector.
+    Returns one row per name and chunk, so no task needs a whole vector. A group is read batch by
+    batch, as it has a row from every task.
     """
 
-    def add(key: tuple, groups: Iterator) -> Iterator:
-        import pandas as pd
-
+    def add(key: tuple[Any, ...], frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = None
-        for frame in groups:
+        for frame in frames:
             for raw in frame["values"]:
                 part = np.frombuffer(raw, np.float64)
                 total = part.copy() if total is None else total + part
         yield pd.DataFrame({"name": [key[0]], "chunk": [key[1]], "values": [total.tobytes()]})
 
-    def whole(key: tuple, frame):  # one group at a time: as many rows as tasks sent parts
-        return next(add(key, iter([frame])))
-
-    return parts.groupBy("name", "chunk").applyInPandas(whole, "name string, chunk int, values binary")
+    return parts.groupBy("name", "chunk").applyInPandas(add, VECTOR_SCHEMA)
 
 
 def vector_rows(name: str, vector: np.ndarray, chunk: int = 8192) -> list[tuple[str, int, bytes]]:
@@ -137,9 +137,6 @@ def vector_rows(name: str, vector: np.ndarray, chunk: int = 8192) -> list[tuple[
     return [(name, i // chunk, flat[i : i + chunk].tobytes()) for i in range(0, len(flat), chunk)]
 
 
-VECTOR_SCHEMA = "name string, chunk int, values binary"
-
-
 def vector_batch(rows: list[tuple[str, int, bytes]]) -> pa.RecordBatch:
     names, chunks, values = zip(*rows, strict=True) if rows else ((), (), ())
     return pa.RecordBatch.from_arrays(

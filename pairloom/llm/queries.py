@@ -6,14 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pairloom.llm.jaccard import op10_grouped_prefix_join
+from pairloom.llm.language import op8_language_mixture
 from pairloom.llm.nearest import op4_block_matrix_neighbours
 from pairloom.llm.packing import op5_best_fit_packing
 from pairloom.llm.sharding import op3_hilbert_sharding
+from pairloom.llm.toxicity import op1_gated_recurrent_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_gated_recurrent_toxicity": op1_gated_recurrent_toxicity,
     "op3_hilbert_sharding": op3_hilbert_sharding,
     "op4_block_matrix_neighbours": op4_block_matrix_neighbours,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op8_language_mixture": op8_language_mixture,
+    "op10_grouped_prefix_join": op10_grouped_prefix_join,
 }
 
 NEIGHBOURS = """
