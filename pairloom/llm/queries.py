@@ -10,6 +10,7 @@ from pairloom.llm.jaccard import op10_grouped_prefix_join
 from pairloom.llm.language import op8_language_mixture
 from pairloom.llm.nearest import op4_block_matrix_neighbours
 from pairloom.llm.packing import op5_best_fit_packing
+from pairloom.llm.scoring import op9_log_bilinear_scores
 from pairloom.llm.sharding import op3_hilbert_sharding
 from pairloom.llm.toxicity import op1_gated_recurrent_toxicity
 
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_block_matrix_neighbours": op4_block_matrix_neighbours,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op8_language_mixture": op8_language_mixture,
+    "op9_log_bilinear_scores": op9_log_bilinear_scores,
     "op10_grouped_prefix_join": op10_grouped_prefix_join,
 }
 
