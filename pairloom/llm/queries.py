@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pairloom.llm.decontaminate import op7_latent_semantic_decontamination
 from pairloom.llm.jaccard import op10_grouped_prefix_join
 from pairloom.llm.language import op8_language_mixture
 from pairloom.llm.nearest import op4_block_matrix_neighbours
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_hilbert_sharding": op3_hilbert_sharding,
     "op4_block_matrix_neighbours": op4_block_matrix_neighbours,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op7_latent_semantic_decontamination": op7_latent_semantic_decontamination,
     "op8_language_mixture": op8_language_mixture,
     "op9_log_bilinear_scores": op9_log_bilinear_scores,
     "op10_grouped_prefix_join": op10_grouped_prefix_join,
