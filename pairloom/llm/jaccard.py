@@ -78,7 +78,7 @@ def shingle_loads(docs: DataFrame, width: int) -> np.ndarray:
     return found.get("load", np.zeros(1 << SKETCH_BITS)).astype(np.uint32)
 
 
-PREFIX_SCHEMA = "doc_id long, n long, key string, prefix array<long>"
+PREFIX_SCHEMA = "doc_id long, n long, key string, group_key long, prefix array<long>"
 
 
 def prefixes(docs: DataFrame, loads: np.ndarray, width: int, percent: int) -> DataFrame:
@@ -89,23 +89,26 @@ def prefixes(docs: DataFrame, loads: np.ndarray, width: int, percent: int) -> Da
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         load = shipped.value
         for piece in pieces(batches):
-            sizes, keys, parts = [], [], []
+            sizes, keys, groups, parts = [], [], [], []
             for found in shingle_sets(texts_of(piece), width):
                 sizes.append(len(found))
                 if not len(found):
                     keys.append(None)
+                    groups.append(0)
                     parts.append(np.empty(0, np.int64))
                     continue
                 other = mix64(found ^ np.uint64(0xD6E8FEB86659FD93))
                 keys.append(f"{int(found.sum()):x}-{int(other.sum()):x}-{len(found):x}")
                 size = prefix_size(len(found), percent)
                 order = np.lexsort((found, load[(found & bits).astype(np.int64)]))[:size]
-                parts.append(np.sort(found[order]).view(np.int64))
+                part = found[order]
+                groups.append(int(mix64(part).sum() ^ np.uint64(len(found))) - (1 << 63))
+                parts.append(part.view(np.int64))
             ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts) if parts else []))
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.string()), lists],
-                names=["doc_id", "n", "key", "prefix"],
+                [piece.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.string()), pa.array(groups, pa.int64()), lists],
+                names=["doc_id", "n", "key", "group_key", "prefix"],
             )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PREFIX_SCHEMA)
@@ -114,39 +117,28 @@ def prefixes(docs: DataFrame, loads: np.ndarray, width: int, percent: int) -> Da
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (a, b) of documents whose sets are similar enough, compared whole.
 
-    Sets are made anew from the texts of the documents in question alone; the texts are found by a
-    broadcast of their ids if these are few, by a shuffle otherwise.
+    Only the texts of the documents in question move: texts, as they are smaller than their sets of hashes.
+    They are found by a broadcast of their ids if these are few, by a shuffle otherwise.
     """
     pairs = stored(pairs, "pairs")
-    wanted = stored(
-        pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(),
-        "wanted",
-    )
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    wanted = stored(ids, "wanted")
     some = F.broadcast(wanted) if wanted.count() <= BROADCAST_MAX_ROWS else wanted
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
-            found = [x.tobytes() for x in shingle_sets(texts_of(piece), width)]
-            yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), pa.array(found, pa.binary())], names=["doc_id", "grams"]
-            )
-
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(some, "doc_id")
-    grams = stored(narrow.mapInArrow(sets, "doc_id long, grams binary"), "grams")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary")).join(some, "doc_id")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, text="x"):
             keep = []
-            for x, y in zip(piece.column("x").to_pylist(), piece.column("y").to_pylist(), strict=True):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            one, two = (shingle_sets(piece.column(c).to_pylist(), width) for c in ("x", "y"))
+            for p, q in zip(one, two, strict=True):
                 both = np.concatenate([p, q])
                 both.sort()
                 shared = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * shared >= percent * (len(p) + len(q) - shared))
             yield piece.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = grams.select(F.col("doc_id").alias("a"), F.col("grams").alias("x"))
-    right = grams.select(F.col("doc_id").alias("b"), F.col("grams").alias("y"))
+    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x"))
+    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
@@ -169,16 +161,17 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     docs = docs.select("doc_id", "text")
     table = stored(prefixes(docs, shingle_loads(docs, width), width, percent), "prefixes")
     filled = table.where("n > 0 AND doc_id IS NOT NULL")
-    heads = filled.groupBy("key", "n").agg(F.min("doc_id").alias("class_id"), F.first("prefix").alias("prefix"))
-    heads = stored(heads.withColumn("group_key", F.xxhash64("n", "prefix")), "heads")
-    classes = filled.select("doc_id", "key", "n").join(heads.select("key", "n", "class_id"), ["key", "n"])
-    leaders = heads.groupBy("group_key", "n").agg(F.min("class_id").alias("leader"))
-    members = heads.withColumnRenamed("class_id", "doc_id").join(leaders, ["group_key", "n"])
-    members = stored(members.select("doc_id", "n", "leader", "prefix"), "members")
+    heads = filled.groupBy("key", "n", "group_key").agg(F.min("doc_id").alias("class_id"))
+    classes = stored(filled.select("doc_id", "key", "n").join(heads, ["key", "n"]).select("doc_id", "n", "class_id", "group_key"), "classes")
+    heads = classes.where("doc_id = class_id").select("doc_id", "n", "group_key").distinct()
+    leaders = heads.groupBy("group_key", "n").agg(F.min("doc_id").alias("leader"))
+    members = stored(heads.join(leaders, ["group_key", "n"]).select("doc_id", "n", "leader", "group_key"), "members")
+    leading = members.where("doc_id = leader").select("doc_id", "group_key")
 
     inside = members.where("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    postings = members.where("doc_id = leader").select("doc_id", "n", band.alias("band"), F.explode("prefix").alias("gram"))
+    prefixed = filled.join(leading, ["doc_id", "group_key"])
+    postings = prefixed.select("doc_id", "n", band.alias("band"), F.explode("prefix").alias("gram"))
     shared = postings.groupBy("gram").agg(F.count("*").alias("groups")).where("groups > 1").select("gram")
     postings = stored(postings.join(shared, "gram"), "postings")
     firsts = postings.groupBy("gram", "band").agg(F.min(F.struct("doc_id", "n")).alias("first"))
