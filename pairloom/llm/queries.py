@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pairloom.llm.decontaminate import op7_latent_semantic_decontamination
 from pairloom.llm.jaccard import op10_grouped_prefix_join
 from pairloom.llm.language import op8_language_mixture
+from pairloom.llm.line_templates import op2_line_templates
 from pairloom.llm.nearest import op4_block_matrix_neighbours
 from pairloom.llm.packing import op5_best_fit_packing
 from pairloom.llm.scoring import op9_log_bilinear_scores
@@ -17,6 +18,7 @@ from pairloom.llm.toxicity import op1_gated_recurrent_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_gated_recurrent_toxicity": op1_gated_recurrent_toxicity,
+    "op2_line_templates": op2_line_templates,
     "op3_hilbert_sharding": op3_hilbert_sharding,
     "op4_block_matrix_neighbours": op4_block_matrix_neighbours,
     "op5_best_fit_packing": op5_best_fit_packing,
