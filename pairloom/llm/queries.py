@@ -12,6 +12,7 @@ from pairloom.llm.language import op8_language_mixture
 from pairloom.llm.line_templates import op2_line_templates
 from pairloom.llm.nearest import op4_block_matrix_neighbours
 from pairloom.llm.packing import op5_best_fit_packing
+from pairloom.llm.pii import op6_word_shape_field
 from pairloom.llm.scoring import op9_log_bilinear_scores
 from pairloom.llm.sharding import op3_hilbert_sharding
 from pairloom.llm.toxicity import op1_gated_recurrent_toxicity
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_hilbert_sharding": op3_hilbert_sharding,
     "op4_block_matrix_neighbours": op4_block_matrix_neighbours,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_word_shape_field": op6_word_shape_field,
     "op7_latent_semantic_decontamination": op7_latent_semantic_decontamination,
     "op8_language_mixture": op8_language_mixture,
     "op9_log_bilinear_scores": op9_log_bilinear_scores,
