@@ -1,23 +1,73 @@
-"""From raw documents to packed training sequences: five stages, each written as Parquet and read again."""
+"""From raw documents to packed training sequences: five stages, each written as Parquet and read again.
+
+Every stage works on all that its predecessor kept. Null and empty texts pass the filtering stages
+(nothing is wrong with them) and fill no place in a sequence; repeated rows are copies, of which one row
+stays; columns besides doc_id and text are carried along; an empty table gives an empty plan.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pairloom.llm.common import load, stored
+from pairloom.llm.decontaminate import contaminated
+from pairloom.llm.jaccard import jaccard_components
+from pairloom.llm.line_templates import without_recurring_lines
 from pairloom.llm.packing import packed_plan, with_word_counts
+from pairloom.llm.toxicity import THRESHOLD, fit_toxicity, labelled_sample, toxicity_scores
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents below the toxicity threshold; the network learns from all labels."""
+    model = fit_toxicity(labelled_sample(docs, load(spark, sf_dir, "labels")))
+    return toxicity_scores(docs, model).where(F.col("_score") < THRESHOLD).select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that earlier ones have; those of which nothing is left go."""
+    cleaned = without_recurring_lines(docs)
+    kept = cleaned.where("kept_words > 0 OR words = 0 OR words IS NULL").select(*docs.columns)
+    return kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else kept
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of linked documents, that of the smallest id.
+
+    A repeated row of an id stays once; other texts of the same id stay, and so do rows without an id.
+    """
+    lead = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(stored(lead, "lead"), "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    repeats = stored(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeats")
+    if repeats.isEmpty():
+        return kept.select(*docs.columns)
+    single = kept.join(repeats, "doc_id", "left_anti")
+    double = kept.join(repeats, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return single.unionByName(double).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    hits = contaminated(docs, load(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(stored(hits, "hits"), "doc_id", "left_anti").select(*docs.columns)
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every kept word in a training sequence of a permitted length."""
     return packed_plan(with_word_counts(docs))
 
 
-STAGES: list[tuple[str, Stage]] = [("packing", packing)]
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("best-fit packing", packing),
+]
 
 #: Trained models, similarity links and packing have no SQL form.
 ORACLE_SQL = None

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from pairloom.llm.common import crc_split, load, pieces, texts_of
 
@@ -306,54 +307,62 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, sample: int = SAMPL
     return documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # at most 2 * sample rows
 
 
+def batch_scores(net: Params, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Pieces of batches and the score of each of their texts.
+
+    Words met before in a task are looked up, up to a bound.
+    """
+    filler = np.zeros((1, 6 * HIDDEN), np.float32)
+    known: dict[bytes, int] = {}
+    table = filler
+    for piece in pieces(batches, size=2_000_000):
+        docs = [t.lower().split() if t else [] for t in texts_of(piece)]
+        if len(known) > CACHE:
+            known, table = {}, filler
+        fresh = [w for w in dict.fromkeys(w for d in docs for w in d) if w not in known]
+        if fresh:
+            size = len(known)
+            known.update((w, size + i) for i, w in enumerate(fresh))
+            table = np.concatenate([table[:-1], project(net, inputs(net, *word_features(fresh)))])
+        lookup = known.__getitem__
+        best = np.zeros(len(docs))
+        sizes = [len(d) for d in docs]
+        cut = np.array(windows(sizes), np.int64)
+        first = np.cumsum(sizes) - sizes
+        whose = cut[:, 0]
+        begin, length = first[whose] + cut[:, 1], cut[:, 2] - cut[:, 1]
+        flat = np.fromiter((i for d in docs for i in map(lookup, d)), np.int64, sum(sizes))
+        flat = np.append(flat, np.full(WINDOW, len(table) - 1))
+        steps = np.arange(WINDOW)[:, None]
+        for a in range(0, len(cut), 2048):
+            mask = steps < length[None, a : a + 2048]
+            at = np.where(mask, flat[np.minimum(begin[None, a : a + 2048] + steps, len(flat) - 1)], len(table) - 1)
+            np.maximum.at(best, whose[a : a + 2048], score_windows(net, table[at], mask.astype(np.float32)))
+        yield piece, best
+
+
 def toxicity(docs: DataFrame, p: Params, *extra: Column, id_column: str = "doc_id") -> DataFrame:
     """Score every whole text by its most toxic window; `extra` columns are carried along.
 
     Null and empty texts have one empty window. A row's score depends on its text alone, so
-    repeated rows score alike. Words met before in a task are looked up, up to a bound.
+    repeated rows score alike.
     """
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), *extra, "text")
+    scored = toxicity_scores(rows, p).withColumnRenamed("_score", "score")
+    return scored.drop("text").withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def toxicity_scores(docs: DataFrame, p: Params) -> DataFrame:
+    """All columns of the documents and `_score`."""
+    docs = docs.drop("_score")
     shipped = docs.sparkSession.sparkContext.broadcast(p)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = shipped.value
-        width = 6 * HIDDEN
-        known: dict[bytes, int] = {}
-        table = np.zeros((1, width), np.float32)
-        for piece in pieces(batches, size=2_000_000):
-            docs = [t.lower().split() if t else [] for t in texts_of(piece)]
-            if len(known) > CACHE:
-                known, table = {}, np.zeros((1, width), np.float32)
-            fresh = [w for w in dict.fromkeys(w for d in docs for w in d) if w not in known]
-            if fresh:
-                size = len(known)
-                known.update((w, size + i) for i, w in enumerate(fresh))
-                more = project(net, inputs(net, *word_features(fresh)))
-                table = np.concatenate([table[:-1], more])
-            lookup = known.__getitem__
-            best = np.zeros(len(docs))
-            sizes = [len(d) for d in docs]
-            cut = windows(sizes)
-            flat = np.fromiter((i for d in docs for i in map(lookup, d)), np.int64, sum(sizes))
-            first = np.cumsum(sizes) - sizes
-            whose = np.array([c[0] for c in cut])
-            begin = first[whose] + np.array([c[1] for c in cut])
-            length = np.array([c[2] - c[1] for c in cut])
-            flat = np.append(flat, np.full(WINDOW, len(table) - 1))
-            for a in range(0, len(cut), 2048):
-                steps = np.arange(WINDOW)[:, None]
-                mask = steps < length[None, a : a + 2048]
-                at = np.where(mask, flat[np.minimum(begin[None, a : a + 2048] + steps, len(flat) - 1)], len(table) - 1)
-                found = score_windows(net, table[at], mask.astype(np.float32))
-                np.maximum.at(best, whose[a : a + 2048], found)
-            rest = [piece.column(i) for i in range(piece.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays(
-                [*rest, pa.array(best), pa.array((best >= THRESHOLD).astype(np.int32))],
-                names=[*piece.schema.names[:-1], "score", "predicted"],
-            )
+        for piece, best in batch_scores(shipped.value, batches):
+            yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(best)], names=[*piece.schema.names, "_score"])
 
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), *extra, "text")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(score, f"{schema}, score double, predicted int")
+    schema = StructType([*docs.schema.fields, StructField("_score", DoubleType())])
+    return docs.mapInArrow(score, schema)
 
 
 def op1_gated_recurrent_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
