@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from pairloom.llm.common import stored
 
 
+def turned(df: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
+    """One row (u, v) for each of the column pairs of every row."""
+    made = F.array(*[F.struct(F.col(x).alias("u"), F.col(y).alias("v")) for x, y in pairs])
+    return df.select(F.explode(made).alias("e")).select("e.u", "e.v")
+
+
 def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """Smallest reachable member of every linked member: rows (member, component).
 
@@ -17,19 +23,20 @@ def components(links: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     the rounds needed grow with the logarithm of the longest path. Neighbours of a member are never gathered in a
     task: the smallest is an aggregate that is joined back. Every round is written to the shared folder.
     """
-    edges = links.select(F.col(left).alias("u"), F.col(right).alias("v")).where("u <> v")
-    edges = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
+    edges = links.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v")).where("u <> v")
+    edges = stored(edges.distinct(), "links")
+    before = None
     while True:
-        both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        both = turned(edges, ("u", "v"), ("v", "u"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stored(large.where("u <> v").distinct(), "large")
+        large = stored(large.distinct(), "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        small = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small")
-        if small.exceptAll(edges).isEmpty() and edges.exceptAll(small).isEmpty():
+        small = turned(large.join(least, "u"), ("v", "m"), ("u", "m"))
+        edges = stored(small.where("u <> v").distinct(), "small")
+        print_of = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if print_of == before:
             break
-        edges = small
-    members = edges.select(F.col("u").alias("member"), F.col("v").alias("component"))
+        before = print_of
     roots = edges.select(F.col("v").alias("member"), F.col("v").alias("component")).distinct()
-    return members.unionByName(roots)
+    return edges.select(F.col("u").alias("member"), F.col("v").alias("component")).unionByName(roots)

@@ -114,17 +114,41 @@ def prefixes(docs: DataFrame, loads: np.ndarray, width: int, percent: int) -> Da
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PREFIX_SCHEMA)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of documents whose sets are similar enough, compared whole.
+def enough(shared: str, n: str, m: str, percent: int) -> str:
+    """SQL: whether sets of n and m elements with so many in common are similar enough."""
+    return f"({shared}) * {100 + percent} >= {percent} * ({n} + {m})"
 
-    Only the texts of the documents in question move: texts, as they are smaller than their sets of hashes.
-    They are found by a broadcast of their ids if these are few, by a shuffle otherwise.
-    """
-    pairs = stored(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+
+def narrowed(df: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows of the documents in question: by a broadcast of their ids if these are few, else by a shuffle."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     wanted = stored(ids, "wanted")
     some = F.broadcast(wanted) if wanted.count() <= BROADCAST_MAX_ROWS else wanted
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary")).join(some, "doc_id")
+    return df.join(some, "doc_id")
+
+
+def plausible(pairs: DataFrame, table: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose prefixes leave enough room.
+
+    Of two prefixes in the common order, the one that ends first has met all it can of the other; so the sets share at
+    most what the prefixes share and the rest of one of them.
+    """
+    pairs = stored(pairs, "candidates")
+    kept = narrowed(table.select("doc_id", "n", "prefix"), pairs)
+    left = kept.toDF("a", "n", "x")
+    right = kept.toDF("b", "m", "y")
+    most = "size(array_intersect(x, y)) + greatest(n - size(x), m - size(y))"
+    joined = pairs.join(left, "a").join(right, "b").where(enough(most, "n", "m", percent))
+    return joined.select("a", "b").distinct()
+
+
+def verified(pairs: DataFrame, docs: DataFrame, table: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of documents whose sets are similar enough, compared whole.
+
+    Only the texts of pairs with plausible prefixes move: texts, as they are smaller than their sets of hashes.
+    """
+    pairs = stored(plausible(pairs, table, percent), "pairs")
+    texts = narrowed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary")), pairs)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, text="x"):
@@ -147,12 +171,12 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
 
     1. Documents of equal sets are one class, named by the smallest doc_id; copies are never paired.
     2. Classes of equal prefix and size are one group. A group's prefix is posted once.
-    3. Groups that share an n-gram of their prefixes and whose sizes allow it are candidates. So that a
-       prefix shared by many groups does not pair them all, every group is first compared only
-       with the smallest member of each neighbouring size band under the n-gram; the members of a group
-       with its smallest. What these verified links do not yet connect is then paired in full,
-       without pairs inside a component, so no link between components is lost.
-    4. Pairs of members are compared over their whole sets.
+    3. Groups that share an n-gram of their prefixes, at places that leave room for enough others, are candidates. So
+       that a prefix shared by many groups does not pair them all, every group is first compared only with the
+       most central one (that has the n-gram first) of each neighbouring size band under the n-gram, and the members
+       of a group with its smallest. What these verified links do not yet connect is then paired in
+       full, without pairs inside a component, so no link between components is lost.
+    4. Pairs of members are filtered by their whole prefixes, and then compared over their whole sets.
 
     The result's components are those of all links. Documents without words or text (null, empty) have size 0
     and their own doc_id; repeated rows get equal rows; columns besides doc_id and text are not read.
@@ -170,24 +194,27 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
 
     inside = members.where("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    prefixed = filled.join(leading, ["doc_id", "group_key"])
-    postings = prefixed.select("doc_id", "n", band.alias("band"), F.explode("prefix").alias("gram"))
-    shared = postings.groupBy("gram").agg(F.count("*").alias("groups")).where("groups > 1").select("gram")
-    postings = stored(postings.join(shared, "gram"), "postings")
-    firsts = postings.groupBy("gram", "band").agg(F.min(F.struct("doc_id", "n")).alias("first"))
-    near = firsts.select("gram", F.col("first.doc_id").alias("a"), F.col("first.n").alias("m"), F.explode(F.array("band", F.col("band") + 1)).alias("band"))
-    fits = f"least(m, n) * 100 >= {percent} * greatest(m, n)"
+    shared = filled.select(F.explode("prefix").alias("gram")).groupBy("gram").agg(F.count("*").alias("rows"))
+    postings = filled.join(leading, ["doc_id", "group_key"]).select(
+        "doc_id", "n", band.alias("band"), F.posexplode("prefix").alias("pos", "gram")
+    )
+    postings = stored(postings.join(shared.where("rows > 1").select("gram"), "gram"), "postings")
+    firsts = postings.groupBy("gram", "band").agg(F.min(F.struct("pos", "doc_id", "n")).alias("first"))
+    near = firsts.select("gram", "first", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
+    near = near.select("gram", "band", F.expr("first.doc_id AS a"), F.expr("first.n AS m"), F.expr("first.pos AS q"))
     star = (
         postings.join(near, ["gram", "band"])
-        .where(f"a <> doc_id AND {fits}")
+        .where(f"a <> doc_id AND {enough('least(n - pos, m - q)', 'n', 'm', percent)}")
         .select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b"))
     )
-    links = stored(verified(star.unionByName(inside).distinct(), docs, width, percent), "links")
+    links = stored(verified(star.unionByName(inside).distinct(), docs, filled, width, percent), "links")
 
     known = stored(components(links), "known")
     rest = expanded(members, postings, known, percent)
-    links = links.unionByName(stored(verified(rest, docs, width, percent), "more"))
-    final = components(links).select(F.col("member").alias("class_id"), "component")
+    more = stored(verified(rest, docs, filled, width, percent), "more")
+    if not more.isEmpty():  # components and what joins them
+        known = components(known.toDF("a", "b").unionByName(more))
+    final = known.select(F.col("member").alias("class_id"), "component")
     placed = classes.join(final, "class_id", "left").select(
         "doc_id", "n", "class_id", F.coalesce("component", "class_id").alias("component_id")
     )
@@ -198,8 +225,8 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
 def expanded(members: DataFrame, postings: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """All candidate pairs of members whose components are still apart.
 
-    Pairs of groups are found by their leaders' postings, one row for each n-gram and component that has
-    some, and then expanded to the members that differ in component.
+    Pairs of groups are found by their leaders' postings. The smaller set of a pair needs a shared n-gram so
+    early that even equal sizes leave room. Pairs are then expanded to the members that differ in component.
     """
     seen = known.select(F.col("member").alias("doc_id"), "component")
     placed = stored(
@@ -210,14 +237,15 @@ def expanded(members: DataFrame, postings: DataFrame, known: DataFrame, percent:
     )
     # A gram is open if the members of its groups belong to several components.
     span = placed.groupBy("leader").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    posted = postings.select(F.col("doc_id").alias("leader"), "gram", "n")
+    posted = postings.select(F.col("doc_id").alias("leader"), "gram", "n", "pos")
     spans = posted.join(span, "leader")
     opened = spans.groupBy("gram").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high")
-    live = stored(spans.join(opened.select("gram"), "gram").select("gram", "leader", "n", "low", "high"), "live")
-    x = live.select("gram", F.col("leader").alias("p"), F.col("n").alias("m"), F.col("low").alias("lo"), F.col("high").alias("hi"))
+    live = stored(spans.join(opened.select("gram"), "gram").select("gram", "leader", "n", "pos", "low", "high"), "live")
+    short = live.where(enough("n - pos", "n", "n", percent))
+    x = short.toDF("gram", "p", "m", "q", "lo", "hi")
     pairs = (
         live.join(x, "gram")
-        .where(f"leader < p AND least(m, n) * 100 >= {percent} * greatest(m, n)")
+        .where(f"struct(m, p) < struct(n, leader) AND {enough('least(n - pos, m - q)', 'n', 'm', percent)}")
         .where("NOT (low = high AND lo = hi AND low = lo)")
         .select(F.col("leader").alias("p"), F.col("p").alias("q"))
         .distinct()
