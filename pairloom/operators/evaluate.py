@@ -24,14 +24,14 @@ def with_margin(scored: DataFrame) -> DataFrame:
 
 
 def pairwise_evaluation(scored: DataFrame) -> DataFrame:
-    """One row; the metrics are null when there is no pair."""
+    """One row; the metrics are null when there is no pair. Pairs without both scores are left out."""
     margin = F.col("margin")
     return with_margin(scored).agg(
         F.avg(is_win(margin).cast("double")).alias("pairwise_accuracy"),
         F.avg(margin).alias("mean_margin"),
         F.avg("chosen_score").alias("mean_chosen_score"),
         F.avg("rejected_score").alias("mean_rejected_score"),
-        F.count("*").alias("pairs"),
+        F.count(margin).alias("pairs"),
     )
 
 
@@ -47,7 +47,7 @@ def category_evaluation(scored: DataFrame, category: str = "prompt_category", by
         .agg(
             F.count_if(is_win(F.col("margin"))).alias("wins"),
             F.sum("margin").alias("margin"),
-            F.count("*").alias("n"),
+            F.count("margin").alias("n"),
         )
     )
     overall = (
@@ -124,7 +124,7 @@ def curve_table(evaluated: DataFrame, categories: Sequence[str] | None = None) -
 
 
 def join_completions(
-    prompts: DataFrame, completions: DataFrame, keys: Sequence[str] = ("prompt_id",), strict: bool = False
+    prompts: DataFrame, completions: DataFrame, keys: Sequence[str] = ("prompt_id",), strict: bool = True
 ) -> DataFrame:
     """Prompts with their completions by key; ``strict`` refuses unmatched or repeated keys."""
     keys = list(keys)
@@ -140,12 +140,18 @@ def join_completions(
 
 
 def pair_policies(scores: DataFrame, policies: Sequence[str] = ("ppo", "reference")) -> DataFrame:
-    """Scores of two policies side by side for the prompts both answered, in one shuffle."""
+    """Scores of two policies side by side for the prompts both answered, in one shuffle.
+
+    A prompt that a policy has scored twice makes the query fail, as no score is better than the other.
+    """
     new, old = policies
-    paired = scores.groupBy("prompt_id").agg(
-        F.max(F.when(F.col("policy") == new, F.col("score"))).alias(f"{new}_score"),
-        F.max(F.when(F.col("policy") == old, F.col("score"))).alias(f"{old}_score"),
-    )
+
+    def only(policy: str) -> Column:
+        scored = F.when(F.col("policy") == policy, F.col("score"))
+        twice = F.raise_error(F.lit(f"a prompt has several scores of {policy}")).cast("double")
+        return F.when(F.count(scored) > 1, twice).otherwise(F.max(scored)).alias(f"{policy}_score")
+
+    paired = scores.groupBy("prompt_id").agg(only(new), only(old))
     return paired.where(F.col(f"{new}_score").isNotNull() & F.col(f"{old}_score").isNotNull())
 
 

@@ -46,15 +46,15 @@ def key_histogram(keyed: DataFrame, digits: int = DIGITS) -> DataFrame:
     return cut_lineage(buckets.groupBy(STRATUM, BUCKET).agg(F.count("*").alias("n")))
 
 
-def strata_fit_broadcast(histogram: DataFrame) -> bool:
-    """Measure the table of strata before anything of that size is broadcast."""
+def strata_fit_broadcast(histogram: DataFrame, cuts: int = 1) -> bool:
+    """Measure the table of strata, with a key for each of its cuts, before anything of that size is broadcast."""
     size = (
         histogram.select(STRATUM)
         .distinct()
         .agg(F.count("*").alias("n"), F.sum(F.octet_length(STRATUM)).alias("bytes"))
         .first()
     )
-    return fits_broadcast(size["n"], size["bytes"] or 0)
+    return fits_broadcast(size["n"] * cuts, (size["bytes"] or 0) * cuts)
 
 
 def cut_keys(
@@ -103,6 +103,17 @@ def divides_copies(cuts: DataFrame) -> bool:
     return not cuts.where(F.col("copies_in") < F.col("copies")).isEmpty()
 
 
+def content_at_ties(rows: DataFrame, cuts: DataFrame, fits: bool, columns: list[str]) -> DataFrame:
+    """Extend the key of the rows that a divided cut shares by a key of their content.
+
+    An extended key sorts right after the plain one, so all other rows keep their order and their side.
+    """
+    tied = cuts.where(F.col("copies_in") < F.col("copies")).select(F.col("cut_key").alias(KEY)).distinct()
+    content = F.concat(F.col(KEY), F.lit("-"), F.md5(F.to_json(F.struct(*columns))))
+    marked = rows.join(broadcast_if(tied.withColumn("_tied", F.lit(True)), fits), KEY, "left")
+    return marked.withColumn(KEY, F.when(F.col("_tied"), content).otherwise(F.col(KEY))).drop("_tied")
+
+
 def number_copies(rows: DataFrame, cuts: DataFrame, fits: bool, divided: bool) -> DataFrame:
     """Add the copy number that tells apart identical rows when a cut divides them.
 

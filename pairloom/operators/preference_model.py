@@ -44,8 +44,11 @@ def pair_features(
 
 
 def _oriented(features: DataFrame, order_key: Column) -> DataFrame:
-    """Half of the pairs are turned around, so that both labels occur at equal likelihood."""
-    turned = F.substring(order_key, 1, 1) < "8"
+    """Half of the pairs are turned around, so that both labels occur at equal likelihood.
+
+    The half is chosen by a key of its own: splits and samples cut on the order key itself.
+    """
+    turned = F.substring(F.md5(F.concat(F.lit("side|"), order_key)), 1, 1) < "8"
     vector = F.transform("difference", lambda x: F.when(turned, -x).otherwise(x))
     return features.select(
         array_to_vector(vector).alias("features"), F.when(turned, 0.0).otherwise(1.0).alias("label")

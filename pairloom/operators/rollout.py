@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.functions.statistics import perplexity
-from pairloom.session import stored
+from pairloom.session import cut_lineage, stored
 from pairloom.settings import (
     ADVANTAGE_EPSILON,
     BASELINE_KEEP,
@@ -24,8 +24,7 @@ from pairloom.settings import (
 
 SEQUENCE = ["run_id", "step_id", "seq_id"]
 STEP = ["run_id", "step_id"]
-STEPS_PER_BLOCK = 1_000
-BLOCKS_IN_MEMORY = 400
+STEPS_PER_BLOCK = 128
 
 
 def _masked_sum(value: Column) -> Column:
@@ -41,7 +40,7 @@ def _ratio() -> Column:
 
 
 def join_log_probs(
-    policy: DataFrame, reference: DataFrame, keys: Sequence[str] = ("run_id", "seq_id", "pos")
+    policy: DataFrame, reference: DataFrame, keys: Sequence[str] = ("run_id", "step_id", "seq_id", "pos")
 ) -> DataFrame:
     """Per-token KL estimate from two separately written logs."""
     return policy.join(reference, list(keys)).withColumn("kl", F.col("old_lp") - F.col("ref_lp"))
@@ -62,8 +61,11 @@ def penalise(sequences: DataFrame, kl_coefficient: float) -> DataFrame:
 def rewarded_sequences(
     tokens: DataFrame, rewards: DataFrame, settings: PolicyRunSettings = PolicyRunSettings()
 ) -> DataFrame:
-    """Sequences with reward and KL-penalised total; ``tokens`` has one row per token."""
-    return penalise(sequence_statistics(tokens).join(rewards, "seq_id"), settings.kl_coefficient)
+    """Sequences with reward and KL-penalised total; ``tokens`` has one row per token.
+
+    Rewards are found by run, step and sequence, as sequence numbers may repeat in another run.
+    """
+    return penalise(sequence_statistics(tokens).join(rewards, SEQUENCE), settings.kl_coefficient)
 
 
 def response_lengths(tokens: DataFrame) -> DataFrame:
@@ -85,47 +87,88 @@ def step_metrics(sequences: DataFrame) -> DataFrame:
     )
 
 
-def reward_baseline(steps: DataFrame, keep: float = BASELINE_KEEP) -> DataFrame:
-    """Exponential moving average of the step rewards, before and after each step of a run.
+def _affine(step: Column, state: Column) -> Column:
+    """The state after a step, where both are affine maps: first the state's, then the step's."""
+    return F.struct(
+        (step["decay"] * state["decay"]).alias("decay"),
+        (step["decay"] * state["gain"] + step["gain"]).alias("gain"),
+    )
+
 
-    Steps are cut into blocks of 1,000 step ids. Inside a block the average is a running sum of
-    rewards weighted by keep^-position; what the earlier blocks leave behind is folded from one
-    row per block. Blocks further back than 400 weigh less than keep^400, below double precision.
-    So a run of any length is spread over many tasks.
+def _folded(level: DataFrame, runs: list[str]) -> tuple[DataFrame, DataFrame]:
+    """What comes before each place inside its block, and the map of the whole block.
+
+    A block covers STEPS_PER_BLOCK places, so its list is bounded.
     """
-    add = 1.0 - keep
-    steps = steps.withColumn("block", F.floor(F.col("step_id") / F.lit(STEPS_PER_BLOCK)))
-    block = ["run_id", "block"]
-    in_block = Window.partitionBy(*block).orderBy("step_id")
-    running = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    position = F.row_number().over(in_block)
-    weighted = F.col("mean_total_reward") * F.pow(F.lit(keep), -F.col("position"))
-    local = (
-        steps.withColumn("position", position)
-        .withColumn("local", F.lit(add) * F.pow(F.lit(keep), F.col("position")) * F.sum(weighted).over(running))
+    grouped = (
+        level.withColumn("block", F.floor(F.col("place") / F.lit(STEPS_PER_BLOCK)))
+        .groupBy(*runs, "block")
+        .agg(F.sort_array(F.collect_list(F.struct("place", "decay", "gain"))).alias("steps"))
     )
-    last = local.groupBy(*block).agg(
-        F.max("position").alias("n"), F.max_by("local", "position").alias("local")
+    start = F.struct(F.lit(1.0).alias("decay"), F.lit(0.0).alias("gain"))
+    empty = F.filter(
+        F.array(F.struct(F.lit(0).cast("long").alias("place"), start["decay"].alias("decay"), start["gain"].alias("gain"))),
+        lambda x: F.lit(False),
     )
-    earlier = Window.partitionBy("run_id").orderBy("block").rowsBetween(-BLOCKS_IN_MEMORY, -1)
-    carried = F.aggregate(
-        F.collect_list(F.struct("n", "local")).over(earlier),
-        F.lit(0.0),
-        lambda acc, b: acc * F.pow(F.lit(keep), b["n"]) + b["local"],
+
+    def take(acc: Column, step: Column) -> Column:
+        seen = F.struct(
+            step["place"].alias("place"), acc["state"]["decay"].alias("decay"), acc["state"]["gain"].alias("gain")
+        )
+        return F.struct(_affine(step, acc["state"]).alias("state"), F.concat(acc["seen"], F.array(seen)).alias("seen"))
+
+    folded = grouped.withColumn(
+        "folded", F.aggregate("steps", F.struct(start.alias("state"), empty.alias("seen")), take)
     )
-    carry = last.select(*block, carried.alias("carry"))
+    folded = cut_lineage(folded.select(*runs, "block", "folded"))
+    before = folded.select(*runs, "block", F.explode("folded.seen").alias("b")).select(*runs, "block", "b.*")
+    whole = folded.select(*runs, F.col("block").alias("place"), "folded.state.decay", "folded.state.gain")
+    return before, whole
 
-    def with_carry(positions: Column, local_value: Column) -> Column:
-        return local_value + F.pow(F.lit(keep), positions) * F.col("carry")
 
-    previous = F.coalesce(F.lag("local").over(in_block), F.lit(0.0))
-    return (
-        local.withColumn("previous", previous)
-        .join(carry, block)
-        .withColumn("baseline_before", with_carry(F.col("position") - 1, F.col("previous")))
-        .withColumn("baseline_after", with_carry(F.col("position"), F.col("local")))
-        .drop("block", "position", "local", "previous", "carry")
+def reward_baseline(steps: DataFrame, keep: float = BASELINE_KEEP) -> DataFrame:
+    """Exponential moving average of the step rewards, before and after each step of a run.
+
+    A step maps the average m to keep * m + (1 - keep) * reward, and such affine maps compose. Steps are
+    folded in blocks of bounded size by their distance from the run's first step, the blocks in blocks of blocks, until one block
+    is left; the averages are then handed down again. So a run of any length is spread over many
+    tasks, nothing is cut off, and no power of ``keep`` is taken.
+    """
+    keep = float(keep)
+    runs = ["run_id"]
+    steps = cut_lineage(steps)
+    firsts = steps.groupBy(*runs).agg(F.min("step_id").alias("first_step"))
+    places = steps.join(firsts, runs).select(
+        *runs,
+        "step_id",
+        (F.col("step_id") - F.col("first_step")).alias("place"),
+        F.lit(keep).alias("decay"),
+        F.coalesce(F.lit(1.0 - keep) * F.col("mean_total_reward"), F.lit(0.0)).alias("gain"),
+    )
+    furthest = places.agg(F.max("place")).first()[0] or 0
+    level = places.select(*runs, "place", "decay", "gain")
+    befores = []
+    while True:
+        before, level = _folded(level, runs)
+        befores.append(before)
+        if furthest < STEPS_PER_BLOCK:
+            break
+        furthest //= STEPS_PER_BLOCK
+    entering = None
+    for before in reversed(befores):
+        if entering is None:
+            value = before.withColumn("value", F.col("gain"))
+        else:
+            above = entering.select(*runs, F.col("place").alias("block"), F.col("value").alias("above"))
+            value = before.join(above, [*runs, "block"]).withColumn("value", F.col("decay") * F.col("above") + F.col("gain"))
+        entering = value.select(*runs, "place", "value")
+    averages = places.join(entering, [*runs, "place"]).select(
+        *runs,
+        "step_id",
+        F.col("value").alias("baseline_before"),
+        (F.col("decay") * F.col("value") + F.col("gain")).alias("baseline_after"),
     )
+    return steps.join(averages, STEP)
 
 
 def advantages(sequences: DataFrame, steps: DataFrame | None = None) -> DataFrame:
@@ -182,7 +225,7 @@ def sequences_of(
     sequences = sums.where(F.col("update_id") == 0).select(
         *SEQUENCE, kl.alias("mean_kl"), F.col("n").alias("response_tokens")
     )
-    return penalise(sequences.join(rewards, "seq_id"), settings.kl_coefficient)
+    return penalise(sequences.join(rewards, SEQUENCE), settings.kl_coefficient)
 
 
 def surrogate_loss(sums: DataFrame, advantage: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pairloom.operators.keyed_cut import (
     DIGITS,
     KEY,
     STRATUM,
+    content_at_ties,
     cut_keys,
     divides_copies,
     held,
@@ -92,13 +93,13 @@ def split_pairs(
     """Add ``split`` ('train' or 'val') and ``row_key``; ceil(n * val_fraction) rows are 'val'.
 
     The choice depends on the seed and the rows alone. A category of None gives a plain random
-    split; so does a category table too sparse to stratify. Ids should be unique: if the cut
-    falls among rows with one id, all rows are keyed by their content instead.
+    split; so does a category table too sparse to stratify. If the cut falls among rows with one
+    id, those rows alone are ordered by their content as well.
     """
     rows = _keyed(df, seed, category, id_column)
     found = _find_cut(rows, val_fraction, category is not None, digits)
     if found is not None and found.divided and id_column in df.columns:
-        rows = _keyed(df, seed, category, None)
+        rows = content_at_ties(rows, found.cuts, found.fits, df.columns)
         found = _find_cut(rows, val_fraction, category is not None, digits)
     labelled = [*df.columns, F.col(KEY).alias("row_key"), "split"]
     if found is None:

@@ -13,6 +13,7 @@ from pairloom.operators.keyed_cut import (
     DIGITS,
     KEY,
     STRATUM,
+    content_at_ties,
     cut_keys,
     divides_copies,
     held,
@@ -50,17 +51,18 @@ def fraction_membership(
     if not partial:
         return df.withColumn("fractions", whole_array)
 
-    def find(key: Column) -> tuple[DataFrame, DataFrame, bool, bool]:
-        rows = df.withColumn(KEY, key).withColumn(STRATUM, stratum_key(F.col(category)))
+    def find(rows: DataFrame) -> tuple[DataFrame, bool, bool]:
         with held(rows.where(F.col(category).isNotNull())) as keyed:
             histogram = key_histogram(keyed, digits)
-            fits = strata_fit_broadcast(histogram)
+            fits = strata_fit_broadcast(histogram, len(partial))
             cuts = cut_keys(keyed, histogram, [_sample_size(f) for f in partial], fits, digits)
-            return rows, cuts, fits, divides_copies(cuts)
+            return cuts, fits, divides_copies(cuts)
 
-    rows, cuts, fits, divided = find(row_key(df, seed, id_column))
+    rows = df.withColumn(KEY, row_key(df, seed, id_column)).withColumn(STRATUM, stratum_key(F.col(category)))
+    cuts, fits, divided = find(rows)
     if divided and id_column in columns:
-        rows, cuts, fits, divided = find(row_key(df, seed, None))
+        rows = content_at_ties(rows, cuts, fits, columns)
+        cuts, fits, divided = find(rows)
     numbered = number_copies(rows, cuts, fits, divided)
     fraction_of = F.element_at(F.array(*[F.lit(f) for f in partial]), F.col("cut_no") + 1)
     bounds = cuts.groupBy(STRATUM).agg(

@@ -20,7 +20,7 @@ from pairloom.plans.curation import CuratedData
 from pairloom.plans.curve import run_learning_curve
 from pairloom.plans.records import stage_record
 from pairloom.queries import tables
-from pairloom.session import scratch_path
+from pairloom.session import scratch_path, stored
 from pairloom.settings import (
     CURVE_VAL_FRACTION,
     MAX_LOSS_FOR_PERPLEXITY,
@@ -34,7 +34,6 @@ from pairloom.sources import preference_csv, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
-CATEGORIES = ("de", "en", "es", "fr")
 
 
 def register(query: Query, name: str | None = None) -> Query:
@@ -433,18 +432,20 @@ def power_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def curve_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     sweep = subsample.fraction_sweep(_train_half(spark, sf_dir))
     evaluated = evaluate.category_evaluation(sweep, by=("fraction",))
-    return _rounded(evaluate.curve_table(evaluated, CATEGORIES))
+    return _rounded(evaluate.curve_table(evaluated))
 
 
 # Rollouts
 
 
 def _sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollout.rewarded_sequences(tables.rollout_tokens(spark, sf_dir), tables.rollout_rewards(spark, sf_dir))
+    """Stored, as step moments and advantages start from the same sequences."""
+    tokens, rewards = tables.rollout_tokens(spark, sf_dir), tables.rollout_rewards(spark, sf_dir)
+    return stored(rollout.rewarded_sequences(tokens, rewards), "sequences")
 
 
 def _loss(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sums = rollout.update_sums(tables.rollout_updates(spark, sf_dir))
+    sums = stored(rollout.update_sums(tables.rollout_updates(spark, sf_dir)), "update-sums")
     sequences = rollout.sequences_of(sums, tables.rollout_rewards(spark, sf_dir))
     return rollout.surrogate_loss(sums, rollout.advantages(sequences))
 

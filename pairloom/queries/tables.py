@@ -117,7 +117,7 @@ def rollout_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rollout_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per generated sequence."""
     return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("seq_id"), (F.sqrt("o_totalprice") / 200 - 2).alias("reward")
+        *_run_of(F.col("o_orderkey")), (F.sqrt("o_totalprice") / 200 - 2).alias("reward")
     )
 
 

@@ -17,17 +17,24 @@ def read_view(spark: SparkSession, path: str, split: str | None = None) -> DataF
 
 
 def write_metrics(record: DataFrame, path: str) -> None:
-    """One JSON record; absent parts are left out."""
-    record.coalesce(1).write.mode("overwrite").json(path)
+    """JSON records, one to a line; absent parts are left out."""
+    record.write.mode("overwrite").json(path)
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """Every JSON record below a folder with its path, sorted by path."""
-    return (
-        spark.read.option("multiLine", True)
+    """Every JSON record below a folder with its path, sorted by path.
+
+    A file holds one record to a line, or a single record over several lines; both may occur.
+    """
+    files = (
+        spark.read.option("wholetext", True)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
-        .json(path)
-        .select(F.col("_metadata.file_path").alias("path"), "*")
-        .orderBy("path")
+        .text(path)
+        .select(F.col("_metadata.file_path").alias("path"), F.trim("value").alias("value"))
     )
+    lines = F.filter(F.split("value", "\\r?\\n"), lambda line: F.trim(line) != "")
+    single = F.forall(lines, lambda line: F.trim(line).startswith("{") & F.trim(line).endswith("}"))
+    records = files.select("path", F.explode(F.when(single, lines).otherwise(F.array("value"))).alias("record"))
+    schema = spark.read.json(records.select("record").rdd.map(lambda row: row["record"])).schema
+    return records.select("path", F.from_json("record", schema).alias("r")).select("path", "r.*").orderBy("path")

@@ -48,17 +48,17 @@ def test_baseline_small(spark):
     assert [g[2] for g in got] == pytest.approx([0.1, 0.29, 0.561])
 
 
-@pytest.mark.parametrize("block", [1, 7, 1000])
-def test_baseline_of_a_long_run(spark, monkeypatch, block):
-    monkeypatch.setattr(rollout, "STEPS_PER_BLOCK", block)
+@pytest.mark.parametrize("keep", [0.0, 0.3, 0.9, 0.999])
+@pytest.mark.parametrize("steps", [range(1500), range(-500_000, 1_000_000, 2_500), [0, 1, 5, 10**9, 10**12]])
+def test_baseline_of_a_long_run(spark, monkeypatch, steps, keep):
+    monkeypatch.setattr(rollout, "STEPS_PER_BLOCK", 64)
     rng = random.Random(3)
-    steps = sorted(rng.sample(range(9000), 1500))
     rewards = [rng.uniform(-5, 5) for _ in steps]
     df = spark.createDataFrame([(1, s, r) for s, r in zip(steps, rewards)], "run_id long, step_id long, mean_total_reward double")
-    got = {r.step_id: (r.baseline_before, r.baseline_after) for r in rollout.reward_baseline(df.repartition(5)).collect()}
+    got = {r.step_id: (r.baseline_before, r.baseline_after) for r in rollout.reward_baseline(df.repartition(5), keep).collect()}
     m = 0.0
     for s, r in zip(steps, rewards):
-        before, m = m, 0.9 * m + 0.1 * r
+        before, m = m, keep * m + (1 - keep) * r
         assert got[s][0] == pytest.approx(before, abs=1e-12)
         assert got[s][1] == pytest.approx(m, abs=1e-12)
 
@@ -76,7 +76,11 @@ def test_loss_clip_and_history_against_python(spark):
                 ref, drift = old + rng.uniform(-0.2, 0.2), rng.uniform(-0.15, 0.15)
                 rows += [(1, step, seq, u, mask, old, ref, old + (u + 1) * drift) for u in range(4)]
     updates = tokens(spark, rows)
-    reward_table = spark.createDataFrame(list(rewards.items()), "seq_id long, reward double")
+    step_of = {r[2]: r[1] for r in rows}
+    reward_table = spark.createDataFrame(
+        [(1, step_of[s], s, r) for s, r in rewards.items()] + [(2, 0, 1, 99.0)],
+        "run_id long, step_id long, seq_id long, reward double",
+    )
     settings = PolicyRunSettings()
     history = rollout.step_history(updates, reward_table, settings)
     got = {r.step_id: r for r in history.collect()}
@@ -123,7 +127,7 @@ def test_perplexity_is_capped(spark):
 
 
 def test_join_log_probs(spark):
-    policy = spark.createDataFrame([(1, 1, 0, -1.0), (1, 1, 1, -2.0)], "run_id long, seq_id long, pos int, old_lp double")
-    reference = spark.createDataFrame([(1, 1, 1, -2.5)], "run_id long, seq_id long, pos int, ref_lp double")
+    policy = spark.createDataFrame([(1, 1, 1, 0, -1.0), (1, 1, 1, 1, -2.0)], "run_id long, step_id long, seq_id long, pos int, old_lp double")
+    reference = spark.createDataFrame([(1, 1, 1, 1, -2.5), (1, 2, 1, 1, 7.0)], "run_id long, step_id long, seq_id long, pos int, ref_lp double")
     rows = rollout.join_log_probs(policy, reference).collect()
     assert [(r.pos, r.kl) for r in rows] == [(1, 0.5)]

@@ -22,8 +22,8 @@ def skewed(tmp_path_factory):
     """A hot prompt and hot responses; a hot sequence in a hot step; a third equal times; one
     language; and tokens that are copies of one another."""
     folder = tmp_path_factory.mktemp("skewed")
-    for name in ("orders", "documents", "conversations"):
-        shutil.copy(f"{SF}/{name}.parquet", folder)
+    for name in ("orders", "conversations"):  # contents only: the given files are read-only
+        shutil.copyfile(f"{SF}/{name}.parquet", folder / f"{name}.parquet")
     documents = pd.read_parquet(f"{SF}/documents.parquet")
     documents.loc[documents.index % 10 != 0, "lang"] = "en"
     documents.to_parquet(folder / "documents.parquet")
