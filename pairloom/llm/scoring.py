@@ -323,6 +323,26 @@ def parts(docs: DataFrame, scorer: Scorer, held_out: Column, id_column: str) ->
     return stored(rows.mapInArrow(score, PART_SCHEMA), "parts")
 
 
+def frequent_tokens(counts: DataFrame, most: int = FREQUENT) -> list[tuple[bytes, int]]:
+    """At most `most` of the most frequent words with their counts, highest first.
+
+    A histogram over eighths of powers of two finds the count from which on few enough words are left, so
+    that no task sends more than it has to.
+    """
+    words = counts.where(F.length("token") > 0)
+    step = F.floor(F.log2(F.col("c").cast("double")) * 8).cast("int")
+    room, least = most, None
+    for row in words.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():  # 512 rows at most
+        room -= row["count"]
+        if room < 0:
+            break
+        least = row["step"]
+    if least is None:
+        return []
+    found = [(bytes(r["token"]), r["c"]) for r in words.where(step >= least).collect()]
+    return sorted(found, key=lambda x: (-x[1], x[0]))
+
+
 def tail_sizes(counts: DataFrame, words: dict[bytes, int]) -> dict[str, np.ndarray]:
     """Tokens and types of each tail class."""
     shipped = counts.sparkSession.sparkContext.broadcast(words)
@@ -354,8 +374,7 @@ def language_model_scores(docs: DataFrame, held_out: Column, id_column: str = "d
     """
     seen = docs.where(~held_out)
     counts = token_counts(seen)
-    top = counts.where(F.length("token") > 0).orderBy(F.desc("c"), "token").limit(FREQUENT)
-    top = [(bytes(r["token"]), r["c"]) for r in top.collect()]  # FREQUENT rows at most
+    top = frequent_tokens(counts)
     ends = counts.where(F.length("token") == 0).first()
     ends = ends["c"] if ends else 0
     frequent = {w: i for i, (w, _) in enumerate(top, 1)}
