@@ -25,7 +25,7 @@ LINE_SCHEMA = "text_id long, rank long, line int, words int, leaf long, form lon
 def line_rows(texts: list[bytes | None]) -> tuple[np.ndarray, ...]:
     """Number of text and line, word count, leaf and masked form of every line of enough words.
 
-    Words with a digit are variable fields and hashed alike. The leaf is the path in the tree: the number of words,
+    Words with a digit are variable fields and hashed alike, unless they are most of a line. The leaf is the path in the tree: the number of words,
     then the leading words one by one.
     """
     lines = [line for t in texts for line in (t or b"").split(b"\n")]
@@ -33,9 +33,11 @@ def line_rows(texts: list[bytes | None]) -> tuple[np.ndarray, ...]:
     text = np.repeat(np.arange(len(texts)), counts)
     number = np.arange(len(lines)) - np.repeat(np.cumsum(counts) - counts, counts)
     hashes, owner = token_hashes(lines)
-    if len(hashes):
-        hashes = np.where(with_digit(lines), WILD, hashes)
     sizes = np.bincount(owner, minlength=len(lines))
+    if len(hashes):
+        variable = with_digit(lines)
+        few = np.bincount(owner, variable, len(lines)) <= (1 - CONSTANT) * sizes
+        hashes = np.where(variable & few[owner], WILD, hashes)
     firsts = np.cumsum(sizes) - sizes
     able = np.flatnonzero(sizes >= LEAST_WORDS)
     leaf = mix64(sizes[able].astype(np.uint64))

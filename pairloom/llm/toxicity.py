@@ -23,6 +23,7 @@ PUNCTUATION = b".,;:!?\"'()[]{}<>*&#$%|-_=+/\\~^`@"
 THRESHOLD = 0.7
 SAMPLE = 1500
 CACHE = 200_000
+STEPS = 200
 
 Params = dict[str, np.ndarray]
 
@@ -180,7 +181,8 @@ def fit_network(texts: list[bytes], labels: np.ndarray, epochs: int = 10, seed:
 
     Word and n-gram vectors start with the evidence that the labelled documents give for them. A
     toxic document teaches by its most suspicious window, any other by its most suspicious windows and
-    some at random; which ones these are is decided anew by the network half-way.
+    some at random; which ones these are is decided anew by the network half-way. Few documents are gone
+    through more often, for at least STEPS steps.
     """
     rng = np.random.default_rng(seed)
     docs = [t.lower().split() for t in texts]
@@ -213,6 +215,8 @@ def fit_network(texts: list[bytes], labels: np.ndarray, epochs: int = 10, seed:
     worth = np.array([suspicion[ids[d][a:b]].max() if b > a else 0.0 for d, a, b in cut])
     memory = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in p.items() if k != "evidence"}
     step = 0
+    about = sum(min(len(w), 1 if labels[d] else 5) for d, w in by_doc.items())
+    epochs = max(epochs, -(-STEPS * 256 // max(about, 256)))
     for epoch in range(epochs):
         if epoch == epochs // 2:
             worth = np.concatenate(
