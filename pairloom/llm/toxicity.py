@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +24,7 @@ THRESHOLD = 0.7
 SAMPLE = 1500
 CACHE = 200_000
 STEPS = 200
+WORDS_AT_ONCE = 10_000
 
 Params = dict[str, np.ndarray]
 
@@ -56,6 +57,17 @@ def word_features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return bucket, grams, np.searchsorted(owner, np.arange(len(words)))
 
 
+def vocabulary_features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of many words, made for some at a time."""
+    parts = [word_features(words[i : i + WORDS_AT_ONCE]) for i in range(0, len(words), WORDS_AT_ONCE)]
+    shift = np.cumsum([0, *[len(g) for _, g, _ in parts]])
+    return (
+        np.concatenate([b for b, _, _ in parts]),
+        np.concatenate([g.astype(np.int32) for _, g, _ in parts]),
+        np.concatenate([s + d for (_, _, s), d in zip(parts, shift, strict=False)]),
+    )
+
+
 def inputs(p: Params, bucket: np.ndarray, grams: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Input vector of each word: its word vector, the mean of its n-gram vectors, and their strongest evidence."""
     counts = np.diff(np.append(starts, len(grams)))[:, None]
@@ -165,7 +177,7 @@ def loss_gradient(p: Params, x: np.ndarray, mask: np.ndarray, target: np.ndarray
     return g, d_ahead @ p["w_ahead"].T + d_back @ p["w_back"].T
 
 
-def evidence(present: list[np.ndarray], labels: np.ndarray, buckets: int) -> np.ndarray:
+def evidence(present: Iterable[np.ndarray], labels: np.ndarray, buckets: int) -> np.ndarray:
     """How many standard errors a bucket's log-odds of being in toxic documents is from even, at most 6."""
     counts = np.zeros((2, buckets))
     for found, label in zip(present, labels.tolist(), strict=True):
@@ -185,23 +197,26 @@ def fit_network(texts: list[bytes], labels: np.ndarray, epochs: int = 10, seed:
     through more often, for at least STEPS steps.
     """
     rng = np.random.default_rng(seed)
-    docs = [t.lower().split() for t in texts]
-    vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for d in docs for w in d))}
-    bucket, grams, starts = word_features(list(vocabulary) or [b""])
+    vocabulary: dict[bytes, int] = {}
+    ids = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in t.lower().split()], np.int32) for t in texts]
+    bucket, grams, starts = vocabulary_features(list(vocabulary) or [b""])
+    del vocabulary
     stops = np.append(starts[1:], len(grams))
-    ids = [np.array([vocabulary[w] for w in d], np.int64) for d in docs]
-    own = lambda d: np.concatenate([grams[starts[i] : stops[i]] for i in np.unique(d)] or [np.zeros(0, np.int64)])
+
+    def own(d: np.ndarray) -> np.ndarray:
+        return picked(bucket, grams, starts, stops, np.unique(d))[1]
+
     f = np.float32
     p: Params = {
         "words": rng.normal(0, 0.1, (1 << WORD_BITS, DIM)).astype(f),
         "chars": rng.normal(0, 0.1, (1 << CHAR_BITS, DIM)).astype(f),
-        "evidence": evidence([own(d) for d in ids], labels, 1 << CHAR_BITS) / 3,
+        "evidence": evidence(map(own, ids), labels, 1 << CHAR_BITS) / 3,
         "attend": rng.normal(0, 0.3, (2 * HIDDEN, HIDDEN)).astype(f),
         "query": rng.normal(0, 0.3, HIDDEN).astype(f),
         "out": rng.normal(0, 0.3, 2 * HIDDEN).astype(f),
         "bias": np.array([-1.0], f),
     }
-    p["words"][:, 0] = evidence([bucket[d] for d in ids], labels, 1 << WORD_BITS) / 3
+    p["words"][:, 0] = evidence((bucket[d] for d in ids), labels, 1 << WORD_BITS) / 3
     p["chars"][:, 0] = p["evidence"]
     for side in ("ahead", "back"):
         p[f"w_{side}"] = rng.normal(0, 0.3, (2 * DIM + 1, 3 * HIDDEN)).astype(f)
@@ -215,24 +230,28 @@ def fit_network(texts: list[bytes], labels: np.ndarray, epochs: int = 10, seed:
     worth = np.array([suspicion[ids[d][a:b]].max() if b > a else 0.0 for d, a, b in cut])
     memory = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in p.items() if k != "evidence"}
     step = 0
-    about = sum(min(len(w), 1 if labels[d] else 5) for d, w in by_doc.items())
+    about = sum(min(len(w), 1 if labels[d] else 7) for d, w in by_doc.items())
     epochs = max(epochs, -(-STEPS * 256 // max(about, 256)))
     for epoch in range(epochs):
         if epoch == epochs // 2:
-            worth = np.concatenate(
-                [
-                    score_windows(p, project(p, inputs(p, bucket, grams, starts))[at], mask)
-                    for at, mask in (padded(ids, cut[i : i + 4096], len(bucket)) for i in range(0, len(cut), 4096))
-                ]
-            )
+            table = [np.zeros((0, 6 * HIDDEN), np.float32)]
+            for i in range(0, len(bucket), WORDS_AT_ONCE):
+                some = np.arange(i, min(i + WORDS_AT_ONCE, len(bucket)))
+                table.append(project(p, inputs(p, *picked(bucket, grams, starts, stops, some)))[:-1])
+            table = np.concatenate([*table, np.zeros((1, 6 * HIDDEN), np.float32)])
+            for i in range(0, len(cut), 2048):
+                at, mask = padded(ids, cut[i : i + 2048], len(bucket))
+                worth[i : i + 2048] = score_windows(p, table[at], mask)
+            del table
         chosen: list[tuple[int, int]] = []
         for doc, own_windows in by_doc.items():
             ranked = sorted(own_windows, key=lambda w: -worth[w])
             label = int(labels[doc])
-            chosen += [(w, label) for w in ranked[: 1 if label else 3]]
+            chosen += [(w, label) for w in ranked[: 1 if label else 5]]
             if not label:
                 chosen += [(int(w), 0) for w in rng.choice(own_windows, min(2, len(own_windows)), replace=False)]
         order = rng.permutation(len(chosen))
+        rate = 0.01 if 2 * epoch < epochs else 0.003
         for first in range(0, len(order), 256):
             some = [chosen[i] for i in order[first : first + 256]]
             at, mask = padded(ids, [cut[w] for w, _ in some], len(bucket))
@@ -257,7 +276,7 @@ def fit_network(texts: list[bytes], labels: np.ndarray, epochs: int = 10, seed:
                 first_m, second_m = memory[k]
                 first_m += 0.1 * (d - first_m)
                 second_m += 0.001 * (d * d - second_m)
-                p[k] -= 0.01 * (first_m / (1 - 0.9**step)) / (np.sqrt(second_m / (1 - 0.999**step)) + 1e-6)
+                p[k] -= rate * (first_m / (1 - 0.9**step)) / (np.sqrt(second_m / (1 - 0.999**step)) + 1e-6)
     return p
 
 
