@@ -66,8 +66,9 @@ def tree_lines(texts: DataFrame, leaves: DataFrame | None = None) -> DataFrame:
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
             text, number, words, leaf, form, hashes, firsts = line_rows(texts_of(piece))
+            short = hashes.astype(np.uint32)
             ids, ranks = (piece.column(c).to_numpy() for c in range(2))
-            tokens = [hashes[f : f + w].tobytes() for f, w in zip(firsts, words, strict=True)] if keep else [None] * len(text)
+            tokens = [short[f : f + w].tobytes() for f, w in zip(firsts, words, strict=True)] if keep else [None] * len(text)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids[text]),
@@ -89,18 +90,17 @@ def tree_lines(texts: DataFrame, leaves: DataFrame | None = None) -> DataFrame:
 
 
 def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for every word of a line: the hash of leaf, place and word."""
+    """A row for every word of a line: the line's form, and the hash of leaf, place and word."""
     for batch in batches:
-        hashes = [np.frombuffer(t, np.uint64) for t in batch.column("tokens").to_pylist()]
+        hashes = [np.frombuffer(t, np.uint32) for t in batch.column("tokens").to_pylist()]
         sizes = np.array([len(h) for h in hashes], np.int64)
         if not len(sizes):
             continue
         at = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         leaf = np.repeat(batch.column("leaf").to_numpy(), sizes).view(np.uint64)
-        key = mix64(np.concatenate(hashes) ^ mix64(leaf + at.astype(np.uint64)))
-        columns = {c: np.repeat(batch.column(c).to_numpy(), sizes) for c in ("form", "words", "text_id", "rank")}
-        columns["key"] = key.view(np.int64)
-        yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
+        key = mix64(np.concatenate(hashes).astype(np.uint64) ^ mix64(leaf + at.astype(np.uint64)))
+        form = np.repeat(batch.column("form").to_numpy(), sizes)
+        yield pa.RecordBatch.from_arrays([pa.array(form), pa.array(key.view(np.int64))], names=["form", "key"])
 
 
 def recurring(texts: DataFrame) -> DataFrame:
@@ -108,8 +108,8 @@ def recurring(texts: DataFrame) -> DataFrame:
 
     1. Lines are parsed into the leaves of the tree; leaves of one text alone are left.
     2. Lines of one masked form in several texts recur.
-    3. Forms of long lines that are in one leaf are generalised: a word is constant at its place if forms in two
-       texts have it there, everything else is a variable field. Forms with the same constants in the same
+    3. Forms of long lines that are in one leaf are generalised: a word is constant at its place if two forms have
+       it there, everything else is a variable field. Forms with the same constants in the same
        places, at least CONSTANT of their words, have one template.
     Of lines with one form or template, those in the text of the lowest rank stay, all others are dropped. Lines of
     less than LONG_LINE words are not generalised, and need SHORT_TEXTS texts to recur, since two texts may well
@@ -119,22 +119,22 @@ def recurring(texts: DataFrame) -> DataFrame:
     lines = tree_lines(texts)
     leaves = lines.groupBy("leaf").agg(*ends).where("first <> last").select("leaf")
     parsed = stored(tree_lines(texts, stored(leaves, "leaves")), "parsed")
-    once = parsed.dropDuplicates(["form", "text_id"])
-    forms = once.groupBy("form", "words", "leaf").agg(*ends, F.count("*").alias("texts"), F.min("tokens").alias("tokens"))
-    forms = stored(forms, "forms")
+    once = parsed.select("form", "words", "leaf", "rank", "text_id").distinct()
+    forms = stored(once.groupBy("form", "words", "leaf").agg(*ends, F.count("*").alias("texts")), "forms")
     exact = forms.where(f"texts >= IF(words >= {LONG_LINE}, 2, {SHORT_TEXTS})").select("form", "first")
 
-    long_forms = forms.where(f"words >= {LONG_LINE}").select(
-        "form", "words", "leaf", "tokens", F.col("first.text_id").alias("text_id"), F.col("first.rank").alias("rank")
-    )
-    placed = stored(long_forms.mapInArrow(places, "form long, words int, text_id long, rank long, key long"), "places")
-    keys = placed.groupBy("key").agg(F.min("text_id").alias("a"), F.max("text_id").alias("b")).where("a <> b")
-    constants = placed.join(keys.select("key"), "key").groupBy("form", "words", "text_id", "rank")
-    constants = constants.agg(
+    heads = forms.where(f"words >= {LONG_LINE}").select("form", F.expr("first.text_id AS text_id"), F.expr("first.rank AS rank"))
+    lines = parsed.where(f"words >= {LONG_LINE}").join(heads.select("form", "text_id"), ["form", "text_id"])
+    lines = stored(lines.dropDuplicates(["form"]).select("form", "leaf", "words", "tokens"), "representatives")
+    placed = lines.mapInArrow(places, "form long, key long")
+    keys = placed.groupBy("key").agg(F.min("form").alias("a"), F.max("form").alias("b")).where("a <> b")
+    constants = placed.join(keys.select("key"), "key").groupBy("form").agg(
         F.count("*").alias("constants"),
         F.sum(F.col("key").bitwiseAND((1 << 40) - 1)).alias("sum"),
         F.expr("bit_xor(key)").alias("xor"),
-    ).where(F.col("constants") >= CONSTANT * F.col("words"))
+    )
+    constants = constants.join(forms.select("form", "words"), "form").where(F.col("constants") >= CONSTANT * F.col("words"))
+    constants = constants.join(heads, "form")
     template = ["words", "constants", "sum", "xor"]
     constants = stored(constants.select("form", "text_id", "rank", *template), "templates")
     shared = constants.groupBy(*template).agg(*ends).where("first <> last")
