@@ -82,6 +82,30 @@ def test_win_rate_is_strict(spark):
     assert win_rate(pair_policies(scores.where("prompt_id = 3"))).first().win_rate is None
 
 
+def test_repeated_scores_are_refused(spark):
+    rows = [(1, "ppo", 1.0), (1, "ppo", 9.0), (1, "reference", 5.0)]
+    scores = spark.createDataFrame(rows, "prompt_id long, policy string, score double")
+    with pytest.raises(Exception, match="several scores of ppo"):
+        pair_policies(scores).collect()
+
+
+def test_every_record_of_a_file_is_read(spark, tmp_path):
+    write_metrics(spark.range(5).coalesce(1), str(tmp_path / "lines"))
+    (tmp_path / "pretty").mkdir()
+    (tmp_path / "pretty" / "one.json").write_text('{\n  "id": 7,\n  "name": "x"\n}\n')
+    rows = read_metrics(spark, str(tmp_path)).collect()
+    assert sorted(r.id for r in rows) == [0, 1, 2, 3, 4, 7]
+    assert [r.name for r in rows if r.id == 7] == ["x"]
+
+
+def test_pairs_without_scores_are_left_out_alike(spark):
+    rows = [("a", 2.0, 1.0), ("a", None, 1.0)]
+    scored = spark.createDataFrame(rows, "prompt_category string, chosen_score double, rejected_score double")
+    one = pairwise_evaluation(scored).first()
+    two = category_evaluation(scored).where("is_total").first()
+    assert (one.pairwise_accuracy, one.pairs) == (two.accuracy, two.pairs) == (1.0, 1)
+
+
 def test_records(spark, tmp_path):
     metrics = spark.range(1).select(F.lit(0.5).alias("loss"))
     for n in (0, 3):

@@ -202,3 +202,13 @@ def test_batches_cover_each_epoch_once(spark):
     steps = steps_per_epoch(ids, plan).first()
     assert (steps.prompts, steps.steps_per_epoch, steps.total_steps) == (51, 13, 39)
     assert len({(r.epoch, r.batch_id) for r in rows}) == 39
+
+
+def test_one_repeated_id_moves_few_rows(spark):
+    """A repeated id at the cut must not key the whole table anew."""
+    rows = [(i, "a", f"text {i}") for i in range(200)]
+    schema = "pair_id long, prompt_category string, prompt string"
+    before = split_pairs(spark.createDataFrame(rows, schema)).where("split = 'val'").orderBy("row_key").collect()
+    last = before[-1].pair_id
+    again = split_pairs(spark.createDataFrame([*rows, (last, "a", "another text")], schema)).where("split = 'val'").collect()
+    assert len(again) == 41 and len({r.pair_id for r in before} - {r.pair_id for r in again}) == 0
