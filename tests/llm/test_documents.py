@@ -137,6 +137,23 @@ def test_benchmark_passages_are_found(spark, benchmark):
     assert {(r.doc_id, r.item_id) for r in rows} == planted
 
 
+def test_passages_in_a_third_of_the_documents_are_found(spark, benchmark):
+    rng = random.Random(14)
+    items = {r.item_id: r.text for r in benchmark.where("item_id < 12").collect()}
+    n, docs, planted = 3000, [], set()
+    for i in range(n):
+        words = sentence(rng, 40).split()
+        if i % 3 == 0:
+            words[7:7] = items[3].split()
+            planted.add((i, 3))
+        docs.append((i, " ".join(words)))
+    extra = [(20, items[3] + " raretoken"), (3, items[3])]
+    some = spark.createDataFrame(extra, "item_id long, text string")
+    rows = contaminated(spark.createDataFrame(docs, "doc_id long, text string"), some).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == planted | {(d, 20) for d, _ in planted}
+    assert {r.kind for r in rows} == {"copy"}
+
+
 def test_decontamination_of_awkward_rows(spark, benchmark):
     assert contaminated(awkward(spark), benchmark).count() == 0
     assert contaminated(empty(spark), benchmark).count() == 0
