@@ -89,18 +89,94 @@ def tree_lines(texts: DataFrame, leaves: DataFrame | None = None) -> DataFrame:
     return rows.join(some, "leaf", "left_semi")
 
 
-def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for every word of a line: the line's form, and the hash of leaf, place and word."""
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for every block of a line: the line's form and rank, and the hash of leaf, block and the block's words.
+
+    The words behind the leading ones are cut into one block more than may differ, so two similar lines share one.
+    """
     for batch in batches:
-        hashes = [np.frombuffer(t, np.uint32) for t in batch.column("tokens").to_pylist()]
-        sizes = np.array([len(h) for h in hashes], np.int64)
-        if not len(sizes):
+        if not batch.num_rows:
             continue
-        at = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        leaf = np.repeat(batch.column("leaf").to_numpy(), sizes).view(np.uint64)
-        key = mix64(np.concatenate(hashes).astype(np.uint64) ^ mix64(leaf + at.astype(np.uint64)))
-        form = np.repeat(batch.column("form").to_numpy(), sizes)
-        yield pa.RecordBatch.from_arrays([pa.array(form), pa.array(key.view(np.int64))], names=["form", "key"])
+        tokens = [np.frombuffer(t, np.uint32) for t in batch.column("tokens").to_pylist()]
+        sizes = np.array([len(t) for t in tokens], np.int64)
+        rest = sizes - LEADING
+        n = np.minimum(np.floor((1 - CONSTANT) * sizes).astype(np.int64) + 1, rest)
+        line = np.repeat(np.arange(len(sizes)), sizes)
+        at = np.arange(len(line)) - np.repeat(np.cumsum(sizes) - sizes, sizes) - LEADING
+        behind = at >= 0
+        line, at = line[behind], at[behind]
+        words = np.concatenate(tokens)[behind].astype(np.uint64)
+        block = at * n[line] // rest[line]
+        starts = np.flatnonzero(np.diff(block, prepend=-1) | np.diff(line, prepend=-1))
+        mixed = mix64(words ^ mix64(at.astype(np.uint64) + np.uint64(0x9FB21C651E98DF25)))
+        owner = line[starts]
+        leaf = batch.column("leaf").to_numpy().view(np.uint64)[owner]
+        key = mix64(np.add.reduceat(mixed, starts) ^ mix64(leaf + block[starts].astype(np.uint64)))
+        owner = pa.array(owner)
+        columns = [batch.column(c).take(owner) for c in ("form", "rank", "text_id")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(key.view(np.int64))], names=["form", "rank", "text_id", "key"])
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether rows have CONSTANT of their words equal at their places."""
+    return (a == b).sum(axis=-1) >= CONSTANT * b.shape[-1]
+
+
+def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows with two lines, those whose lines are alike."""
+    for batch in batches:
+        pairs = zip(batch.column("tokens").to_pylist(), batch.column("others").to_pylist(), strict=True)
+        good = [len(a) == len(b) and bool(alike(np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32))) for a, b in pairs]
+        yield batch.select(["form", "first"]).filter(pa.array(good, pa.bool_()))
+
+
+def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines in order of key and rank against the templates of their key; a line that matches none is a new one."""
+    key, heads, names = None, np.zeros((0, 0), np.uint32), []
+    for batch in batches:
+        forms, firsts = [], []
+        cols = [batch.column(c).to_pylist() for c in ("key", "form", "rank", "text_id", "tokens")]
+        for now, form, rank, text_id, tokens in zip(*cols, strict=True):
+            line = np.frombuffer(tokens, np.uint32)
+            if now != key or heads.shape[1] != len(line):
+                key, heads, names = now, np.zeros((64, len(line)), np.uint32), []
+            found = np.flatnonzero(alike(heads[: len(names)], line)) if names else []
+            if len(found):
+                forms.append(form)
+                firsts.append(names[found[0]])
+                continue
+            if len(names) == len(heads):
+                heads = np.concatenate((heads, np.zeros_like(heads)))
+            heads[len(names)] = line
+            names.append({"rank": rank, "text_id": text_id})
+        kind = pa.struct([("rank", pa.int64()), ("text_id", pa.int64())])
+        yield pa.RecordBatch.from_arrays([pa.array(forms, pa.int64()), pa.array(firsts, kind)], names=["form", "first"])
+
+
+LINK_SCHEMA = "form long, first struct<rank: long, text_id: long>"
+
+
+def generalised(lines: DataFrame) -> DataFrame:
+    """Forms that match the template of an earlier one: (form, first), of (form, leaf, rank, text_id, tokens).
+
+    Under every key of a block, all lines are compared with the earliest. Those that match none and are still
+    two or more under a key are then read in order and compared with each template found under the key.
+    """
+    placed = stored(lines.mapInArrow(blocks, "form long, rank long, text_id long, key long"), "blocks")
+    order = F.struct("rank", "text_id", "form")
+    heads = placed.groupBy("key").agg(F.min(order).alias("head"), F.max(order).alias("end")).where("head <> end")
+    heads = stored(heads.select("key", "head"), "heads")
+    shared = placed.join(heads, "key").where("form <> head.form")
+    pairs = shared.select("form", F.col("head.form").alias("other"), F.struct("head.rank", "head.text_id").alias("first")).distinct()
+    tokens = lines.select("form", "tokens")
+    pairs = pairs.join(tokens, "form").join(tokens.toDF("other", "others"), "other")
+    links = stored(pairs.select("form", "first", "tokens", "others").mapInArrow(similar, LINK_SCHEMA), "links")
+    left = shared.join(links.select("form").distinct(), "form", "left_anti").select("key", "form", "rank", "text_id")
+    left = stored(left, "left")
+    several = left.groupBy("key").agg(F.min("form").alias("a"), F.max("form").alias("b")).where("a <> b").select("key")
+    left = left.join(several, "key", "left_semi").join(tokens, "form").repartition("key")
+    left = left.sortWithinPartitions("key", "rank", "text_id", "form").select("key", "form", "rank", "text_id", "tokens")
+    return links.unionByName(left.mapInArrow(matched, LINK_SCHEMA))
 
 
 def recurring(texts: DataFrame) -> DataFrame:
@@ -108,9 +184,8 @@ def recurring(texts: DataFrame) -> DataFrame:
 
     1. Lines are parsed into the leaves of the tree; leaves of one text alone are left.
     2. Lines of one masked form in several texts recur.
-    3. Forms of long lines that are in one leaf are generalised: a word is constant at its place if two forms have
-       it there, everything else is a variable field. Forms with the same constants in the same
-       places, at least CONSTANT of their words, have one template.
+    3. Forms of long lines that are in one leaf are generalised: a form matches the template of an earlier one if
+       CONSTANT of their words are equal at their places, everything else is a variable field.
     Of lines with one form or template, those in the text of the lowest rank stay, all others are dropped. Lines of
     less than LONG_LINE words are not generalised, and need SHORT_TEXTS texts to recur, since two texts may well
     have a few words in common by chance.
@@ -124,21 +199,8 @@ def recurring(texts: DataFrame) -> DataFrame:
     exact = forms.where(f"texts >= IF(words >= {LONG_LINE}, 2, {SHORT_TEXTS})").select("form", "first")
 
     heads = forms.where(f"words >= {LONG_LINE}").select("form", F.expr("first.text_id AS text_id"), F.expr("first.rank AS rank"))
-    lines = parsed.where(f"words >= {LONG_LINE}").join(heads.select("form", "text_id"), ["form", "text_id"])
-    lines = stored(lines.dropDuplicates(["form"]).select("form", "leaf", "words", "tokens"), "representatives")
-    placed = lines.mapInArrow(places, "form long, key long")
-    keys = placed.groupBy("key").agg(F.min("form").alias("a"), F.max("form").alias("b")).where("a <> b")
-    constants = placed.join(keys.select("key"), "key").groupBy("form").agg(
-        F.count("*").alias("constants"),
-        F.sum(F.col("key").bitwiseAND((1 << 40) - 1)).alias("sum"),
-        F.expr("bit_xor(key)").alias("xor"),
-    )
-    constants = constants.join(forms.select("form", "words"), "form").where(F.col("constants") >= CONSTANT * F.col("words"))
-    constants = constants.join(heads, "form")
-    template = ["words", "constants", "sum", "xor"]
-    constants = stored(constants.select("form", "text_id", "rank", *template), "templates")
-    shared = constants.groupBy(*template).agg(*ends).where("first <> last")
-    general = constants.join(shared.select(*template, "first"), template).select("form", "first")
+    lines = parsed.where(f"words >= {LONG_LINE}").join(heads, ["form", "text_id", "rank"]).dropDuplicates(["form"])
+    general = generalised(stored(lines.select("form", "leaf", "rank", "text_id", "tokens"), "representatives"))
     drops = exact.unionByName(general).groupBy("form").agg(F.min("first").alias("first"))
     return parsed.join(drops, "form").where("text_id <> first.text_id").select("text_id", "line").distinct()
 

@@ -91,6 +91,20 @@ def test_lines_that_recur_stay_once(spark):
     assert got[9].dropped_lines == 1 and got[9].n_lines == 4
 
 
+def test_lines_with_fields_of_recurring_words_stay_once(spark):
+    rng = random.Random(23)
+    line = "this was the offer that {} sent from the town of {} to all of our readers"
+    other = "this was the offer that {} took by hand at once and {} has never seen one of them"
+    people, places = ["anna", "bob", "eva", "tom"], ["rome", "oslo", "bonn", "lyon"]
+    both = [(a, b) for a in people for b in places]
+    own = {i: sentence(rng, 20) for i in range(32)}
+    rows = [(i, f"{own[i]}\n{(line if i < 16 else other).format(*both[i % 16])}") for i in own]
+    got = {r.doc_id: r.text for r in without_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [i for i in got if "sent from the town" in got[i]] == [0]
+    assert [i for i in got if "took by hand" in got[i]] == [16]
+    assert all(own[i] in got[i] for i in own)
+
+
 def test_lines_of_awkward_rows(spark):
     df = awkward(spark)
     out = without_recurring_lines(df)
