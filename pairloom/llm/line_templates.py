@@ -12,9 +12,7 @@ from pyspark.sql import functions as F
 from pairloom.llm.common import BROADCAST_MAX_ROWS, load, mix64, pieces, stored, texts_of, token_hashes
 
 LEADING = 3
-LEAST_WORDS = 4
 LONG_LINE = 8
-SHORT_TEXTS = 8
 CONSTANT = 0.75
 OWN_SHARE = 0.1
 WILD = np.uint64(0x5851F42D4C957F2D)
@@ -23,10 +21,10 @@ LINE_SCHEMA = "text_id long, rank long, line int, words int, leaf long, form lon
 
 
 def line_rows(texts: list[bytes | None]) -> tuple[np.ndarray, ...]:
-    """Number of text and line, word count, leaf and masked form of every line of enough words.
+    """Number of text and line, word count, leaf and masked form of every line that has a word.
 
     Words with a digit are variable fields and hashed alike, unless they are most of a line. The leaf is the path in the tree: the number of words,
-    then the leading words one by one.
+    then the leading words one by one, padded in lines of fewer words.
     """
     lines = [line for t in texts for line in (t or b"").split(b"\n")]
     counts = [(t or b"").count(b"\n") + 1 for t in texts]
@@ -39,10 +37,13 @@ def line_rows(texts: list[bytes | None]) -> tuple[np.ndarray, ...]:
         few = np.bincount(owner, variable, len(lines)) <= (1 - CONSTANT) * sizes
         hashes = np.where(variable & few[owner], WILD, hashes)
     firsts = np.cumsum(sizes) - sizes
-    able = np.flatnonzero(sizes >= LEAST_WORDS)
+    able = np.flatnonzero(sizes > 0)
     leaf = mix64(sizes[able].astype(np.uint64))
     for depth in range(LEADING):
-        leaf = mix64(leaf * np.uint64(0x9FB21C651E98DF25) + hashes[firsts[able] + depth])
+        there = sizes[able] > depth
+        word = np.zeros(len(able), np.uint64)
+        word[there] = hashes[firsts[able[there]] + depth]
+        leaf = mix64(leaf * np.uint64(0x9FB21C651E98DF25) + word)
     place = np.arange(len(hashes)) - firsts[owner] if len(hashes) else np.zeros(0, np.int64)
     mixed = mix64(hashes + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)))
@@ -187,8 +188,7 @@ def recurring(texts: DataFrame) -> DataFrame:
     3. Forms of long lines that are in one leaf are generalised: a form matches the template of an earlier one if
        CONSTANT of their words are equal at their places, everything else is a variable field.
     Of lines with one form or template, those in the text of the lowest rank stay, all others are dropped. Lines of
-    less than LONG_LINE words are not generalised, and need SHORT_TEXTS texts to recur, since two texts may well
-    have a few words in common by chance.
+    less than LONG_LINE words are not generalised.
     """
     ends = (F.min(F.struct("rank", "text_id")).alias("first"), F.max(F.struct("rank", "text_id")).alias("last"))
     lines = tree_lines(texts)
@@ -196,7 +196,7 @@ def recurring(texts: DataFrame) -> DataFrame:
     parsed = stored(tree_lines(texts, stored(leaves, "leaves")), "parsed")
     once = parsed.select("form", "words", "leaf", "rank", "text_id").distinct()
     forms = stored(once.groupBy("form", "words", "leaf").agg(*ends, F.count("*").alias("texts")), "forms")
-    exact = forms.where(f"texts >= IF(words >= {LONG_LINE}, 2, {SHORT_TEXTS})").select("form", "first")
+    exact = forms.where("texts >= 2").select("form", "first")
 
     heads = forms.where(f"words >= {LONG_LINE}").select("form", F.expr("first.text_id AS text_id"), F.expr("first.rank AS rank"))
     lines = parsed.where(f"words >= {LONG_LINE}").join(heads, ["form", "text_id", "rank"]).dropDuplicates(["form"])
@@ -208,7 +208,7 @@ def recurring(texts: DataFrame) -> DataFrame:
 def without_recurring_lines(docs: DataFrame, id_column: str = "doc_id", own_share: float = OWN_SHARE) -> DataFrame:
     """Drop lines whose template recurs across documents; the first document that has it keeps it.
 
-    Returns the columns of `docs` and `n_lines`, `dropped_lines`, `kept_words`, `words`. Lines of fewer than LEAST_WORDS words are
+    Returns the columns of `docs` and `n_lines`, `dropped_lines`, `kept_words`, `words`. Blank lines are
     no templates. Copies of a whole text count as one text, named by its smallest id, and are treated alike, so
     that they stay copies. A text that keeps less than `own_share` of its words repeats earlier
     texts as a whole and loses all of them. Null and empty texts stay as they are; repeated rows are copies; rows

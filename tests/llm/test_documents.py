@@ -105,6 +105,15 @@ def test_lines_with_fields_of_recurring_words_stay_once(spark):
     assert all(own[i] in got[i] for i in own)
 
 
+def test_short_lines_that_recur_stay_once(spark):
+    rng = random.Random(24)
+    own = {i: sentence(rng, 20) for i in range(4)}
+    short = ["Menu", "Read more", "All rights reserved.", "Back to the top of page"]
+    rows = [(i, "\n".join([*short, "", t])) for i, t in own.items()]
+    got = {r.doc_id: r.text for r in without_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: rows[0][1] if i == 0 else "\n" + own[i] for i in own}
+
+
 def test_lines_of_awkward_rows(spark):
     df = awkward(spark)
     out = without_recurring_lines(df)
