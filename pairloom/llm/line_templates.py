@@ -14,7 +14,6 @@ from pairloom.llm.common import BROADCAST_MAX_ROWS, load, mix64, pieces, stored,
 LEADING = 3
 LONG_LINE = 8
 CONSTANT = 0.75
-OWN_SHARE = 0.1
 WILD = np.uint64(0x5851F42D4C957F2D)
 
 LINE_SCHEMA = "text_id long, rank long, line int, words int, leaf long, form long, tokens binary"
@@ -205,13 +204,12 @@ def recurring(texts: DataFrame) -> DataFrame:
     return parsed.join(drops, "form").where("text_id <> first.text_id").select("text_id", "line").distinct()
 
 
-def without_recurring_lines(docs: DataFrame, id_column: str = "doc_id", own_share: float = OWN_SHARE) -> DataFrame:
+def without_recurring_lines(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """Drop lines whose template recurs across documents; the first document that has it keeps it.
 
     Returns the columns of `docs` and `n_lines`, `dropped_lines`, `kept_words`, `words`. Blank lines are
     no templates. Copies of a whole text count as one text, named by its smallest id, and are treated alike, so
-    that they stay copies. A text that keeps less than `own_share` of its words repeats earlier
-    texts as a whole and loses all of them. Null and empty texts stay as they are; repeated rows are copies; rows
+    that they stay copies. A text that keeps no words becomes empty. Null and empty texts stay as they are; repeated rows are copies; rows
     without an id rank as id 0. Columns of `docs` with a name of the four, and text_id, own and _drops, are left out.
     """
     added = ["n_lines", "dropped_lines", "words", "kept_words"]
@@ -240,8 +238,8 @@ def without_recurring_lines(docs: DataFrame, id_column: str = "doc_id", own_shar
                     rest = [x for i, x in enumerate(parts) if i not in out]
                     text = b"\n".join(rest)
                     kept = len(text.split())
-                    if kept < own_share * total:
-                        text, kept, out = b"", 0, set(range(len(parts)))
+                    if not kept:
+                        text, out = b"", set(range(len(parts)))
                     drop = out
                 texts.append(text)
                 lines.append(len(parts))

@@ -114,6 +114,15 @@ def test_short_lines_that_recur_stay_once(spark):
     assert got == {i: rows[0][1] if i == 0 else "\n" + own[i] for i in own}
 
 
+def test_lines_of_its_own_stay_in_a_text_of_shared_ones(spark):
+    rng = random.Random(25)
+    shared, own = [sentence(rng, 30) for _ in range(10)], sentence(rng, 12)
+    rows = [(1, "\n".join(shared)), (2, "\n".join([*shared[:5], own, *shared[5:]])), (3, "\n".join(shared[3:]))]
+    got = {r.doc_id: r for r in without_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[2].text == own and got[2].kept_words == 12 and got[2].dropped_lines == 10
+    assert got[3].text == "" and got[3].kept_words == 0
+
+
 def test_lines_of_awkward_rows(spark):
     df = awkward(spark)
     out = without_recurring_lines(df)
