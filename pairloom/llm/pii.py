@@ -27,6 +27,8 @@ SIGNAL = re.compile(r"[0-9@]")
 WORD = re.compile(r"\S+")
 TRIM = ".,;:!?\"'()[]<>"
 SYMBOLS = 100_000
+PART = 20_000
+PAD = 1_000
 
 Span = tuple[int, int, str]
 
@@ -125,20 +127,43 @@ class Tagger:
         self.words: dict[str, int] = {}
         self.symbols: dict[str, int] = {}
         self.rows: list[np.ndarray] = []
+        self.filled, self.table = 0, np.zeros((1024, 3, len(TAGS)))
+
+    def scores(self) -> np.ndarray:
+        """Scores of all feature sets met so far, as (set, place beside the word, tag)."""
+        n = len(self.rows)
+        if n > len(self.table):
+            self.table = np.concatenate((self.table, np.zeros((n, 3, len(TAGS)))))
+        if self.filled < n:
+            self.table[self.filled : n] = self.rows[self.filled :]
+            self.filled = n
+        return self.table
 
     def symbol(self, word: str) -> int:
         """Number of the word's feature set; words of equal features share it."""
         number = self.words.get(word)
         if number is None:
-            key = "\0".join(features(word))
+            like = self.plain(word)
+            number = self.words.get(like) if like is not word else None
+            if number is not None:
+                self.words[word] = number
+                return number
+            key = "\0".join(f for f in features(like) if f in self.names)
             number = self.symbols.get(key)
             if number is None:
                 number = self.symbols[key] = len(self.symbols)
-                ids = [self.names[f] for f in key.split("\0") if f in self.names]
+                ids = [self.names[f] for f in key.split("\0") if f]
                 self.rows.append(self.weights[:, ids].sum(axis=1))
-            self.words[word] = number
+            self.words[word] = self.words[like] = number
         return number
 
+    def plain(self, word: str) -> str:
+        """For words of small letters, but for a capital in front, that are not in the table: one of the same features."""
+        bare = word.strip(TRIM)
+        if bare.isalpha() and (bare.islower() or bare[0].isupper() and bare[1:].islower()) and f"word={bare.lower()}" not in self.names:
+            return ("Q" if bare[0].isupper() else "q") + "q" * (len(bare) - 1)
+        return word
+
     def emissions(self, lines: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Scores (line, place, tag) of words within their context, and the lines' lengths.
 
@@ -147,7 +172,7 @@ class Tagger:
         if len(self.words) > SYMBOLS:
             self.forget()
         numbers = [[self.symbol(w) for w in words] for words in lines]
-        scores = np.array(self.rows)
+        scores = self.scores()
         rows = []
         for number in numbers:
             score = scores[number]
@@ -161,6 +186,26 @@ class Tagger:
             padded[i, : len(r)] = r
         return padded, sizes
 
+    def may_have_spans(self, lines: list[list[str]]) -> np.ndarray:
+        """False for lines (of one word or more) whose best sequence surely has no tag.
+
+        Each word of a run of tagged words adds what its tag scores above none and up to two steps between tags; if
+        that is negative for all words of a line, no run can pay.
+        """
+        if len(self.words) > SYMBOLS:
+            self.forget()
+        flat = np.array([self.symbol(w) for words in lines for w in words])
+        firsts = np.cumsum([0, *map(len, lines[:-1])])
+        scores = self.scores()
+        total = scores[flat, 1]
+        before, after = scores[flat[:-1], 0], scores[flat[1:], 2]
+        before[firsts[1:] - 1] = 0
+        after[firsts[1:] - 1] = 0
+        total[1:] += before
+        total[:-1] += after
+        gain = (total[:, 1:] - total[:, :1]).max(axis=1) + 2 * max(0.0, float((self.follow - self.follow[0, 0]).max()))
+        return np.maximum.reduceat(gain, firsts) >= 0
+
     def decode(self, lines: list[list[str]]) -> list[np.ndarray]:
         """Best tag sequence of every line, by Viterbi over all lines of the batch at once."""
         score, sizes = self.emissions(lines)
@@ -258,39 +303,62 @@ def trimmed(text: str, span: Span) -> Span | None:
     return (start, end, kind) if any(c.isdigit() or c == "@" for c in text[start:end]) or kind == "email" and start < end else None
 
 
+def widened(text: str, first: int, start: int, end: int, last: int) -> tuple[int, str]:
+    """The part of a line from first to last with PAD characters on both sides, up to a space: where it starts, and the part."""
+    low = text.find(" ", max(first, start - PAD), start) if start > first else start
+    low = start if low < 0 else low
+    high = text.find(" ", end + PAD, last) if end < last else end
+    high = last if high < 0 else high
+    return low, text[low:high]
+
+
+def merged(spans: list[Span]) -> list[Span]:
+    """Spans in order, those of one kind that overlap as one."""
+    out: list[Span] = []
+    for start, end, kind in sorted(spans):
+        if out and out[-1][2] == kind and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]), kind)
+        else:
+            out.append((start, end, kind))
+    return out
+
+
 def find_spans(texts: list[str], tagger: Tagger, batch: int = 512) -> list[tuple[list[Span], list[Span]]]:
     """Base spans and added spans of every text.
 
-    The tagger reads lines that have a digit or an at sign, as every kind does; very long lines are read
-    in parts that end at spaces. An added span that overlaps a base span is dropped.
+    The tagger reads every line; very long lines are read in parts that end at spaces and overlap by PAD characters
+    on both sides. An added span that overlaps a base span is dropped.
     """
     base = [base_spans(t) if t else [] for t in texts]
     added: list[list[Span]] = [[] for _ in texts]
-    waiting: list[tuple[int, int, str]] = []
+    waiting: list[tuple[int, int, str, int, int]] = []
     for number, text in enumerate(texts):
         start = 0
         while text and start < len(text):
             end = text.find("\n", start)
             end = len(text) if end < 0 else end
-            while end - start > 20_000:
-                cut = text.find(" ", start + 10_000, end)
+            first = start
+            while end - start > PART:
+                cut = text.find(" ", start + PART // 2, end)
                 if cut < 0:
                     break
-                if SIGNAL.search(text, start, cut):
-                    waiting.append((number, start, text[start:cut]))
+                waiting.append((number, *widened(text, first, start, cut, end), start, cut))
                 start = cut
-            if SIGNAL.search(text, start, end):
-                waiting.append((number, start, text[start:end]))
+            waiting.append((number, *widened(text, first, start, end, end), start, end))
             start = end + 1
-    waiting = [w for w in waiting if not w[2].isspace()]
+    split = [w[2].split() for w in waiting]
+    waiting = [w for w, words in zip(waiting, split, strict=True) if words]
+    split = [words for words in split if words]
+    if waiting:
+        waiting = [w for w, some in zip(waiting, tagger.may_have_spans(split), strict=True) if some]
     waiting.sort(key=lambda w: len(w[2]))
     for a in range(0, len(waiting), batch):
         some = waiting[a : a + batch]
-        for (number, start, _), spans in zip(some, tagged_spans([w[2] for w in some], tagger), strict=True):
-            added[number] += [(start + x, start + y, k) for x, y, k in spans]
+        for (number, at, _, start, end), spans in zip(some, tagged_spans([w[2] for w in some], tagger), strict=True):
+            added[number] += [(at + x, at + y, k) for x, y, k in spans if at + x < end and at + y > start]
     for number, spans in enumerate(added):
         known = base[number]
-        added[number] = [s for s in spans if all(s[1] <= b[0] or s[0] >= b[1] for b in known)]
+        added[number] = [s for s in merged(spans) if all(s[1] <= b[0] or s[0] >= b[1] for b in known)]
     return list(zip(base, added, strict=True))
 
 
