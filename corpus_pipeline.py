@@ -36,11 +36,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of linked documents, that of the smallest id.
+    """One document of each component of linked documents, that of the smallest id; five-word shingles link at 0.8.
 
     A repeated row of an id stays once; other texts of the same id stay, and so do rows without an id.
     """
-    lead = jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct()
+    lead = jaccard_components(docs, width=5, percent=80).where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(stored(lead, "lead"), "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
     repeats = stored(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeats")
     if repeats.isEmpty():

@@ -192,6 +192,14 @@ def test_decontamination_of_awkward_rows(spark, benchmark):
     assert contaminated(awkward(spark), benchmark.limit(0)).count() == 0
 
 
+def test_near_copies_with_a_changed_stretch_go(spark):
+    rng = random.Random(17)
+    words = [sentence(rng, 1) + f"n{i}" for i in range(104)]
+    near = words[:40] + [f"new{i}" for i in range(7)] + words[47:]  # 89 of 111 five-word shingles, 0.802; 91 of 111 four-word ones
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(near)), (3, sentence(rng, 90))], "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == {1, 3}
+
+
 def test_pipeline_takes_each_decision(spark, tmp_path, benchmark):
     rng = random.Random(21)
     items = {r.item_id: r.text for r in benchmark.where("item_id < 12").collect()}
