@@ -123,20 +123,29 @@ def curve_table(evaluated: DataFrame, categories: Sequence[str] | None = None) -
     return totals.join(pivoted, "fraction", "left").na.fill(0)
 
 
+def unpaired_keys(prompts: DataFrame, completions: DataFrame, keys: Sequence[str] = ("prompt_id",)) -> DataFrame:
+    """Keys without exactly one prompt and one completion, with the number of each; null keys find no partner."""
+    keys = list(keys)
+    marked = prompts.select(*keys, F.lit(1).alias("p"), F.lit(0).alias("c")).unionByName(
+        completions.select(*keys, F.lit(0).alias("p"), F.lit(1).alias("c"))
+    )
+    per_key = marked.groupBy(*keys).agg(F.sum("p").alias("prompts"), F.sum("c").alias("completions"))
+    unknown = F.exists(F.array(*[F.col(k).isNull() for k in keys]), lambda missing: missing)
+    return per_key.where((F.col("prompts") != 1) | (F.col("completions") != 1) | unknown)
+
+
 def join_completions(
     prompts: DataFrame, completions: DataFrame, keys: Sequence[str] = ("prompt_id",), strict: bool = True
 ) -> DataFrame:
-    """Prompts with their completions by key; ``strict`` refuses unmatched or repeated keys."""
-    keys = list(keys)
+    """Prompts with their completions by key; ``strict`` refuses unmatched or repeated keys.
+
+    Without it the keys that an inner join leaves out or multiplies are those of ``unpaired_keys``.
+    """
     if strict:
-        marked = prompts.select(*keys, F.lit(1).alias("p"), F.lit(0).alias("c")).unionByName(
-            completions.select(*keys, F.lit(0).alias("p"), F.lit(1).alias("c"))
-        )
-        per_key = marked.groupBy(*keys).agg(F.sum("p").alias("p"), F.sum("c").alias("c"))
-        wrong = per_key.where((F.col("p") != 1) | (F.col("c") != 1)).count()
+        wrong = unpaired_keys(prompts, completions, keys).count()
         if wrong:
             raise ValueError(f"{wrong} keys do not have exactly one prompt and one completion")
-    return prompts.join(completions, keys, "inner")
+    return prompts.join(completions, list(keys), "inner")
 
 
 def pair_policies(scores: DataFrame, policies: Sequence[str] = ("ppo", "reference")) -> DataFrame:

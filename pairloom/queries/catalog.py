@@ -357,17 +357,28 @@ def metadata_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Evaluation
 
 
-@register
-def join_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _turns(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """User turns, and assistant turns under the number of the turn they answer."""
     turns = tables.table(spark, sf_dir, "conversations")
     prompts = turns.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("prompt"))
     completions = turns.where("role = 'assistant'").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("completion")
     )
-    joined = evaluate.join_completions(prompts, completions, ("conv_id", "turn"))
+    return prompts, completions
+
+
+@register
+def join_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = evaluate.join_completions(*_turns(spark, sf_dir), ("conv_id", "turn"), strict=False)
     return joined.select("conv_id", "turn", text.scoring_text(F.col("prompt"), F.col("completion")).alias("text"))
 
 
+@register
+def unpaired_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ``join_completions`` leaves out or multiplies."""
+    return evaluate.unpaired_keys(*_turns(spark, sf_dir), ("conv_id", "turn"))
+
+
 @register
 def score_margin(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = evaluate.with_margin(_usable(spark, sf_dir))
@@ -469,8 +480,8 @@ def response_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def kl_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = tables.positioned_tokens(spark, sf_dir)
-    policy = tokens.select("run_id", "seq_id", "pos", "old_lp")
-    reference = tokens.select("run_id", "seq_id", "pos", "ref_lp")
+    policy = tokens.select("run_id", "step_id", "seq_id", "pos", "old_lp")
+    reference = tokens.select("run_id", "step_id", "seq_id", "pos", "ref_lp")
     kl = rollout.join_log_probs(policy, reference)
     return _rounded(kl.select("run_id", "seq_id", "pos", "kl"))
 

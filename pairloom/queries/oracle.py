@@ -437,6 +437,11 @@ FROM pairs""",
     "join_completions": """SELECT p.conv_id, p.turn, p.text || c.text AS text
 FROM conversations p JOIN conversations c ON c.conv_id = p.conv_id AND c.turn = p.turn + 1
 WHERE p.role = 'user' AND c.role = 'assistant'""",
+    "unpaired_completions": """WITH marked AS (
+  SELECT conv_id, turn, 1 AS p, 0 AS c FROM conversations WHERE role = 'user'
+  UNION ALL SELECT conv_id, turn - 1, 0, 1 FROM conversations WHERE role = 'assistant')
+SELECT conv_id, turn, CAST(sum(p) AS BIGINT) AS prompts, CAST(sum(c) AS BIGINT) AS completions FROM marked
+GROUP BY conv_id, turn HAVING sum(p) <> 1 OR sum(c) <> 1 OR conv_id IS NULL OR turn IS NULL""",
     "score_margin": _with(USABLE, f"SELECT pair_id, {_r('margin', 'margin')}, margin > 0 AS win FROM usable"),
     "pairwise_eval": _with(
         USABLE,

@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairloom.session import cut_lineage
+
+SPACE = re.compile(r"\s*")
+BEGIN = re.compile(r"\n(?=[{\[])")
+
 
 def write_view(view: DataFrame, path: str) -> None:
     """Parquet, one folder per split."""
@@ -21,20 +31,79 @@ def write_metrics(record: DataFrame, path: str) -> None:
     record.write.mode("overwrite").json(path)
 
 
-def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """Every JSON record below a folder with its path, sorted by path.
+RECORD_SCHEMA = "path string, place int, record string, corrupt string"
+
+
+def split_records(text: str) -> Iterator[tuple[str | None, str | None]]:
+    """The top-level JSON values of a text, whatever stands on a line, as (record, None) or (None, what is corrupt).
+
+    Depth and string state decide where a value ends, so records may be indented, follow one another without
+    a line break, or stand one to a line. What cannot be read up to the next line that begins a value
+    is one corrupt piece; reading goes on there.
+    """
+    decoder = json.JSONDecoder()
+    at = 0
+    while (start := SPACE.match(text, at).end()) < len(text):
+        try:
+            _, at = decoder.raw_decode(text, start)
+            yield text[start:at], None
+        except (ValueError, RecursionError):
+            following = BEGIN.search(text, start + 1)
+            at = following.start() + 1 if following else len(text)
+            yield None, text[start:at].strip()
+
+
+def metric_records(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
+    """Every JSON value of every file below a folder: path, place in the file, and the record or what is corrupt.
 
-    A file holds one record to a line, or a single record over several lines; both may occur.
+    Metric files are small: each is read whole, by one task among many. An empty file has no row.
     """
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for name, text in zip(batch.column("path").to_pylist(), batch.column("value").to_pylist(), strict=True):
+                rows += [(name, i, *found) for i, found in enumerate(split_records(text.removeprefix("\ufeff")))]
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            kinds = (pa.string(), pa.int32(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                names=[c.split()[0] for c in RECORD_SCHEMA.split(", ")],
+            )
+
     files = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
-        .text(path)
-        .select(F.col("_metadata.file_path").alias("path"), F.trim("value").alias("value"))
+        spark.read.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", pattern)
+        .text(path, wholetext=True)
+        .select(F.col("_metadata.file_path").alias("path"), "value")
+    )
+    return files.mapInArrow(split, RECORD_SCHEMA)
+
+
+def record_schema(records: DataFrame) -> str:
+    """Schema that holds all records, merged by an aggregate; fractions are doubles, what is always null a string."""
+    merged = records.agg(F.schema_of_variant_agg(F.try_parse_json("record")).alias("s")).first()["s"]
+    merged = re.sub(r"\bOBJECT<", "STRUCT<", merged or "")
+    merged = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)|\bFLOAT\b", "DOUBLE", merged)
+    merged = re.sub(r"\b(VOID|VARIANT)\b", "STRING", merged)
+    return merged if merged.startswith("STRUCT<") else "STRUCT<>"
+
+
+def read_metrics(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """Every JSON record below a folder with its path, sorted by path and place in the file.
+
+    Without a schema it is inferred from all records. Pieces that are no record come as rows with `_corrupt_record`,
+    a column that is there only if there are such pieces; so do values that are no objects.
+    """
+    found = cut_lineage(metric_records(spark, path))
+    objects = F.col("record").startswith("{")
+    found = found.select(
+        "path",
+        "place",
+        F.when(objects, F.col("record")).alias("record"),
+        F.when(~objects, F.col("record")).otherwise(F.col("corrupt")).alias("_corrupt_record"),
     )
-    lines = F.filter(F.split("value", "\\r?\\n"), lambda line: F.trim(line) != "")
-    single = F.forall(lines, lambda line: F.trim(line).startswith("{") & F.trim(line).endswith("}"))
-    records = files.select("path", F.explode(F.when(single, lines).otherwise(F.array("value"))).alias("record"))
-    schema = spark.read.json(records.select("record").rdd.map(lambda row: row["record"])).schema
-    return records.select("path", F.from_json("record", schema).alias("r")).select("path", "r.*").orderBy("path")
+    schema = schema or record_schema(found.where("record IS NOT NULL"))
+    ordered = found.withColumn("r", F.from_json("record", schema)).orderBy("path", "place")
+    extra = [] if found.where("_corrupt_record IS NOT NULL").isEmpty() else ["_corrupt_record"]
+    return ordered.select("path", "r.*", *extra)

@@ -13,6 +13,7 @@ from pairloom.operators.evaluate import (
     pairwise_evaluation,
     power_report,
     win_rate,
+    unpaired_keys,
 )
 from pairloom.plans.records import stage_record
 from pairloom.settings import PolicyRunSettings
@@ -98,6 +99,34 @@ def test_every_record_of_a_file_is_read(spark, tmp_path):
     assert [r.name for r in rows if r.id == 7] == ["x"]
 
 
+def test_records_are_told_apart_by_structure(spark, tmp_path):
+    texts = {
+        "a.json": '{"id": 1, "s": "a } \\" { b"}{"id": 2,\n "deep": {"x": [1, {"y": 0.5}]}}\n\n{"id": 3}',
+        "b.json": '{"id": 4}\n{"id": 5, "broken\n{"id": 6, "s": null}\r\n',
+        "c.json": "[1, 2]",
+        "d.json": "",
+    }
+    for name, content in texts.items():
+        (tmp_path / name).write_text(content)
+    rows = read_metrics(spark, str(tmp_path)).collect()
+    assert [r.id for r in rows] == [1, 2, 3, 4, None, 6, None]
+    assert rows[0].s == 'a } " { b' and rows[1].deep.x is not None
+    assert [(r.path[-6:], r._corrupt_record) for r in rows if r._corrupt_record] == [
+        ("b.json", '{"id": 5, "broken'),
+        ("c.json", "[1, 2]"),
+    ]
+    assert read_metrics(spark, str(tmp_path / "d.json")).count() == 0
+    given = read_metrics(spark, str(tmp_path / "b.json"), "id string")
+    assert [r.id for r in given.collect()] == ["4", None, "6"]
+
+
+def test_unpaired_keys(spark):
+    prompts = spark.createDataFrame([(1, "p"), (2, "q"), (None, "r"), (3, "s")], "prompt_id long, prompt string")
+    answers = spark.createDataFrame([(1, "a"), (3, "b"), (3, "c"), (4, "d")], "prompt_id long, completion string")
+    got = {(r.prompt_id, r.prompts, r.completions) for r in unpaired_keys(prompts, answers).collect()}
+    assert got == {(2, 1, 0), (None, 1, 0), (3, 1, 2), (4, 0, 1)}
+
+
 def test_pairs_without_scores_are_left_out_alike(spark):
     rows = [("a", 2.0, 1.0), ("a", None, 1.0)]
     scored = spark.createDataFrame(rows, "prompt_category string, chosen_score double, rejected_score double")

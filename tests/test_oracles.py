@@ -4,6 +4,8 @@ import pytest
 from compare import connect, duckdb_rows, spark_rows
 
 from __spark_entry__ import entry, oracle_sql, queries
+from pairloom.queries.catalog import REGISTRY
+from pairloom.queries.oracle import ORACLE
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,10 +15,10 @@ def database():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_sql(spark, database, name):
     got = spark_rows(queries()[name](spark, SF))
-    expected = duckdb_rows(database, oracle_sql()[name])
+    expected = duckdb_rows(database, ORACLE[name])
     assert got[0] == expected[0]
     assert got[1] == expected[1]
     assert got[1]
@@ -24,7 +26,7 @@ def test_matches_sql(spark, database, name):
 
 def test_every_oracle_has_a_query():
     assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"preference_fit", "bulk_score", "learning_curve"}
+    assert set(REGISTRY) - set(ORACLE) == {"preference_fit", "bulk_score", "learning_curve"}
 
 
 def test_flagship_numbers(spark):
