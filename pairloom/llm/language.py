@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +24,6 @@ from pairloom.llm.common import (
 BUCKETS = 1 << 16
 SEGMENT = 2_000_000
 UNDETERMINED = "und"
-LETTER = re.compile(r"[^\W\d_]")
 #: ASCII letters in lower case and all bytes above ASCII stay, everything else parts words.
 FOLD = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
@@ -184,7 +182,7 @@ def identify(docs: DataFrame, model: LanguageModel, held_out: Column, id_column:
         known = LanguageModel(*shipped.value)
         for piece in pieces(batches):
             texts = piece.column("text").to_pylist()
-            lettered = [bool(t and LETTER.search(t)) for t in texts]
+            lettered = [bool(t) and any(map(str.isalpha, t)) for t in texts]
             shares = infer([t.encode() if ok else b"" for t, ok in zip(texts, lettered, strict=True)], known)
             lang, value, listed = [], [], []
             for row in shares:

@@ -297,7 +297,7 @@ def parts(docs: DataFrame, scorer: Scorer, held_out: Column, id_column: str) ->
             model = np.add.reduceat(log_p, bounds) / np.log(10)
             found = ids >= 0
             count = np.log10(s.counts[ids] + 0.5)
-            base = np.bincount(doc[found], (count - np.log10(s.base_total))[found], n)
+            base = np.zeros(n) + np.bincount(doc[found], (count - np.log10(s.base_total))[found], n)
             base += np.log10((s.end + 0.5) / s.base_total)
             outer = found & ~inner
             model += np.bincount(doc[outer], (count - np.log10(s.tail_total)[tail])[outer], n)

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -18,7 +19,6 @@ from pairloom.llm.pii_examples import expanded
 from pairloom.llm.scoring import language_model_scores
 from pairloom.llm.toxicity import fit_network, fit_toxicity
 
-NO = F.lit(False)
 
 
 @pytest.fixture(scope="module")
@@ -88,11 +88,11 @@ def test_languages_and_mixtures(spark):
     model = fit_languages(spark.createDataFrame(train, "doc_id long, text string, lang string"))
     assert model.languages == ["aa", "bb", "cc"]
     docs = [(0, text("aa", 30)), (1, text("bb", 90) + " " + text("cc", 30)), (2, text("cc", 1)), (3, None), (4, " 12 ! "), (5, ""), (6, text("aa", 2000))]
-    got = {r.doc_id: r for r in identify(spark.createDataFrame(docs, "doc_id long, text string"), model, NO).collect()}
+    got = {r.doc_id: r for r in identify(spark.createDataFrame(docs, "doc_id long, text string"), model, F.lit(False)).collect()}
     assert [got[i].lang_pred for i in range(7)] == ["aa", "bb", "cc", "und", "und", "und", "aa"]
     assert got[1].score == pytest.approx(0.75, abs=0.05) and got[1].languages.count(":") == 2
     assert got[0].languages == "aa:1.000"
-    assert identify(awkward(spark), model, NO).count() == 9 and identify(empty(spark), model, NO).count() == 0
+    assert identify(awkward(spark), model, F.lit(False)).count() == 9 and identify(empty(spark), model, F.lit(False)).count() == 0
     assert fit_languages(empty(spark)).languages == []
 
 
@@ -111,8 +111,25 @@ def test_scores_of_texts(spark):
         r = got[i]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (i in held, len(ws), sum(counts[w] > 0 for w in ws), total)
         assert r.base_score == pytest.approx(base) and r.score < 0
-    assert language_model_scores(awkward(spark), NO).count() == 9
-    assert language_model_scores(empty(spark), NO).count() == 0
+    assert language_model_scores(awkward(spark), F.lit(False)).count() == 9
+    assert language_model_scores(empty(spark), F.lit(False)).count() == 0
+
+
+def test_scores_of_pieces_without_frequent_words(spark):
+    """Partitions of null, of empty, and of texts with unknown words only."""
+    seen = spark.createDataFrame([(0, "a b c a b")], "doc_id long, text string")
+    for odd in ([None] * 3, [""] * 3, ["zz yy", "xx"]):
+        rest = spark.createDataFrame([(i + 1, t) for i, t in enumerate(odd)], "doc_id long, text string").coalesce(1)
+        got = {r.doc_id: r for r in language_model_scores(seen.unionByName(rest), F.col("doc_id") > 0).collect()}
+        assert [got[i].n_tokens for i in (1, 2)] == [len((t or "").split()) + 1 for t in odd[:2]]
+        assert all(r.score < 0 and r.base_score < 0 and r.train_tokens == 6 for r in got.values())
+
+
+def test_signs_are_no_letters(spark):
+    model = fit_languages(spark.createDataFrame([("ab cd", "aa")], "text string, lang string"))
+    rows = [(i, t) for i, t in enumerate(["½", "²", "Ⅷ", "12 _", "ª", "é"])]
+    got = identify(spark.createDataFrame(rows, "doc_id long, text string"), model, F.lit(False)).orderBy("doc_id").collect()
+    assert [r.lang_pred for r in got] == ["aa" if any(c.isalpha() for c in t) else "und" for _, t in rows]
 
 
 def test_model_probabilities_sum_to_one():
@@ -141,6 +158,17 @@ def test_base_spans_against_plain_patterns():
         assert base_spans(text) == plain_spans(text)
 
 
+def test_long_runs_of_digits_take_linear_time():
+    rng = random.Random(3)
+    for _ in range(3000):
+        text = "".join(rng.choice("0129..... a") for _ in range(rng.randrange(50)))
+        assert base_spans(text) == plain_spans(text)
+    began = time.perf_counter()
+    for text in ("7" * 1_000_000, "1." * 500_000, "+1" + " " * 1_000_000, "a" * 1_000_000 + "@"):
+        base_spans(text)
+    assert time.perf_counter() - began < 8
+
+
 def test_tagger_finds_held_out_variations():
     tagger = fit_tagger(expanded(4, seed=3))
     table = expanded(2, seed=77)
@@ -154,6 +182,6 @@ def test_tagger_finds_held_out_variations():
 def test_personal_data_of_awkward_rows(spark):
     rows = personal_data(awkward(spark, [(8, "at a.b@c.de or 10.0.0.1", "en", "s", 1, 0.0, "q")])).collect()
     assert len(rows) == 10
-    assert next(r for r in rows if r.doc_id == 8).spans == "email:3:9,ip:13:21"
+    assert next(r for r in rows if r.doc_id == 8).spans == "email:3:11,ip:15:23"
     assert next(r for r in rows if r.doc_id == 1).spans == ""
     assert personal_data(empty(spark)).count() == 0
