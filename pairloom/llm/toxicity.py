@@ -24,6 +24,7 @@ THRESHOLD = 0.7
 SAMPLE = 1500
 CACHE = 200_000
 STEPS = 200
+UNSEEN = 0.5
 WORDS_AT_ONCE = 10_000
 
 Params = dict[str, np.ndarray]
@@ -194,7 +195,8 @@ def fit_network(texts: list[bytes], labels: np.ndarray, epochs: int = 10, seed:
     Word and n-gram vectors start with the evidence that the labelled documents give for them. A
     toxic document teaches by its most suspicious window, any other by its most suspicious windows and
     some at random; which ones these are is decided anew by the network half-way. Few documents are gone
-    through more often, for at least STEPS steps.
+    through more often, for at least STEPS steps. UNSEEN of the words of a batch come without their word
+    vector, so that the network learns to read forms it has never met by their n-grams.
     """
     rng = np.random.default_rng(seed)
     vocabulary: dict[bytes, int] = {}
@@ -262,12 +264,15 @@ def fit_network(texts: list[bytes], labels: np.ndarray, epochs: int = 10, seed:
             x = np.zeros((len(used), 2 * DIM + 1), f)
             if len(known):
                 x[: len(known)] = inputs(p, b, g, s)
+                hidden = np.flatnonzero(rng.random(len(known)) < UNSEEN)
+                x[hidden, :DIM] = 0
             target = np.array([label for _, label in some], f)
             grad, d_x = loss_gradient(p, x[where.reshape(at.shape)], mask, target)
             d_word = np.zeros_like(x)
             np.add.at(d_word, where.ravel(), d_x.reshape(-1, x.shape[1]))
             grad["words"], grad["chars"] = np.zeros_like(p["words"]), np.zeros_like(p["chars"])
             if len(known):
+                d_word[hidden, :DIM] = 0
                 counts = np.diff(np.append(s, len(g)))
                 np.add.at(grad["words"], b, d_word[: len(known), :DIM])
                 np.add.at(grad["chars"], g, np.repeat(d_word[: len(known), DIM : 2 * DIM] / counts[:, None], counts, 0))
