@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
@@ -17,6 +19,7 @@ __all__ = [
     "BROADCAST_MAX_BYTES",
     "BROADCAST_MAX_ROWS",
     "crc_split",
+    "lean",
     "load",
     "mix64",
     "pieces",
@@ -75,6 +78,21 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
     return batch.column(name).cast(pa.binary()).to_pylist()
 
 
+def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The work of a task, after which its worker gives memory back to the system.
+
+    Workers are kept for later stages, and what the allocators of Arrow and of C keep for them adds up otherwise.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of unsigned 64-bit numbers."""
     x = x.astype(np.uint64, copy=True)

@@ -13,6 +13,8 @@ from pairloom.llm.line_templates import op2_line_templates
 from pairloom.llm.nearest import op4_block_matrix_neighbours
 from pairloom.llm.packing import op5_best_fit_packing
 from pairloom.llm.pii import op6_word_shape_field
+from pairloom.llm.piecewise import op13_context_triggered_hashes
+from pairloom.llm.resampling import op12_median_of_medians_resampling
 from pairloom.llm.scoring import op9_log_bilinear_scores
 from pairloom.llm.sharding import op3_hilbert_sharding
 from pairloom.llm.toxicity import op1_gated_recurrent_toxicity
@@ -28,6 +30,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_mixture": op8_language_mixture,
     "op9_log_bilinear_scores": op9_log_bilinear_scores,
     "op10_grouped_prefix_join": op10_grouped_prefix_join,
+    "op12_median_of_medians_resampling": op12_median_of_medians_resampling,
+    "op13_context_triggered_hashes": op13_context_triggered_hashes,
 }
 
 NEIGHBOURS = """

@@ -22,7 +22,7 @@ DIM = 4
 PUNCTUATION = b".,;:!?\"'()[]{}<>*&#$%|-_=+/\\~^`@"
 THRESHOLD = 0.7
 SAMPLE = 1500
-CACHE = 200_000
+CACHE = 32_000_000
 STEPS = 200
 UNSEEN = 0.5
 WORDS_AT_ONCE = 10_000
@@ -338,20 +338,25 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, sample: int = SAMPL
 def batch_scores(net: Params, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
     """Pieces of batches and the score of each of their texts.
 
-    Words met before in a task are looked up, up to a bound.
+    Words met before in a task are looked up, up to a bound in bytes; the table of their gates grows by doubling,
+    and its first row stands for places without a word.
     """
-    filler = np.zeros((1, 6 * HIDDEN), np.float32)
+    table = np.zeros((4096, 6 * HIDDEN), np.float32)
     known: dict[bytes, int] = {}
-    table = filler
-    for piece in pieces(batches, size=2_000_000):
+    held = 0
+    for piece in pieces(batches, size=1_000_000):
         docs = [t.lower().split() if t else [] for t in texts_of(piece)]
-        if len(known) > CACHE:
-            known, table = {}, filler
+        if held > CACHE:
+            known, held = {}, 0
         fresh = [w for w in dict.fromkeys(w for d in docs for w in d) if w not in known]
-        if fresh:
-            size = len(known)
-            known.update((w, size + i) for i, w in enumerate(fresh))
-            table = np.concatenate([table[:-1], project(net, inputs(net, *word_features(fresh)))])
+        for a in range(0, len(fresh), WORDS_AT_ONCE):
+            some = fresh[a : a + WORDS_AT_ONCE]
+            size = len(known) + 1
+            if size + len(some) > len(table):
+                table = np.concatenate([table, np.zeros_like(table)])
+            table[size : size + len(some)] = project(net, inputs(net, *word_features(some)))[:-1]
+            known.update((w, size + i) for i, w in enumerate(some))
+            held += sum(map(len, some)) + (24 * HIDDEN + 150) * len(some)
         lookup = known.__getitem__
         best = np.zeros(len(docs))
         sizes = [len(d) for d in docs]
@@ -360,11 +365,11 @@ def batch_scores(net: Params, batches: Iterator[pa.RecordBatch]) -> Iterator[tup
         whose = cut[:, 0]
         begin, length = first[whose] + cut[:, 1], cut[:, 2] - cut[:, 1]
         flat = np.fromiter((i for d in docs for i in map(lookup, d)), np.int64, sum(sizes))
-        flat = np.append(flat, np.full(WINDOW, len(table) - 1))
+        flat = np.append(flat, np.zeros(WINDOW, np.int64))
         steps = np.arange(WINDOW)[:, None]
         for a in range(0, len(cut), 2048):
             mask = steps < length[None, a : a + 2048]
-            at = np.where(mask, flat[np.minimum(begin[None, a : a + 2048] + steps, len(flat) - 1)], len(table) - 1)
+            at = np.where(mask, flat[np.minimum(begin[None, a : a + 2048] + steps, len(flat) - 1)], 0)
             np.maximum.at(best, whose[a : a + 2048], score_windows(net, table[at], mask.astype(np.float32)))
         yield piece, best
 
