@@ -17,6 +17,7 @@ from pairloom.llm.piecewise import op13_context_triggered_hashes
 from pairloom.llm.resampling import op12_median_of_medians_resampling
 from pairloom.llm.scoring import op9_log_bilinear_scores
 from pairloom.llm.sharding import op3_hilbert_sharding
+from pairloom.llm.spelling import op11_frequency_vector_trie
 from pairloom.llm.toxicity import op1_gated_recurrent_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_mixture": op8_language_mixture,
     "op9_log_bilinear_scores": op9_log_bilinear_scores,
     "op10_grouped_prefix_join": op10_grouped_prefix_join,
+    "op11_frequency_vector_trie": op11_frequency_vector_trie,
     "op12_median_of_medians_resampling": op12_median_of_medians_resampling,
     "op13_context_triggered_hashes": op13_context_triggered_hashes,
 }
