@@ -24,10 +24,11 @@ BLOCK = 2048
 FRONTIER = 400_000
 PAIRS = 200_000
 FLUSH = 400_000
+SENDERS = 8
 
 COUNT_SCHEMA = "word string, n long"
 RUN_SCHEMA = "run long, low binary, high binary, words array<string>, counts array<long>"
-SENT_SCHEMA = "target long, own int, words array<string>, counts array<long>"
+SENT_SCHEMA = "target long, share int, own int, words array<string>, counts array<long>"
 NEAR_SCHEMA = "word string, n long, n_near long, best struct<rank: long, form: string>"
 
 
@@ -290,7 +291,8 @@ def sent(parts: DataFrame) -> DataFrame:
     """Every run for itself, and those of its words that may find something in a later run for that one.
 
     What a word may reach is told by the bounds of the runs: one surplus over all groups and one deficit. The bounds of all
-    runs are broadcast: 2 * GROUPS bytes for RUN words.
+    runs are broadcast: 2 * GROUPS bytes for RUN words. A run that SENDERS others or more send words to is there in as
+    many copies, each of which gets the words of some of them.
     """
     rows = sorted((r["run"], bytes(r["low"]), bytes(r["high"])) for r in parts.select("run", "low", "high").collect())
     names = np.array([r[0] for r in rows], np.int64)
@@ -306,22 +308,29 @@ def sent(parts: DataFrame) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, lows, highs = shipped.value
         columns = [c.split()[0] for c in SENT_SCHEMA.split(", ")]
-        kinds = [pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64())]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64())]
+        known: dict[int, int] = {}
+
+        def copies(i: int) -> int:
+            if i not in known:
+                known[i] = 1 + int(reached(lows[:i], highs[:i], lows[i], highs[i]).sum()) // SENDERS
+            return known[i]
+
+        def row(*values) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=columns)
+
         for batch in batches:
             for run, words, counts in zip(*(batch.column(c).to_pylist() for c in ("run", "words", "counts")), strict=True):
                 here = int(np.searchsorted(names, run))
                 vectors = group_counts(latin(words)).astype(np.int16)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([v], k) for v, k in zip((run, 1, words, counts), kinds, strict=True)], names=columns
-                )
+                for share in range(copies(here)):
+                    yield row(run, share, 1, words, counts)
                 near = np.flatnonzero(reached(lows[here], highs[here], lows[here + 1 :], highs[here + 1 :])) + here + 1
                 for other in near.tolist():
                     some = np.flatnonzero(reached(vectors, vectors, lows[other], highs[other])).tolist()
                     if some:
-                        row = (names[other], 0, [words[i] for i in some], [counts[i] for i in some])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=columns
-                        )
+                        share = here % copies(other)
+                        yield row(names[other], share, 0, [words[i] for i in some], [counts[i] for i in some])
 
     return parts.mapInArrow(lean(send), SENT_SCHEMA)
 
@@ -334,22 +343,24 @@ def neighbours(words: DataFrame, run: int = RUN) -> DataFrame:
     parts = runs(words, run)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, stock, trie = None, None, None
+        stock, trie, here = None, None, None
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("target", "own", "words", "counts")), strict=True)
-            for name, own, texts, counts in rows:
+            columns = (batch.column(c).to_pylist() for c in ("target", "share", "own", "words", "counts"))
+            for target, share, own, texts, counts in zip(*columns, strict=True):
                 asked = Words(texts, counts)
                 if own:
-                    target, stock, trie = name, asked, Trie(asked.vectors)
+                    stock, trie, here = asked, Trie(asked.vectors), (target, share)
+                    if share:
+                        continue
                     yield near_batch(texts, asked.counts, None, [], [])
-                if name != target:
+                if here != (target, share):
                     raise RuntimeError("words came for a run that is not there")
                 for left, right in near_pairs(asked, stock, trie, bool(own)):
                     if len(left):
                         yield summary(asked, stock, left, right)
                         yield summary(stock, asked, right, left)
 
-    dealt = sent(parts).repartition("target").sortWithinPartitions("target", F.desc("own"))
+    dealt = sent(parts).repartition("target", "share").sortWithinPartitions("target", "share", F.desc("own"))
     found = dealt.mapInArrow(lean(match), NEAR_SCHEMA)
     return found.groupBy("word").agg(
         F.max("n").alias("n"), F.sum("n_near").alias("n_near"), F.min("best").alias("best")
