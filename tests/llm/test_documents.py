@@ -3,19 +3,31 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from support import awkward, empty, sentence
 
 import corpus_pipeline
-from pairloom.llm.decontaminate import common_subsequence, contaminated
+from pairloom.llm import decontaminate
+from pairloom.llm.decontaminate import (
+    ANSWER,
+    COPY,
+    PARAPHRASE,
+    STRIDE,
+    WINDOW,
+    common_subsequences,
+    contaminated,
+    decontaminated,
+    matches,
+    position_masks,
+)
 from pairloom.llm.line_templates import without_recurring_lines
 from pairloom.llm.packing import pack, packed_plan, with_word_counts
 from pairloom.llm.sharding import hilbert_index, hilbert_shards
 
 
 def test_hilbert_curve_visits_every_cell_by_single_steps():
-    import numpy as np
-
     cells = np.array([(a, b, c) for a in range(8) for b in range(8) for c in range(8)])
     index = hilbert_index(cells, 3)
     assert sorted(index) == list(range(512))
@@ -131,15 +143,101 @@ def test_lines_of_awkward_rows(spark):
     assert without_recurring_lines(empty(spark)).count() == 0
 
 
-def test_common_subsequence_against_table():
+def plain_subsequence(a, b):
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+    return table[-1][-1]
+
+
+def test_common_subsequences_against_table():
     rng = random.Random(2)
-    for _ in range(200):
-        a, b = ([rng.randrange(5) for _ in range(rng.randrange(1, 20))] for _ in range(2))
-        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-        for i, x in enumerate(a):
-            for j, y in enumerate(b):
-                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
-        assert common_subsequence(a, b) == table[-1][-1]
+    for longest in (20, 64, 65, 200):
+        pairs = [[[rng.randrange(5) for _ in range(rng.randrange(1, n))] for n in (longest + 1, 90)] for _ in range(40)]
+        wide = -(-longest // 64)
+        masks = np.zeros((len(pairs), 90, wide), np.uint64)
+        for k, (item, window) in enumerate(pairs):
+            of = position_masks(item, 5)
+            masks[k, : len(window), : of.shape[1]] = of[np.array(window)]
+        found = common_subsequences(masks, np.array([len(a) for a, _ in pairs]))
+        assert found.tolist() == [plain_subsequence(a, b) for a, b in pairs]
+
+
+def test_matches_against_all_windows():
+    """All items by the exact path: every window of every document against every item, one by one."""
+    rng = random.Random(31)
+    known = [[rng.randrange(40) for _ in range(n)] for n in (12, 30, 70, 140)]
+    answers = [sorted(set(k[-5:])) for k in known]
+    ids, doc = [], []
+    for d in range(25):
+        words = [rng.choice([-1, rng.randrange(40)]) for _ in range(rng.randrange(200))]
+        if d % 2:
+            item = [x if rng.random() < rng.choice([0.55, 0.7, 0.95]) else -1 for x in known[d % 4]]
+            words[len(words) // 2 : len(words) // 2] = item
+        ids += words
+        doc += [d] * len(words)
+    ids, doc = np.array(ids), np.array(doc)
+    vectors = np.random.default_rng(1).normal(size=(40, 8)).astype(np.float32)
+    targets = np.stack([vectors[k].sum(axis=0) for k in known])
+    targets /= np.linalg.norm(targets, axis=1)[:, None]
+    expected = {}
+    for d in range(25):
+        text = ids[doc == d].tolist()
+        for i, item in enumerate(known):
+            for at in range(0, len(text), STRIDE):
+                window = text[max(0, at - len(item)) : at + WINDOW + len(item)]
+                share = plain_subsequence(item, window) / len(item)
+                answer = sum(x in window for x in answers[i]) / len(answers[i])
+                if share >= COPY or (share >= PARAPHRASE and answer >= ANSWER):
+                    expected[d, i] = max(expected.get((d, i), 0), share)
+    got = matches(ids, doc, 25, vectors, np.ones(40, bool), targets, known, answers, [0, 1, 2, 3])
+    assert {(r[0], r[1]): r[4] for r in got} == pytest.approx(expected) and len(expected) > 8
+
+
+def test_recall_of_copies_and_paraphrases(spark, monkeypatch):
+    """Planted with a share of the words kept, in more documents than the index has seen; against the exact path for all items."""
+    monkeypatch.setattr(decontaminate, "SAMPLE_DOCS", 50)
+    rng = random.Random(41)
+    items = [(i, sentence(rng, rng.randrange(15, 55)) + ". " + sentence(rng, 5) + ".") for i in range(40)]
+    docs = []
+    for i in range(400):
+        words = sentence(rng, rng.randrange(30, 200)).split()
+        text = items[i % 40][1].split()
+        keep = rng.choice([0.58, 0.65, 0.75, 1.0])
+        text = [w if rng.random() < keep else rng.choice(words) for w in text[:-5]] + text[-5:]
+        at = rng.randrange(len(words))
+        docs.append((i, " ".join(words[:at] + text + words[at:])))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    some = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in contaminated(docs, some).collect()}
+    monkeypatch.setattr(decontaminate, "weak_items", lambda known, weights: list(range(len(known))))
+    every = {(r.doc_id, r.item_id): r.kind for r in contaminated(docs, some).collect()}
+    assert found <= set(every)
+    for kind in ("copy", "paraphrase"):
+        there = [k for k, v in every.items() if v == kind]
+        assert len(there) >= 40 and sum(k in found for k in there) >= 0.9 * len(there)
+
+
+def test_rows_are_kept_or_dropped_one_by_one(spark, benchmark):
+    """Rows without an id, repeated ids and clashing columns."""
+    bad = benchmark.where("item_id = 2").first().text
+    rows = [(None, bad, "a"), (None, "clean one", "b"), (1, bad, "c"), (1, "clean two", "d"), (2, None, "e"), (3, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, item_id string").repartition(3)
+    for block in (2000, 5):
+        kept = decontaminated(docs, benchmark, block=block)
+        assert kept.columns == docs.columns
+        assert sorted(r.item_id or "" for r in kept.collect()) == ["", "b", "d", "e"]
+    assert decontaminated(docs, benchmark.limit(0)).count() == 6
+    assert decontaminated(docs.limit(0), benchmark).count() == 0
+
+
+def test_benchmark_in_blocks(spark, benchmark):
+    docs = benchmark.where("item_id < 12").select(F.col("item_id").alias("doc_id"), "text")
+    whole = {(r.doc_id, r.item_id) for r in contaminated(docs, benchmark).collect()}
+    blocks = {(r.doc_id, r.item_id) for r in contaminated(docs, benchmark, block=5).collect()}
+    assert {(i, i) for i in range(12)} <= whole and {(i, i) for i in range(12)} <= blocks
+    assert contaminated(docs, benchmark.limit(0)).count() == 0
 
 
 @pytest.fixture(scope="module")
