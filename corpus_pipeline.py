@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm.common import load, stored
-from pairloom.llm.decontaminate import contaminated
+from pairloom.llm.decontaminate import decontaminated
 from pairloom.llm.jaccard import jaccard_components
 from pairloom.llm.line_templates import without_recurring_lines
 from pairloom.llm.packing import packed_plan, with_word_counts
@@ -51,9 +51,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark."""
-    hits = contaminated(docs, load(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(stored(hits, "hits"), "doc_id", "left_anti").select(*docs.columns)
+    """Rows whose text holds no item of the benchmark, whatever their id."""
+    return decontaminated(docs, load(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
