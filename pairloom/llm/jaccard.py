@@ -13,6 +13,7 @@ from pairloom.llm.common import (
     BROADCAST_MAX_ROWS,
     VECTOR_SCHEMA,
     gathered,
+    lean,
     load,
     mix64,
     pieces,
@@ -74,7 +75,7 @@ def shingle_loads(docs: DataFrame, width: int) -> np.ndarray:
         if load.any():
             yield vector_batch(vector_rows("load", load))
 
-    found = gathered(docs.select("text").mapInArrow(count, VECTOR_SCHEMA))
+    found = gathered(docs.select("text").mapInArrow(lean(count), VECTOR_SCHEMA))
     return found.get("load", np.zeros(1 << SKETCH_BITS)).astype(np.uint32)
 
 
@@ -111,7 +112,7 @@ def prefixes(docs: DataFrame, loads: np.ndarray, width: int, percent: int) -> Da
                 names=["doc_id", "n", "key", "group_key", "prefix"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PREFIX_SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(cut), PREFIX_SCHEMA)
 
 
 def enough(shared: str, n: str, m: str, percent: int) -> str:
@@ -163,7 +164,7 @@ def verified(pairs: DataFrame, docs: DataFrame, table: DataFrame, width: int, pe
 
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(lean(compare), "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:

@@ -14,6 +14,7 @@ from pairloom.llm.common import (
     VECTOR_SCHEMA,
     crc_split,
     gathered,
+    lean,
     load,
     pieces,
     texts_of,
@@ -83,7 +84,7 @@ def fit_languages(labelled: DataFrame, smoothing: float = 0.1) -> LanguageModel:
             yield vector_batch(vector_rows(lang, vector))
 
     rows = labelled.select("text", F.col("lang").cast("string").alias("lang")).dropna()
-    sums = gathered(rows.mapInArrow(count, VECTOR_SCHEMA))
+    sums = gathered(rows.mapInArrow(lean(count), VECTOR_SCHEMA))
     languages = sorted(sums)
     if not languages:
         return LanguageModel([], np.zeros((BUCKETS, 0), np.float32))
@@ -201,7 +202,7 @@ def identify(docs: DataFrame, model: LanguageModel, held_out: Column, id_column:
             )
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), held_out.alias("held_out"), "text")
-    return rows.mapInArrow(score, "doc_id long, held_out boolean, lang_pred string, score double, languages string")
+    return rows.mapInArrow(lean(score), "doc_id long, held_out boolean, lang_pred string, score double, languages string")
 
 
 def op8_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import BROADCAST_MAX_ROWS, load, mix64, pieces, stored, texts_of, token_hashes
+from pairloom.llm.common import BROADCAST_MAX_ROWS, lean, load, mix64, pieces, stored, texts_of, token_hashes
 
 LEADING = 3
 LONG_LINE = 8
@@ -82,7 +82,7 @@ def tree_lines(texts: DataFrame, leaves: DataFrame | None = None) -> DataFrame:
                 names=[c.split()[0] for c in LINE_SCHEMA.split(", ")],
             )
 
-    rows = texts.select("text_id", "rank", "text").mapInArrow(parse, LINE_SCHEMA)
+    rows = texts.select("text_id", "rank", "text").mapInArrow(lean(parse), LINE_SCHEMA)
     if leaves is None:
         return rows.drop("tokens")
     some = F.broadcast(leaves) if leaves.count() <= BROADCAST_MAX_ROWS else leaves
@@ -162,7 +162,7 @@ def generalised(lines: DataFrame) -> DataFrame:
     Under every key of a block, all lines are compared with the earliest. Those that match none and are still
     two or more under a key are then read in order and compared with each template found under the key.
     """
-    placed = stored(lines.mapInArrow(blocks, "form long, rank long, text_id long, key long"), "blocks")
+    placed = stored(lines.mapInArrow(lean(blocks), "form long, rank long, text_id long, key long"), "blocks")
     order = F.struct("rank", "text_id", "form")
     heads = placed.groupBy("key").agg(F.min(order).alias("head"), F.max(order).alias("end")).where("head <> end")
     heads = stored(heads.select("key", "head"), "heads")
@@ -170,13 +170,13 @@ def generalised(lines: DataFrame) -> DataFrame:
     pairs = shared.select("form", F.col("head.form").alias("other"), F.struct("head.rank", "head.text_id").alias("first")).distinct()
     tokens = lines.select("form", "tokens")
     pairs = pairs.join(tokens, "form").join(tokens.toDF("other", "others"), "other")
-    links = stored(pairs.select("form", "first", "tokens", "others").mapInArrow(similar, LINK_SCHEMA), "links")
+    links = stored(pairs.select("form", "first", "tokens", "others").mapInArrow(lean(similar), LINK_SCHEMA), "links")
     left = shared.join(links.select("form").distinct(), "form", "left_anti").select("key", "form", "rank", "text_id")
     left = stored(left, "left")
     several = left.groupBy("key").agg(F.min("form").alias("a"), F.max("form").alias("b")).where("a <> b").select("key")
     left = left.join(several, "key", "left_semi").join(tokens, "form").repartition("key")
     left = left.sortWithinPartitions("key", "rank", "text_id", "form").select("key", "form", "rank", "text_id", "tokens")
-    return links.unionByName(left.mapInArrow(matched, LINK_SCHEMA))
+    return links.unionByName(left.mapInArrow(lean(matched), LINK_SCHEMA))
 
 
 def recurring(texts: DataFrame) -> DataFrame:
@@ -260,7 +260,7 @@ def without_recurring_lines(docs: DataFrame, id_column: str = "doc_id") -> DataF
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in others], "text string, n_lines int, dropped_lines int", "words long, kept_words long"])
-    result = joined.select(*others, "text", "_drops").mapInArrow(rebuild, schema)
+    result = joined.select(*others, "text", "_drops").mapInArrow(lean(rebuild), schema)
     return result.select(*docs.columns, *added)
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import load, stored
+from pairloom.llm.common import lean, load, stored
 
 CAPACITIES = (512, 1024, 2048, 4096)
 POOL = 16_384
@@ -149,7 +149,7 @@ def packed_plan(
 
     narrow = stored(docs.select(F.col(id_column).cast("long"), F.col(length).cast("long")), "lengths")
     spread = max(1, -(-narrow.count() // pool))
-    return narrow.repartition(spread).mapInArrow(pools, SCHEMA)
+    return narrow.repartition(spread).mapInArrow(lean(pools), SCHEMA)
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

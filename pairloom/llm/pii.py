@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import load, pieces
+from pairloom.llm.common import lean, load, pieces
 from pairloom.llm.pii_examples import expanded
 
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -398,7 +398,7 @@ def personal_data(docs: DataFrame, table: list[tuple[str, list[Span]]] | None =
             cols = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([piece.column(0), *cols], names=[c.split()[0] for c in PII_SCHEMA.split(", ")])
 
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), "text").mapInArrow(scan, PII_SCHEMA)
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), "text").mapInArrow(lean(scan), PII_SCHEMA)
 
 
 def op6_word_shape_field(spark: SparkSession, sf_dir: str) -> DataFrame:

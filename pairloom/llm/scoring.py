@@ -18,6 +18,7 @@ from pairloom.llm.common import (
     VECTOR_SCHEMA,
     crc_split,
     gathered,
+    lean,
     load,
     pieces,
     stored,
@@ -69,7 +70,7 @@ def token_counts(docs: DataFrame) -> DataFrame:
                     yield flush()
         yield flush()
 
-    parts = docs.select("text").mapInArrow(count, "token binary, n long")
+    parts = docs.select("text").mapInArrow(lean(count), "token binary, n long")
     return stored(parts.groupBy("token").agg(F.sum("n").alias("c")), "tokens")
 
 
@@ -130,7 +131,7 @@ def context_counts(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
                 held, size = [], 0
         yield flush()
 
-    parts = docs.select("text").mapInArrow(count, "code long, n long")
+    parts = docs.select("text").mapInArrow(lean(count), "code long, n long")
     return stored(parts.groupBy("code").agg(F.sum("n").alias("n")), "contexts")
 
 
@@ -239,7 +240,7 @@ def fit_scorer(contexts: DataFrame, unigram: np.ndarray, rounds: int = ROUNDS) -
             if held:
                 yield from learn()
 
-        sums = gathered(contexts.select("code", "n").mapInArrow(steps, VECTOR_SCHEMA))
+        sums = gathered(contexts.select("code", "n").mapInArrow(lean(steps), VECTOR_SCHEMA))
         if "weight" not in sums:
             break
         p = {k: sums[k].reshape(shape) / sums["weight"][0] for k, shape in shapes.items()}
@@ -320,7 +321,7 @@ def parts(docs: DataFrame, scorer: Scorer, held_out: Column, id_column: str) ->
         held_out.alias("held_out"),
         "text",
     )
-    return stored(rows.mapInArrow(score, PART_SCHEMA), "parts")
+    return stored(rows.mapInArrow(lean(score), PART_SCHEMA), "parts")
 
 
 def frequent_tokens(counts: DataFrame, most: int = FREQUENT) -> list[tuple[bytes, int]]:
@@ -357,7 +358,7 @@ def tail_sizes(counts: DataFrame, words: dict[bytes, int]) -> dict[str, np.ndarr
                     types[tail_class(w)] += 1
         yield vector_batch([*vector_rows("tokens", tokens), *vector_rows("types", types)])
 
-    found = gathered(counts.select("token", "c").mapInArrow(tails, VECTOR_SCHEMA))
+    found = gathered(counts.select("token", "c").mapInArrow(lean(tails), VECTOR_SCHEMA))
     return {k: found.get(k, np.zeros(TAILS)) for k in ("tokens", "types")}
 
 

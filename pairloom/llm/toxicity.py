@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from pairloom.llm.common import crc_split, load, pieces, texts_of
+from pairloom.llm.common import crc_split, lean, load, pieces, texts_of
 
 WINDOW = 24
 STRIDE = 16
@@ -395,7 +395,7 @@ def toxicity_scores(docs: DataFrame, p: Params) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(best)], names=[*piece.schema.names, "_score"])
 
     schema = StructType([*docs.schema.fields, StructField("_score", DoubleType())])
-    return docs.mapInArrow(score, schema)
+    return docs.mapInArrow(lean(score), schema)
 
 
 def op1_gated_recurrent_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
