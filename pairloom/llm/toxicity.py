@@ -341,7 +341,7 @@ def batch_scores(net: Params, batches: Iterator[pa.RecordBatch]) -> Iterator[tup
     Words met before in a task are looked up, up to a bound in bytes; the table of their gates grows by doubling,
     and its first row stands for places without a word.
     """
-    table = np.zeros((4096, 6 * HIDDEN), np.float32)
+    table = np.zeros((2 * WORDS_AT_ONCE, 6 * HIDDEN), np.float32)
     known: dict[bytes, int] = {}
     held = 0
     for piece in pieces(batches, size=1_000_000):

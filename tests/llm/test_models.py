@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from support import awkward, empty, sentence
@@ -44,6 +45,23 @@ def test_toxic_words_and_unseen_forms_are_found(spark, network):
     assert [got[i] for i in range(8)] == [0, 0, 0, 0, 1, 1, 1, 1]
 
 
+def test_words_met_before_and_a_bounded_table_change_no_score(network, monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(f"{rng.choice('abc')}{rng.randrange(10**6)}" for _ in range(n)) for n in (3, 25_000, 0, 30_000, 7)]
+    texts += [f"{t[:200]} vileone" for t in texts]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts)})
+
+    def scores():
+        return np.concatenate([s for _, s in toxicity.batch_scores(network, iter([batch]))])
+
+    whole = scores()
+    monkeypatch.setattr(toxicity, "CACHE", 1)
+    monkeypatch.setattr(toxicity, "WORDS_AT_ONCE", 700)
+    assert scores() == pytest.approx(whole, abs=1e-5)
+    alone = [next(s for _, s in toxicity.batch_scores(network, iter([batch.slice(i, 1)])))[0] for i in range(len(texts))]
+    assert alone == pytest.approx(whole, abs=1e-5)
+
+
 def test_gradient_of_the_network():
     rng = np.random.default_rng(0)
     h, d = toxicity.HIDDEN, 2 * toxicity.DIM + 1
