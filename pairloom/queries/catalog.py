@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairloom.functions import statistics, text
-from pairloom.operators import batches, curate, evaluate, report, rollout, split, subsample, views
+from pairloom.operators import batches, curate, evaluate, report, rollout, rollout_arrays, split, subsample, views
 from pairloom.operators import preference_model as model
 from pairloom.plans.curation import CuratedData
 from pairloom.plans.curve import run_learning_curve
@@ -309,6 +309,21 @@ def batch_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.batch_manifest(_usable(spark, sf_dir))
 
 
+def _training_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts that policy training draws from: those with a pair in the training split."""
+    return _labelled(spark, sf_dir).where("split = 'train'").select("prompt_id")
+
+
+@register
+def train_batch_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batches.batch_manifest(_training_prompts(spark, sf_dir))
+
+
+@register
+def train_steps_per_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batches.steps_per_epoch(_training_prompts(spark, sf_dir))
+
+
 @register
 def steps_per_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.steps_per_epoch(_usable(spark, sf_dir))
@@ -486,6 +501,34 @@ def kl_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(kl.select("run_id", "seq_id", "pos", "kl"))
 
 
+@register
+def kl_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KL estimates kept in arrays, unfolded for their place only."""
+    sequences = rollout_arrays.with_token_kl(tables.rollout_arrays(spark, sf_dir))
+    return _rounded(sequences.select("run_id", "seq_id", F.posexplode("kl").alias("place", "kl")))
+
+
+@register
+def sequence_mean_kl_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(rollout_arrays.sequence_statistics(tables.rollout_arrays(spark, sf_dir)))
+
+
+@register
+def clip_fraction_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(rollout_arrays.clip_fraction(tables.rollout_arrays(spark, sf_dir)))
+
+
+@register
+def surrogate_loss_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sequences = tables.rollout_arrays(spark, sf_dir)
+    rewarded = rollout.penalise(
+        rollout_arrays.sequence_statistics(sequences).join(tables.rollout_rewards(spark, sf_dir), rollout.SEQUENCE),
+        PolicyRunSettings().kl_coefficient,
+    )
+    advantage = rollout.advantages(rewarded).select(*rollout.SEQUENCE, "advantage")
+    return _rounded(rollout_arrays.surrogate_loss(sequences.join(advantage, rollout.SEQUENCE)))
+
+
 @register
 def sequence_mean_kl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(rollout.sequence_statistics(tables.rollout_tokens(spark, sf_dir)))

@@ -405,6 +405,18 @@ FROM labelled""",
         USABLE,
         """SELECT prompts, (prompts + 3) // 4 AS steps_per_epoch, 2 * ((prompts + 3) // 4) AS total_steps
 FROM (SELECT count(DISTINCT prompt_id) AS prompts FROM usable)""",
+    ),
+    "train_batch_manifest": _with(
+        LABELLED,
+        """SELECT epoch, (place - 1) // 4 AS batch_id, place, prompt_id FROM (
+  SELECT epoch, prompt_id, row_number() OVER (
+    PARTITION BY epoch ORDER BY md5('42|' || epoch || '|' || prompt_id), prompt_id) AS place
+  FROM (SELECT DISTINCT prompt_id FROM labelled WHERE split = 'train'), (VALUES (1), (2)) e(epoch))""",
+    ),
+    "train_steps_per_epoch": _with(
+        LABELLED,
+        """SELECT prompts, (prompts + 3) // 4 AS steps_per_epoch, 2 * ((prompts + 3) // 4) AS total_steps
+FROM (SELECT count(DISTINCT prompt_id) AS prompts FROM labelled WHERE split = 'train')""",
     ),
     "view_sizes": _with(LABELLED + SPLIT_SIZES, "SELECT * FROM split_sizes"),
     "category_counts": _with(
@@ -514,6 +526,24 @@ FROM evaluated, (SELECT CAST(t AS DOUBLE) AS target
         f"""SELECT p.run_id, p.seq_id, p.pos, {_r("p.old_lp - q.ref_lp", "kl")}
 FROM tokens p JOIN tokens q USING (run_id, seq_id, pos)""",
     ),
+    "kl_arrays": _with(
+        ROLLOUT,
+        f"""SELECT run_id, seq_id, place, {_r("kl", "kl")} FROM (
+  SELECT CAST(floor(l_orderkey / 201) AS BIGINT) AS run_id, l_orderkey AS seq_id,
+    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+      -l_quantity / 10, -l_quantity / 10 + (l_tax - CAST(0.04 AS DOUBLE))) - 1 AS place,
+    -l_quantity / 10 - (-l_quantity / 10 + (l_tax - CAST(0.04 AS DOUBLE))) AS kl
+  FROM lineitem)""",
+    ),
+    "sequence_mean_kl_arrays": _with(
+        ROLLOUT, f"SELECT run_id, step_id, seq_id, {_r('mean_kl', 'mean_kl')}, response_tokens FROM sequences"
+    ),
+    "clip_fraction_arrays": _with(
+        ROLLOUT, f"SELECT run_id, step_id, update_id, {_r('clip_fraction', 'clip_fraction')}, tokens FROM clipped"
+    ),
+    "surrogate_loss_arrays": _with(
+        ROLLOUT, f"SELECT run_id, step_id, update_id, {_r('policy_loss', 'policy_loss')} FROM losses"
+    ),
     "sequence_mean_kl": _with(
         ROLLOUT, f"SELECT run_id, step_id, seq_id, {_r('mean_kl', 'mean_kl')}, response_tokens FROM sequences"
     ),

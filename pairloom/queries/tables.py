@@ -114,6 +114,31 @@ def rollout_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rollout_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per generated sequence with an array for each quantity, in order of position."""
+    line = ["l_linenumber", "l_partkey", "l_suppkey"]
+    old = -F.col("l_quantity") / 10
+    token = F.struct(
+        *line,
+        old.alias("old"),
+        (old + (F.col("l_tax") - 0.04)).alias("ref"),
+        (F.col("l_discount") - 0.05).alias("drift"),
+        (F.col("l_returnflag") != "R").alias("mask"),
+    )
+    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(token)).alias("t"))
+
+    def update(u: Column) -> Column:
+        return F.transform("t", lambda t: t["old"] + (u + 1) * t["drift"] * 1.5)
+
+    return rows.select(
+        *_run_of(F.col("l_orderkey")),
+        F.col("t.mask").alias("mask"),
+        F.col("t.old").alias("old_lp"),
+        F.col("t.ref").alias("ref_lp"),
+        F.transform(F.sequence(F.lit(0), F.lit(UPDATES - 1)), update).alias("new_lp"),
+    )
+
+
 def rollout_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per generated sequence."""
     return table(spark, sf_dir, "orders").select(

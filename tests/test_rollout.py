@@ -7,7 +7,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from pairloom.operators import rollout
+from pairloom.operators import rollout, rollout_arrays
 from pairloom.settings import PolicyRunSettings
 
 TOKENS = "run_id long, step_id long, seq_id long, update_id int, mask boolean, old_lp double, ref_lp double, new_lp double"
@@ -131,3 +131,66 @@ def test_join_log_probs(spark):
     reference = spark.createDataFrame([(1, 1, 1, 1, -2.5), (1, 2, 1, 1, 7.0)], "run_id long, step_id long, seq_id long, pos int, ref_lp double")
     rows = rollout.join_log_probs(policy, reference).collect()
     assert [(r.pos, r.kl) for r in rows] == [(1, 0.5)]
+
+
+ARRAYS = (
+    "run_id long, step_id long, seq_id long, mask array<boolean>, old_lp array<double>, ref_lp array<double>, "
+    "new_lp array<array<double>>, advantage double"
+)
+
+
+def test_arrays_give_what_token_rows_give(spark):
+    rng = random.Random(8)
+    rows, tokens = [], []
+    for seq in range(40):
+        n = rng.choice([0, 1, 5, 30])
+        mask = [rng.random() < 0.6 for _ in range(n)]
+        old, ref = ([-3 * rng.random() for _ in range(n)] for _ in range(2))
+        new = [[x + rng.uniform(-0.6, 0.6) for x in old] for _ in range(3)]
+        rows.append((seq % 2, seq % 5, seq, mask, old, ref, new, rng.uniform(-1, 1)))
+        for u in range(3):
+            tokens += [(seq % 2, seq % 5, seq, u, *t) for t in zip(mask, old, ref, new[u])]
+    sequences = spark.createDataFrame(rows, ARRAYS)
+    schema = "run_id long, step_id long, seq_id long, update_id int, mask boolean, old_lp double, ref_lp double, new_lp double"
+    log = spark.createDataFrame(tokens, schema)
+
+    def close(got, expected, keys):
+        frames = [d.orderBy(*keys).toPandas() for d in (got, expected.select(*got.columns))]
+        assert len(frames[0]) == len(frames[1]) > 0
+        for c in got.columns:
+            assert frames[0][c].tolist() == pytest.approx(frames[1][c].tolist(), abs=1e-9)
+
+    sums = rollout_arrays.update_sums(sequences)
+    close(sums.where("n + clipped > 0"), rollout.update_sums(log).where("n + clipped > 0"), [*rollout.SEQUENCE, "update_id"])
+    close(rollout_arrays.clip_fraction(sequences), rollout.clip_fraction(log), ["run_id", "step_id", "update_id"])
+    loss = rollout.surrogate_loss(rollout.update_sums(log), sequences)
+    close(rollout_arrays.surrogate_loss(sequences), loss, ["run_id", "step_id", "update_id"])
+    whole = rollout_arrays.sequence_statistics(sequences)
+    close(whole.where("response_tokens > 0"), rollout.sequence_statistics(log.where("update_id = 0")).where("response_tokens > 0"), ["seq_id"])
+
+
+def test_arrays_move_no_token(spark, tmp_path):
+    """Up to the sequence there is no exchange, and one by the step behind it."""
+    spark.createDataFrame([], ARRAYS).write.parquet(str(tmp_path / "sequences"))
+    sequences = spark.read.parquet(str(tmp_path / "sequences"))
+
+    def exchanges(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+    assert exchanges(rollout_arrays.sequence_statistics(sequences)) == 0
+    assert exchanges(rollout_arrays.update_sums(sequences)) == 0
+    assert exchanges(rollout_arrays.clip_fraction(sequences)) == 1
+    assert exchanges(rollout_arrays.surrogate_loss(sequences)) == 1
+
+
+def test_arrays_with_nulls_and_of_unequal_length(spark):
+    rows = [
+        (1, 1, 1, None, None, None, None, 0.0),
+        (1, 1, 2, [True, None, False], [-1.0, -2.0], [-2.0, None, -9.0], [[-1.0], None], 1.0),
+        (1, 1, 3, [False], [-1.0], [-1.0], [[]], 1.0),
+    ]
+    sequences = spark.createDataFrame(rows, ARRAYS)
+    got = {r.seq_id: (r.mean_kl, r.response_tokens) for r in rollout_arrays.sequence_statistics(sequences).collect()}
+    assert got == {1: (0.0, 0), 2: (1.0, 1), 3: (0.0, 0)}
+    sums = {(r.seq_id, r.update_id): (r.n, r.capped, r.clipped) for r in rollout_arrays.update_sums(sequences).collect()}
+    assert sums == {(2, 0): (1, 1.0, 0), (2, 1): (1, 0.0, 0), (3, 0): (0, 0.0, 0)}
