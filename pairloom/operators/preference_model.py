@@ -8,7 +8,7 @@ from functools import reduce
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import CountVectorizerModel, HashingTF
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,28 +17,40 @@ from pyspark.sql import types as T
 from pairloom.functions.keys import row_key
 from pairloom.functions.text import stripped, whitespace_tokens
 from pairloom.operators.evaluate import category_evaluation
+from pairloom.operators.nested_fit import NestedFit, fit_nested
 from pairloom.operators.subsample import fraction_membership
 from pairloom.settings import CURVE_FRACTIONS, PreferenceModelSettings
 
 BatchScorer = Callable[[pd.Series], pd.Series]
 
 
-def add_text_features(df: DataFrame, text: str, features: str, num_buckets: int) -> DataFrame:
-    """Hashed token counts plus the token count itself, as an array; row-local."""
+def add_text_features(df: DataFrame, text: str, features: str, num_buckets: int, portable: bool = False) -> DataFrame:
+    """Hashed token counts plus the token count itself, as an array; row-local.
+
+    ``portable`` takes a token's bucket from the first four md5 digits, which any SQL engine can compute.
+    """
     tokens, counts = f"_{text}_tokens", f"_{text}_counts"
-    hashing = HashingTF(numFeatures=num_buckets, inputCol=tokens, outputCol=counts)
     words = whitespace_tokens(stripped(F.coalesce(text, F.lit(""))))
+    if portable:
+        counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(num_buckets)], tokens, counts)
+        words = F.transform(words, lambda t: _md5_bucket(t, num_buckets).cast("string"))
+    else:
+        counter = HashingTF(numFeatures=num_buckets, inputCol=tokens, outputCol=counts)
     with_tokens = df.withColumn(tokens, words)
     values = F.concat(vector_to_array(F.col(counts)), F.array(F.size(tokens).cast("double")))
-    return hashing.transform(with_tokens).withColumn(features, values).drop(tokens, counts)
+    return counter.transform(with_tokens).withColumn(features, values).drop(tokens, counts)
+
+
+def _md5_bucket(token: Column, num_buckets: int) -> Column:
+    return F.conv(F.substring(F.md5(token), 1, 4), 16, 10).cast("int") % num_buckets
 
 
 def pair_features(
     pairs: DataFrame, settings: PreferenceModelSettings = PreferenceModelSettings()
 ) -> DataFrame:
     """Feature difference of each pair; what the shared prompt adds cancels out."""
-    both = add_text_features(pairs, "chosen", "_c", settings.num_buckets)
-    both = add_text_features(both, "rejected", "_r", settings.num_buckets)
+    both = add_text_features(pairs, "chosen", "_c", settings.num_buckets, settings.portable_hash)
+    both = add_text_features(both, "rejected", "_r", settings.num_buckets, settings.portable_hash)
     difference = F.zip_with("_c", "_r", lambda c, r: c - r)
     return both.withColumn("difference", difference).drop("_c", "_r")
 
@@ -87,15 +99,14 @@ def weights_table(model: LogisticRegressionModel, spark) -> DataFrame:
     return spark.createDataFrame(rows, "feature int, weight double")
 
 
-def _weighted(model: LogisticRegressionModel, features: Column) -> Column:
-    weights = F.array(*[F.lit(float(w)) for w in model.coefficients.toArray()])
-    products = F.zip_with(features, weights, lambda x, w: x * w)
+def _weighted(weights: Sequence[float], features: Column) -> Column:
+    products = F.zip_with(features, F.array(*[F.lit(float(w)) for w in weights]), lambda x, w: x * w)
     return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
 
 
 def score_features(features: DataFrame, model: LogisticRegressionModel) -> DataFrame:
     """Margin of each pair from its feature difference."""
-    return features.withColumn("margin", _weighted(model, F.col("difference")))
+    return features.withColumn("margin", _weighted(model.coefficients.toArray(), F.col("difference")))
 
 
 def score_with_model(
@@ -105,11 +116,12 @@ def score_with_model(
     settings: PreferenceModelSettings = PreferenceModelSettings(),
 ) -> DataFrame:
     """Add a score column per text column; all on the JVM side."""
+    weights = model.coefficients.toArray()
 
     def add(frame: DataFrame, item: tuple[str, str]) -> DataFrame:
         text, score = item
-        frame = add_text_features(frame, text, "_features", settings.num_buckets)
-        return frame.withColumn(score, _weighted(model, F.col("_features"))).drop("_features")
+        frame = add_text_features(frame, text, "_features", settings.num_buckets, settings.portable_hash)
+        return frame.withColumn(score, _weighted(weights, F.col("_features"))).drop("_features")
 
     return reduce(add, texts.items(), df)
 
@@ -128,6 +140,29 @@ def score_with(df: DataFrame, scorer: BatchScorer, texts: dict[str, str]) -> Dat
     return df.mapInPandas(run, schema)
 
 
+def fit_fractions(
+    train: DataFrame,
+    fractions: Sequence[float] = CURVE_FRACTIONS,
+    settings: PreferenceModelSettings = PreferenceModelSettings(),
+) -> NestedFit:
+    """A model per nested sample of the training pairs; features are computed once, a pass serves all models."""
+    kept = [c for c in ("pair_id", "prompt_category", "difference") if c == "difference" or c in train.columns]
+    features = pair_features(train, settings).select(*kept)
+    sampled = fraction_membership(features, fractions, settings.seed).select("difference", "fractions")
+    sampled.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return fit_nested(
+            sampled,
+            fractions,
+            settings.num_buckets + 1,
+            settings.reg_param,
+            settings.max_iter,
+            settings.newton_tolerance,
+        )
+    finally:
+        sampled.unpersist()
+
+
 def learning_curve(
     train: DataFrame,
     validation: DataFrame,
@@ -136,33 +171,20 @@ def learning_curve(
 ) -> DataFrame:
     """Fit on growing samples, evaluate each fit on the same validation pairs.
 
-    Features are computed once; the loop over the fractions drives one distributed fit each.
-    The validation margins of all fits come from one pass over the validation features.
+    The fits share their passes over the features, the validation margins of all fits come from one pass.
     """
-    kept = ("pair_id", "prompt_category", "difference")
-    kept = [c for c in kept if c in ("prompt_category", "difference") or c in train.columns]
-    features = pair_features(train, settings).select(*kept)
-    sampled = fraction_membership(features, fractions, settings.seed).persist()
+    fit = fit_fractions(train, fractions, settings)
     held_out = pair_features(validation, settings).select("prompt_category", "difference")
-    try:
-        in_sample = {float(f): F.array_contains("fractions", float(f)) for f in fractions}
-        sizes = sampled.agg(*[F.count_if(held).alias(str(f)) for f, held in in_sample.items()]).first()
-        models = {
-            f: fit_preferences(sampled.where(held).drop("fractions"), settings, cached=True)
-            for f, held in in_sample.items()
-        }
-    finally:
-        sampled.unpersist()
     scored = F.explode(
         F.array(
             *[
                 F.struct(
                     F.lit(f).alias("fraction"),
-                    F.lit(sizes[str(f)]).alias("train_pairs"),
-                    _weighted(model, F.col("difference")).alias("chosen_score"),
+                    F.lit(int(fit.pairs[k])).cast("long").alias("train_pairs"),
+                    _weighted(fit.weights[k], F.col("difference")).alias("chosen_score"),
                     F.lit(0.0).alias("rejected_score"),
                 )
-                for f, model in models.items()
+                for k, f in enumerate(fit.fractions)
             ]
         )
     )

@@ -29,6 +29,7 @@ from pairloom.settings import (
     PREFERENCE_SCHEMA,
     CurationSettings,
     PolicyRunSettings,
+    PreferenceModelSettings,
 )
 from pairloom.sources import preference_csv, sinks
 
@@ -619,3 +620,13 @@ def bulk_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def learning_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_learning_curve(tables.preference_pairs(spark, sf_dir)).results
+
+
+@register
+def nested_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five models from shared passes: what each learned from, and its gradient, which is 0 at the solution."""
+    settings = PreferenceModelSettings(portable_hash=True)
+    train = _train_half(spark, sf_dir).select("pair_id", "prompt_category", "chosen", "rejected")
+    fitted = model.fit_fractions(train, settings=settings).table(spark)
+    sums = [F.col(c).cast("long").alias(c) for c in ("difference_sum", "square_sum")]
+    return _rounded(fitted.select("fraction", "feature", "train_pairs", *sums, "gradient"))

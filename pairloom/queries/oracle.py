@@ -393,6 +393,34 @@ FROM labelled""",
     "subsample": _with(
         SWEEP, "SELECT pair_id, prompt_category FROM sweep WHERE fraction = CAST(0.6 AS DOUBLE)"
     ),
+    "nested_fit": _with(
+        SWEEP
+        + """,
+doc_tokens AS (
+  SELECT doc_id, unnest(regexp_split_to_array(trim(text, E' \\t\\n\\x0b\\f\\r'), '[ \\t\\n\\x0b\\f\\r]+')) AS token
+  FROM documents
+),
+doc_features AS (
+  SELECT doc_id, CAST('0x' || substr(md5(token), 1, 4) AS INTEGER) % 64 AS feature, count(*) AS n
+  FROM doc_tokens WHERE token <> '' GROUP BY ALL
+  UNION ALL SELECT doc_id, 64, count(*) FROM doc_tokens WHERE token <> '' GROUP BY ALL
+),
+sides AS (
+  SELECT fraction, pair_id, (pair_id * 7 + 1) % (SELECT count(*) FROM documents) AS doc_id, 1 AS side FROM sweep
+  UNION ALL
+  SELECT fraction, pair_id, (pair_id * 11 + 3) % (SELECT count(*) FROM documents), -1 FROM sweep
+),
+differences AS (
+  SELECT fraction, pair_id, feature, sum(side * n) AS d FROM sides JOIN doc_features USING (doc_id) GROUP BY ALL
+),
+samples AS (SELECT fraction, count(*) AS train_pairs FROM sweep GROUP BY fraction)""",
+        """SELECT s.fraction, CAST(f.feature AS INTEGER) AS feature, train_pairs,
+  CAST(coalesce(sum(d), 0) AS BIGINT) AS difference_sum, CAST(coalesce(sum(d * d), 0) AS BIGINT) AS square_sum,
+  CAST(0 AS DOUBLE) AS gradient
+FROM samples s CROSS JOIN range(65) f(feature)
+LEFT JOIN differences x ON x.fraction = s.fraction AND x.feature = f.feature
+GROUP BY ALL""",
+    ),
     "fraction_sweep": _with(SWEEP, "SELECT fraction, pair_id FROM sweep"),
     "batch_manifest": _with(
         USABLE,

@@ -96,3 +96,5 @@ class PreferenceModelSettings:
     tolerance: float = 1e-5
     reg_param: float = 1e-3
     seed: int = SEED
+    newton_tolerance: float = 1e-10
+    portable_hash: bool = False
