@@ -12,18 +12,21 @@ from pyspark.sql import functions as F
 from pairloom.llm.common import BROADCAST_MAX_ROWS, lean, load, mix64, pieces, stored, texts_of, token_hashes
 
 LEADING = 3
-LONG_LINE = 8
 CONSTANT = 0.75
 WILD = np.uint64(0x5851F42D4C957F2D)
 
+#: Lines under one block key that one task reads in order; more are keyed by two blocks.
+HOT_LINES = 1_000
+
 LINE_SCHEMA = "text_id long, rank long, line int, words int, leaf long, form long, tokens binary"
 
 
 def line_rows(texts: list[bytes | None]) -> tuple[np.ndarray, ...]:
     """Number of text and line, word count, leaf and masked form of every line that has a word.
 
-    Words with a digit are variable fields and hashed alike, unless they are most of a line. The leaf is the path in the tree: the number of words,
-    then the leading words one by one, padded in lines of fewer words.
+    Numbers (words with digits and no letters) are variable fields and hashed alike, unless a line has no other words:
+    a template needs a constant. The leaf is the path in the tree: the number of words, then the leading words one
+    by one, where all words with a digit take the same branch.
     """
     lines = [line for t in texts for line in (t or b"").split(b"\n")]
     counts = [(t or b"").count(b"\n") + 1 for t in texts]
@@ -32,16 +35,19 @@ def line_rows(texts: list[bytes | None]) -> tuple[np.ndarray, ...]:
     hashes, owner = token_hashes(lines)
     sizes = np.bincount(owner, minlength=len(lines))
     if len(hashes):
-        variable = with_digit(lines)
-        few = np.bincount(owner, variable, len(lines)) <= (1 - CONSTANT) * sizes
-        hashes = np.where(variable & few[owner], WILD, hashes)
+        digit, number_only = with_digit(lines)
+        constant = np.bincount(owner, ~number_only, len(lines)) > 0
+        branch = np.where(digit, WILD, hashes)
+        hashes = np.where(number_only & constant[owner], WILD, hashes)
+    else:
+        branch = hashes
     firsts = np.cumsum(sizes) - sizes
     able = np.flatnonzero(sizes > 0)
     leaf = mix64(sizes[able].astype(np.uint64))
     for depth in range(LEADING):
-        there = sizes[able] > depth
+        there = leading(sizes[able]) > depth
         word = np.zeros(len(able), np.uint64)
-        word[there] = hashes[firsts[able[there]] + depth]
+        word[there] = branch[firsts[able[there]] + depth]
         leaf = mix64(leaf * np.uint64(0x9FB21C651E98DF25) + word)
     place = np.arange(len(hashes)) - firsts[owner] if len(hashes) else np.zeros(0, np.int64)
     mixed = mix64(hashes + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -50,13 +56,21 @@ def line_rows(texts: list[bytes | None]) -> tuple[np.ndarray, ...]:
     return text[able], number[able], sizes[able], leaf, mix64(form + leaf), hashes, firsts[able]
 
 
-def with_digit(lines: list[bytes]) -> np.ndarray:
-    """Whether each word has a digit."""
+def leading(sizes: np.ndarray) -> np.ndarray:
+    """Words that lead to a leaf: half of a line, LEADING at most, so that short lines have room for a field."""
+    return np.clip(sizes // 2, 1, LEADING)
+
+
+def with_digit(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each word has a digit, and whether it has one and no letter (any byte from 128 on is one)."""
     joined = b"\n".join(lines)
     data = np.frombuffer(joined, np.uint8)
     space = (data == 32) | ((data >= 9) & (data <= 13))
     starts = np.flatnonzero(np.diff(space.view(np.int8), prepend=1) == -1)
-    return np.add.reduceat(((data >= 48) & (data <= 57)).astype(np.int64), starts) > 0
+    lower = data | 32
+    letter = ((lower >= 97) & (lower <= 122)) | (data >= 128)
+    digit = np.add.reduceat(((data >= 48) & (data <= 57)).astype(np.int64), starts) > 0
+    return digit, digit & (np.add.reduceat(letter.astype(np.int64), starts) == 0)
 
 
 def tree_lines(texts: DataFrame, leaves: DataFrame | None = None) -> DataFrame:
@@ -89,37 +103,60 @@ def tree_lines(texts: DataFrame, leaves: DataFrame | None = None) -> DataFrame:
     return rows.join(some, "leaf", "left_semi")
 
 
-def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def blocks(shared: int):
     """A row for every block of a line: the line's form and rank, and the hash of leaf, block and the block's words.
 
-    The words behind the leading ones are cut into one block more than may differ, so two similar lines share one.
+    The words behind the leading ones (all, where those are too few) are cut into ``shared`` blocks more than may differ,
+    so two similar lines share as many. For two shared blocks there is a row for every two blocks of a line.
     """
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        tokens = [np.frombuffer(t, np.uint32) for t in batch.column("tokens").to_pylist()]
-        sizes = np.array([len(t) for t in tokens], np.int64)
-        rest = sizes - LEADING
-        n = np.minimum(np.floor((1 - CONSTANT) * sizes).astype(np.int64) + 1, rest)
-        line = np.repeat(np.arange(len(sizes)), sizes)
-        at = np.arange(len(line)) - np.repeat(np.cumsum(sizes) - sizes, sizes) - LEADING
-        behind = at >= 0
-        line, at = line[behind], at[behind]
-        words = np.concatenate(tokens)[behind].astype(np.uint64)
-        block = at * n[line] // rest[line]
-        starts = np.flatnonzero(np.diff(block, prepend=-1) | np.diff(line, prepend=-1))
-        mixed = mix64(words ^ mix64(at.astype(np.uint64) + np.uint64(0x9FB21C651E98DF25)))
-        owner = line[starts]
-        leaf = batch.column("leaf").to_numpy().view(np.uint64)[owner]
-        key = mix64(np.add.reduceat(mixed, starts) ^ mix64(leaf + block[starts].astype(np.uint64)))
-        owner = pa.array(owner)
-        columns = [batch.column(c).take(owner) for c in ("form", "rank", "text_id")]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(key.view(np.int64))], names=["form", "rank", "text_id", "key"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tokens = [np.frombuffer(t, np.uint32) for t in batch.column("tokens").to_pylist()]
+            sizes = np.array([len(t) for t in tokens], np.int64)
+            n = np.floor((1 - CONSTANT) * sizes).astype(np.int64) + shared
+            before = np.where(sizes - leading(sizes) < n, 0, leading(sizes))
+            rest = sizes - before
+            line = np.repeat(np.arange(len(sizes)), sizes)
+            at = np.arange(len(line)) - np.repeat(np.cumsum(sizes) - sizes, sizes) - before[line]
+            behind = at >= 0
+            line, at = line[behind], at[behind]
+            words = np.concatenate(tokens)[behind].astype(np.uint64)
+            block = at * n[line] // rest[line]
+            starts = np.flatnonzero(np.diff(block, prepend=-1) | np.diff(line, prepend=-1))
+            mixed = mix64(words ^ mix64(at.astype(np.uint64) + np.uint64(0x9FB21C651E98DF25)))
+            owner = line[starts]
+            leaf = batch.column("leaf").to_numpy().view(np.uint64)[owner]
+            key = mix64(np.add.reduceat(mixed, starts) ^ mix64(leaf + block[starts].astype(np.uint64)))
+            if shared == 2:
+                owner, key = in_twos(owner, key, n)
+            owner = pa.array(owner)
+            columns = [batch.column(c).take(owner) for c in ("form", "rank", "text_id")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(key.view(np.int64))], names=["form", "rank", "text_id", "key"])
+
+    return run
+
+
+def in_twos(owner: np.ndarray, key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every two keys of a line as one key; lines have n keys each, in order."""
+    firsts, owners, keys = np.cumsum(n) - n, [], []
+    for many in np.unique(n):
+        a, b = np.triu_indices(many, 1)
+        of = np.flatnonzero(n == many)
+        one = key[firsts[of][:, None] + a]
+        two = key[firsts[of][:, None] + b]
+        keys.append(mix64(one + mix64(two ^ np.uint64(0x9E3779B97F4A7C15))).ravel())
+        owners.append(np.repeat(owner[firsts[of]], len(a)))
+    return np.concatenate(owners), np.concatenate(keys)
 
 
 def alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether rows have CONSTANT of their words equal at their places."""
-    return (a == b).sum(axis=-1) >= CONSTANT * b.shape[-1]
+    """Whether CONSTANT of the words are equal at their places; places that vary in both rows count for nothing."""
+    wild = WILD.astype(np.uint32)
+    constant = ((a != wild) | (b != wild)).sum(axis=-1)
+    return (a != b).sum(axis=-1) <= (1 - CONSTANT) * constant
 
 
 def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,13 +193,14 @@ def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 LINK_SCHEMA = "form long, first struct<rank: long, text_id: long>"
 
 
-def generalised(lines: DataFrame) -> DataFrame:
+def generalised(lines: DataFrame, hot_lines: int = HOT_LINES, shared: int = 1) -> DataFrame:
     """Forms that match the template of an earlier one: (form, first), of (form, leaf, rank, text_id, tokens).
 
     Under every key of a block, all lines are compared with the earliest. Those that match none and are still
-    two or more under a key are then read in order and compared with each template found under the key.
+    two or more under a key are then read in order and compared with each template found under the key. If more than
+    `hot_lines` are left under a key, its lines go through the same steps by two blocks they share.
     """
-    placed = stored(lines.mapInArrow(lean(blocks), "form long, rank long, text_id long, key long"), "blocks")
+    placed = stored(lines.mapInArrow(lean(blocks(shared)), "form long, rank long, text_id long, key long"), "blocks")
     order = F.struct("rank", "text_id", "form")
     heads = placed.groupBy("key").agg(F.min(order).alias("head"), F.max(order).alias("end")).where("head <> end")
     heads = stored(heads.select("key", "head"), "heads")
@@ -173,21 +211,27 @@ def generalised(lines: DataFrame) -> DataFrame:
     links = stored(pairs.select("form", "first", "tokens", "others").mapInArrow(lean(similar), LINK_SCHEMA), "links")
     left = shared.join(links.select("form").distinct(), "form", "left_anti").select("key", "form", "rank", "text_id")
     left = stored(left, "left")
-    several = left.groupBy("key").agg(F.min("form").alias("a"), F.max("form").alias("b")).where("a <> b").select("key")
-    left = left.join(several, "key", "left_semi").join(tokens, "form").repartition("key")
+    counts = left.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    counts = stored(counts, "counts")
+    usual = counts.where(F.col("n") <= hot_lines) if shared == 1 else counts
+    hot = counts.where(F.col("n") > hot_lines)
+    if shared == 1 and not hot.isEmpty():
+        crowded = left.join(hot.select("key"), "key", "left_semi").select("form").distinct()
+        again = stored(lines.join(crowded, "form", "left_semi"), "crowded")
+        links = links.unionByName(generalised(again, hot_lines, 2))
+    left = left.join(usual.select("key"), "key", "left_semi").join(tokens, "form").repartition("key")
     left = left.sortWithinPartitions("key", "rank", "text_id", "form").select("key", "form", "rank", "text_id", "tokens")
     return links.unionByName(left.mapInArrow(lean(matched), LINK_SCHEMA))
 
 
-def recurring(texts: DataFrame) -> DataFrame:
+def recurring(texts: DataFrame, hot_lines: int = HOT_LINES) -> DataFrame:
     """Lines to drop: (text_id, line), of texts (text_id, rank, text) that are all different.
 
     1. Lines are parsed into the leaves of the tree; leaves of one text alone are left.
     2. Lines of one masked form in several texts recur.
-    3. Forms of long lines that are in one leaf are generalised: a form matches the template of an earlier one if
-       CONSTANT of their words are equal at their places, everything else is a variable field.
-    Of lines with one form or template, those in the text of the lowest rank stay, all others are dropped. Lines of
-    less than LONG_LINE words are not generalised.
+    3. Forms in one leaf are generalised: a form matches the template of an earlier one if CONSTANT of their words are
+       equal at their places, everything else is a variable field. In lines of three words none may differ.
+    Of lines with one form or template, those in the text of the lowest rank stay, all others are dropped.
     """
     ends = (F.min(F.struct("rank", "text_id")).alias("first"), F.max(F.struct("rank", "text_id")).alias("last"))
     lines = tree_lines(texts)
@@ -197,9 +241,10 @@ def recurring(texts: DataFrame) -> DataFrame:
     forms = stored(once.groupBy("form", "words", "leaf").agg(*ends, F.count("*").alias("texts")), "forms")
     exact = forms.where("texts >= 2").select("form", "first")
 
-    heads = forms.where(f"words >= {LONG_LINE}").select("form", F.expr("first.text_id AS text_id"), F.expr("first.rank AS rank"))
-    lines = parsed.where(f"words >= {LONG_LINE}").join(heads, ["form", "text_id", "rank"]).dropDuplicates(["form"])
-    general = generalised(stored(lines.select("form", "leaf", "rank", "text_id", "tokens"), "representatives"))
+    able = F.col("words") * (1 - CONSTANT) >= 1
+    heads = forms.where(able).select("form", F.expr("first.text_id AS text_id"), F.expr("first.rank AS rank"))
+    lines = parsed.where(able).join(heads, ["form", "text_id", "rank"]).dropDuplicates(["form"])
+    general = generalised(stored(lines.select("form", "leaf", "rank", "text_id", "tokens"), "representatives"), hot_lines)
     drops = exact.unionByName(general).groupBy("form").agg(F.min("first").alias("first"))
     return parsed.join(drops, "form").where("text_id <> first.text_id").select("text_id", "line").distinct()
 

@@ -22,7 +22,7 @@ from pairloom.llm.decontaminate import (
     matches,
     position_masks,
 )
-from pairloom.llm.line_templates import without_recurring_lines
+from pairloom.llm.line_templates import CONSTANT, WILD, alike, leading, recurring, without_recurring_lines
 from pairloom.llm.packing import pack, packed_plan, with_word_counts
 from pairloom.llm.sharding import hilbert_index, hilbert_shards
 
@@ -126,6 +126,64 @@ def test_short_lines_that_recur_stay_once(spark):
     assert got == {i: rows[0][1] if i == 0 else "\n" + own[i] for i in own}
 
 
+def test_short_lines_with_fields_stay_once(spark):
+    rng = random.Random(26)
+    own = {i: sentence(rng, 20) for i in range(8)}
+    names = "Anna Bob Carla Dan Eva Fred Gina Hugo".split()
+    rows = [
+        (i, f"Page {i + 1} of 12\nPosted by {names[i]} today\n{t}\n{i} {i + 1} {i * i}\nvol. {i}\n{i * 3} 2024 - {i}")
+        for i, t in own.items()
+    ]
+    got = {r.doc_id: r.text for r in without_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == rows[0][1]
+    assert [got[i] for i in range(1, 8)] == [f"{own[i]}\n{i} {i + 1} {i * i}" for i in range(1, 8)]
+
+
+def plain_alike(a, b):
+    """Two lines of a leaf, places with numbers in both counting for nothing."""
+    if len(a) != len(b):
+        return False
+    pairs = list(zip(a, b, strict=True))
+    digit = [any(c.isdigit() for c in x) and any(c.isdigit() for c in y) for x, y in pairs]
+    if not all(x == y or d for (x, y), d in list(zip(pairs, digit, strict=True))[: max(1, min(3, len(a) // 2))]):
+        return False
+    if all(x.isdigit() for x in a) or all(y.isdigit() for y in b):
+        return sum(x != y for x, y in pairs) <= (1 - CONSTANT) * len(a)
+    both = [x.isdigit() and y.isdigit() for x, y in pairs]
+    return sum(x != y and not n for (x, y), n in zip(pairs, both, strict=True)) <= (1 - CONSTANT) * (len(a) - sum(both))
+
+
+@pytest.mark.parametrize("hot_lines", [1_000, 2])
+def test_lines_match_templates_as_all_pairs_do(spark, hot_lines):
+    """Every dropped line is like an earlier one, no two lines that stay are alike, in every pair of lines."""
+    rng = random.Random(27)
+    word = ["a", "b", "c", "d", "7", "31", "u4", "u5", "of"]
+    bases = [[rng.choice(word) for _ in range(size)] for size in (1, 2, 3, 4, 4, 5, 5, 6, 7, 8, 9, 12, 17) for _ in range(3)]
+    lines = []
+    for _ in range(900):
+        base = rng.choice(bases)
+        share = rng.choice([0.1, 0.25, 0.4])
+        line = [rng.choice([*word, f"{rng.randrange(50)}", f"u{rng.randrange(9)}"]) if rng.random() < share else x for x in base]
+        if line not in lines:
+            lines.append(line)
+    df = spark.createDataFrame([(i, i, " ".join(x)) for i, x in enumerate(lines)], "text_id long, rank long, text string")
+    dropped = {r.text_id for r in recurring(df, hot_lines).collect()}
+    stay = [x for i, x in enumerate(lines) if i not in dropped]
+    assert len(dropped) > 100 and len(stay) > 100
+    for i in dropped:
+        assert any(plain_alike(lines[i], x) for j, x in enumerate(lines) if j != i), lines[i]
+    for n, x in enumerate(stay):
+        assert not [y for y in stay[:n] if plain_alike(x, y)], x
+
+
+def test_variable_places_count_for_nothing():
+    wild = int(WILD.astype(np.uint32))
+    rows = [([1, 2, 3, 4], [1, 2, 3, 5], True), ([1, 2, wild, 4], [1, 2, wild, 5], False), ([1, 2, wild, 4], [1, 2, 3, 4], True)]
+    for a, b, expected in rows:
+        assert alike(np.array(a, np.uint32), np.array(b, np.uint32)) == expected
+    assert leading(np.array([1, 2, 3, 4, 5, 6, 50])).tolist() == [1, 1, 1, 2, 2, 3, 3]
+
+
 def test_lines_of_its_own_stay_in_a_text_of_shared_ones(spark):
     rng = random.Random(25)
     shared, own = [sentence(rng, 30) for _ in range(10)], sentence(rng, 12)
