@@ -232,6 +232,8 @@ def recurring(texts: DataFrame, hot_lines: int = HOT_LINES) -> DataFrame:
     3. Forms in one leaf are generalised: a form matches the template of an earlier one if CONSTANT of their words are
        equal at their places, everything else is a variable field. In lines of three words none may differ.
     Of lines with one form or template, those in the text of the lowest rank stay, all others are dropped.
+    Forms of more texts than a share of all (so at most BROADCAST_MAX_ROWS of them) are sent to the lines, not the
+    lines to them.
     """
     ends = (F.min(F.struct("rank", "text_id")).alias("first"), F.max(F.struct("rank", "text_id")).alias("last"))
     lines = tree_lines(texts)
@@ -239,14 +241,20 @@ def recurring(texts: DataFrame, hot_lines: int = HOT_LINES) -> DataFrame:
     parsed = stored(tree_lines(texts, stored(leaves, "leaves")), "parsed")
     once = parsed.select("form", "words", "leaf", "rank", "text_id").distinct()
     forms = stored(once.groupBy("form", "words", "leaf").agg(*ends, F.count("*").alias("texts")), "forms")
-    exact = forms.where("texts >= 2").select("form", "first")
+    exact = forms.where("texts >= 2").select("form", "first", "texts")
 
     able = F.col("words") * (1 - CONSTANT) >= 1
     heads = forms.where(able).select("form", F.expr("first.text_id AS text_id"), F.expr("first.rank AS rank"))
     lines = parsed.where(able).join(heads, ["form", "text_id", "rank"]).dropDuplicates(["form"])
     general = generalised(stored(lines.select("form", "leaf", "rank", "text_id", "tokens"), "representatives"), hot_lines)
-    drops = exact.unionByName(general).groupBy("form").agg(F.min("first").alias("first"))
-    return parsed.join(drops, "form").where("text_id <> first.text_id").select("text_id", "line").distinct()
+    drops = exact.unionByName(general.withColumn("texts", F.lit(1).cast("long")))
+    drops = stored(drops.groupBy("form").agg(F.min("first").alias("first"), F.max("texts").alias("texts")), "forms-dropped")
+    least = max(hot_lines, (exact.agg(F.sum("texts")).first()[0] or 0) // BROADCAST_MAX_ROWS)
+    crowd = F.broadcast(drops.where(F.col("texts") > least).select("form", F.col("first").alias("_first")))
+    at = parsed.select("form", "text_id", "line").join(crowd, "form", "left")
+    usual = at.where("_first IS NULL").drop("_first").join(drops.select("form", "first"), "form")
+    found = usual.unionByName(at.where("_first IS NOT NULL").withColumnRenamed("_first", "first"))
+    return found.where("text_id <> first.text_id").select("text_id", "line")
 
 
 def without_recurring_lines(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
