@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.functions.text import ChatTemplate, chat_format, stripped, whitespace_tokens
+from pairloom.functions.text import ChatTemplate, chat_format, scoring_text, stripped, whitespace_tokens
+from pairloom.settings import MAX_TEXT_TOKENS
 
 
 def supervised_view(labelled: DataFrame) -> DataFrame:
@@ -65,6 +66,21 @@ def cap_length(df: DataFrame, column: str, max_tokens: int) -> DataFrame:
     )
 
 
+def capped_scoring_texts(
+    pairs: DataFrame, max_tokens: int = MAX_TEXT_TOKENS, template: ChatTemplate = ChatTemplate()
+) -> DataFrame:
+    """``chosen_text`` and ``rejected_text``: the chat-formatted prompt and a response, each cut to the cap on its own.
+
+    Adds ``chosen_text_was_truncated`` and ``rejected_text_was_truncated``. A null prompt or response gives a null text.
+    """
+    prompt = chat_format(F.col("prompt"), template)
+    for side in ("chosen", "rejected"):
+        pairs = pairs.withColumn(f"{side}_text", scoring_text(prompt, F.col(side)))
+    for side in ("chosen", "rejected"):
+        pairs = cap_length(pairs, f"{side}_text", max_tokens)
+    return pairs
+
+
 def sample_prompt(labelled: DataFrame) -> DataFrame:
     """A prompt to look at: from 'val' if there is one, otherwise from 'train'."""
     order = F.struct((F.col("split") != "val").alias("later"), F.col("row_key"))

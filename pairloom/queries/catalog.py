@@ -277,6 +277,14 @@ def length_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capped.withColumn("prompt", F.md5("prompt")).withColumn("text", F.md5("text"))
 
 
+@register
+def scoring_text_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a scorer reads of both responses."""
+    capped = views.capped_scoring_texts(_usable(spark, sf_dir).select("pair_id", "prompt", "chosen", "rejected"))
+    digests = [F.md5(f"{side}_text").alias(f"{side}_text") for side in ("chosen", "rejected")]
+    return capped.select("pair_id", *digests, "chosen_text_was_truncated", "rejected_text_was_truncated")
+
+
 # Splits and samples
 
 

@@ -378,6 +378,15 @@ WHERE NOT coalesce(reading_time_s < 2 OR reading_time_s > 600, FALSE)""",
   len({_tokens("prompt")}) > 512 AS prompt_was_truncated,
   md5({_capped("(prompt || chosen)", 1024)}) AS text,
   len({_tokens("(prompt || chosen)")}) > 1024 AS text_was_truncated FROM usable""",
+    ),
+    "scoring_text_cap": _with(
+        USABLE + f""",
+texts AS (
+  SELECT pair_id, {_chat("prompt")} || chosen AS c, {_chat("prompt")} || rejected AS r FROM usable
+)""",
+        f"""SELECT pair_id, md5({_capped("c", 1024)}) AS chosen_text, md5({_capped("r", 1024)}) AS rejected_text,
+  len({_tokens("c")}) > 1024 AS chosen_text_was_truncated,
+  len({_tokens("r")}) > 1024 AS rejected_text_was_truncated FROM texts""",
     ),
     "split_stratified": _with(LABELLED, "SELECT pair_id, prompt_category, split FROM labelled"),
     "split_random": _with(

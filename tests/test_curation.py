@@ -18,7 +18,7 @@ from pairloom.operators import median
 from pairloom.operators.curate import drop_ties, filter_statistics, keep_plausible_reading_times
 from pairloom.operators.median import exact_median
 from pairloom.operators.report import category_counts, metadata_report, view_sizes
-from pairloom.operators.views import cap_length, first_per_prompt, prompt_view, sample_prompt
+from pairloom.operators.views import cap_length, capped_scoring_texts, first_per_prompt, prompt_view, sample_prompt
 
 
 def test_reading_time_edges(spark):
@@ -132,6 +132,18 @@ def test_length_cap(spark):
     }
 
 
+def test_scoring_texts_are_cut_one_by_one(spark):
+    rows = [(1, "how so", "a b c d e f g h", "a"), (2, "how", None, "x\ty"), (3, None, "a", "b")]
+    df = spark.createDataFrame(rows, "pair_id long, prompt string, chosen string, rejected string")
+    frame = chat_format(F.lit("how so"))
+    words = len(df.select(F.split(frame, r"\s+").alias("t")).first().t) - 1
+    got = {r.pair_id: r for r in capped_scoring_texts(df, words + 3).collect()}
+    assert got[1].chosen_text.split()[-3:] == ["a", "b", "c"] and got[1].chosen_text_was_truncated
+    assert got[1].rejected_text.endswith("assistant\na") and not got[1].rejected_text_was_truncated
+    assert got[2].chosen_text is None and got[2].rejected_text.endswith("x\ty")
+    assert got[3].chosen_text is None and got[3].rejected_text is None
+
+
 def test_token_arrays(spark):
     df = spark.createDataFrame([(["q", "a", "PAD", "b", "PAD"],), ([],)], "ids array<string>")
     pad = F.lit("PAD")
