@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pairloom.llm.common import (
@@ -26,6 +26,8 @@ from pairloom.llm.common import (
 from pairloom.llm.components import components
 
 SKETCH_BITS = 19
+CROWDED = 64
+CROWDED_ROWS = 1000
 NONE = np.empty(0, np.uint64)
 
 
@@ -79,37 +81,52 @@ def shingle_loads(docs: DataFrame, width: int) -> np.ndarray:
     return found.get("load", np.zeros(1 << SKETCH_BITS)).astype(np.uint32)
 
 
-PREFIX_SCHEMA = "doc_id long, n long, key string, group_key long, prefix array<long>"
+PREFIX_SCHEMA = "doc_id long, n long, key string, group_key long, light int, prefix array<long>"
 
 
 def prefixes(docs: DataFrame, loads: np.ndarray, width: int, percent: int) -> DataFrame:
-    """Size, identity and prefix of the n-gram set of each document."""
+    """Size, identity and prefix of the n-gram set of each document.
+
+    The first `light` n-grams of a prefix are in buckets that are not crowded: they are hit at most CROWDED times as
+    often as the mean bucket, or CROWDED_ROWS times.
+    """
     shipped = docs.sparkSession.sparkContext.broadcast(loads)
+    most = max(CROWDED_ROWS, CROWDED * float(loads.mean()))
     bits = np.uint64((1 << SKETCH_BITS) - 1)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         load = shipped.value
         for piece in pieces(batches):
-            sizes, keys, groups, parts = [], [], [], []
+            sizes, keys, groups, lights, parts = [], [], [], [], []
             for found in shingle_sets(texts_of(piece), width):
                 sizes.append(len(found))
                 if not len(found):
                     keys.append(None)
                     groups.append(0)
+                    lights.append(0)
                     parts.append(np.empty(0, np.int64))
                     continue
                 other = mix64(found ^ np.uint64(0xD6E8FEB86659FD93))
                 keys.append(f"{int(found.sum()):x}-{int(other.sum()):x}-{len(found):x}")
                 size = prefix_size(len(found), percent)
-                order = np.lexsort((found, load[(found & bits).astype(np.int64)]))[:size]
+                hits = load[(found & bits).astype(np.int64)]
+                order = np.lexsort((found, hits))[:size]
                 part = found[order]
+                lights.append(int((hits[order] <= most).sum()))
                 groups.append(int(mix64(part).sum() ^ np.uint64(len(found))) - (1 << 63))
                 parts.append(part.view(np.int64))
             ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts) if parts else []))
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.string()), pa.array(groups, pa.int64()), lists],
-                names=["doc_id", "n", "key", "group_key", "prefix"],
+                [
+                    piece.column("doc_id"),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(keys, pa.string()),
+                    pa.array(groups, pa.int64()),
+                    pa.array(lights, pa.int32()),
+                    lists,
+                ],
+                names=["doc_id", "n", "key", "group_key", "light", "prefix"],
             )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(cut), PREFIX_SCHEMA)
@@ -132,13 +149,15 @@ def plausible(pairs: DataFrame, table: DataFrame, percent: int) -> DataFrame:
     """Pairs whose prefixes leave enough room.
 
     Of two prefixes in the common order, the one that ends first has met all it can of the other; so the sets share at
-    most what the prefixes share and the rest of one of them.
+    most what the prefixes share and the rest of one of them. Half of each hash is sent; n-grams of one prefix that have
+    this half in common are counted as if all were shared, so no pair is lost.
     """
     pairs = stored(pairs, "candidates")
-    kept = narrowed(table.select("doc_id", "n", "prefix"), pairs)
-    left = kept.toDF("a", "n", "x")
-    right = kept.toDF("b", "m", "y")
-    most = "size(array_intersect(x, y)) + greatest(n - size(x), m - size(y))"
+    halves = F.array_distinct(F.transform("prefix", lambda g: F.shiftright(g, 32).cast("int")))
+    kept = narrowed(table.select("doc_id", "n", F.size("prefix").alias("cut"), halves.alias("halves")), pairs)
+    left = kept.toDF("a", "n", "i", "x")
+    right = kept.toDF("b", "m", "j", "y")
+    most = "size(array_intersect(x, y)) + least(i - size(x), j - size(y)) + greatest(n - i, m - j)"
     joined = pairs.join(left, "a").join(right, "b").where(enough(most, "n", "m", percent))
     return joined.select("a", "b").distinct()
 
@@ -194,20 +213,13 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     leading = members.where("doc_id = leader").select("doc_id", "group_key")
 
     inside = members.where("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    shared = filled.select(F.explode("prefix").alias("gram")).groupBy("gram").agg(F.count("*").alias("rows"))
-    postings = filled.join(leading, ["doc_id", "group_key"]).select(
-        "doc_id", "n", band.alias("band"), F.posexplode("prefix").alias("pos", "gram")
-    )
-    postings = stored(postings.join(shared.where("rows > 1").select("gram"), "gram"), "postings")
-    firsts = postings.groupBy("gram", "band").agg(F.min(F.struct("pos", "doc_id", "n")).alias("first"))
-    near = firsts.select("gram", "first", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
-    near = near.select("gram", "band", F.expr("first.doc_id AS a"), F.expr("first.n AS m"), F.expr("first.pos AS q"))
-    star = (
-        postings.join(near, ["gram", "band"])
-        .where(f"a <> doc_id AND {enough('least(n - pos, m - q)', 'n', 'm', percent)}")
-        .select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b"))
-    )
+    posted = filled.join(leading, ["doc_id", "group_key"])
+    light, heavy = (stored(found, "postings") for found in (light_postings(posted, percent), heavy_postings(posted)))
+    star = light.select("doc_id", F.explode("near").alias("other"))
+    if not heavy.isEmpty():
+        star = star.unionByName(heavy_stars(heavy, percent))
+    star = star.select(F.least("other", "doc_id").alias("a"), F.greatest("other", "doc_id").alias("b"))
+    postings = light.drop("near").unionByName(heavy)
     links = stored(verified(star.unionByName(inside).distinct(), docs, filled, width, percent), "links")
 
     known = stored(components(links), "known")
@@ -223,6 +235,51 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     return placed.unionByName(empty).withColumnRenamed("n", "n_shingles")
 
 
+def band_of(percent: int) -> Column:
+    """Sizes in the same or the next band can be similar enough, others cannot."""
+    return F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
+
+
+def light_postings(posted: DataFrame, percent: int) -> DataFrame:
+    """Postings of the n-grams that several groups have, with the most central group of the own and the next smaller band.
+
+    Rows (doc_id, n, pos, gram, near); `near` lists those of the two that leave room for enough others. An
+    n-gram is dealt to one task, which is safe here: its bucket is not crowded. So a single shuffle tells which
+    n-grams are shared and whom to compare first.
+    """
+    rows = posted.select("doc_id", "n", F.posexplode(F.expr("slice(prefix, 1, light)")).alias("pos", "gram"))
+    rows = rows.repartition("gram").withColumn("band", band_of(percent))
+    in_order = Window.partitionBy("gram").orderBy("band", "pos", "doc_id")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    shared = rows.select(
+        "*", F.lag("band").over(in_order).alias("before"), F.lead("band").over(in_order).alias("after")
+    ).where("before IS NOT NULL OR after IS NOT NULL")
+    opens = F.expr("before IS NULL OR before <> band")
+    own = F.last(F.when(opens, F.struct("band", "doc_id", "n", "pos")), ignorenulls=True).over(so_far)
+    smaller = shared.withColumn("own", own).withColumn("last", F.when(opens, F.lag("own").over(in_order)))
+    central = smaller.withColumn("prior", F.last("last", ignorenulls=True).over(so_far))
+    room = enough("least(n - pos, t.n - t.pos)", "n", "t.n", percent)
+    near = f"filter(array(own, prior), t -> t.doc_id <> doc_id AND t.band >= band - 1 AND {room})"
+    return central.select("doc_id", "n", "pos", "gram", F.expr(f"transform({near}, t -> t.doc_id)").alias("near"))
+
+
+def heavy_postings(posted: DataFrame) -> DataFrame:
+    """Postings of the n-grams in crowded buckets, which may be a third of all groups under one n-gram."""
+    some = posted.where("light < size(prefix)")
+    rest = F.posexplode(F.expr("slice(prefix, light + 1, size(prefix))")).alias("pos", "gram")
+    return some.select("doc_id", "n", "light", rest).select("doc_id", "n", F.expr("light + pos AS pos"), "gram")
+
+
+def heavy_stars(heavy: DataFrame, percent: int) -> DataFrame:
+    """The same neighbours as in `light_postings`, by aggregates with partial sums and a join that can be split."""
+    rows = heavy.withColumn("band", band_of(percent))
+    firsts = rows.groupBy("gram", "band").agg(F.min(F.struct("pos", "doc_id", "n")).alias("first"))
+    near = firsts.select("gram", "first", F.explode(F.array("band", F.col("band") + 1)).alias("band"))
+    near = near.select("gram", "band", F.expr("first.doc_id AS other"), F.expr("first.n AS m"), F.expr("first.pos AS q"))
+    room = enough("least(n - pos, m - q)", "n", "m", percent)
+    return rows.join(near, ["gram", "band"]).where(f"other <> doc_id AND {room}").select("doc_id", "other")
+
+
 def expanded(members: DataFrame, postings: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """All candidate pairs of members whose components are still apart.
 

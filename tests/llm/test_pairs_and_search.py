@@ -63,6 +63,29 @@ def test_order_of_grams_does_not_matter(spark, texts, monkeypatch):
     assert got == expected_components(texts)
 
 
+@pytest.mark.parametrize("rows", [0, 3])
+def test_crowded_grams_link_the_same(spark, texts, monkeypatch, rows):
+    """All n-grams, or those in buckets hit more than a few times, go the way of hot ones."""
+    monkeypatch.setattr(jaccard, "CROWDED", 0)
+    monkeypatch.setattr(jaccard, "CROWDED_ROWS", rows)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(docs).collect()}
+    assert got == expected_components(texts)
+
+
+def test_halves_of_hashes_lose_no_pair(spark, texts, monkeypatch):
+    """Only four values of the half that is sent: n-grams of one prefix fall together, candidates stay."""
+    plain = jaccard.shingle_sets
+
+    def clashing(found, width):
+        return [(s & np.uint64(0x3_FFFF_FFFF)) if len(s) else s for s in plain(found, width)]
+
+    monkeypatch.setattr(jaccard, "shingle_sets", clashing)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(docs).collect()}
+    assert got == expected_components(texts)
+
+
 def test_join_of_awkward_rows(spark):
     rows = jaccard_components(awkward(spark)).collect()
     assert len(rows) == 9
