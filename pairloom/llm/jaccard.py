@@ -24,6 +24,7 @@ from pairloom.llm.common import (
     vector_rows,
 )
 from pairloom.llm.components import components
+from pairloom.session import fits_broadcast
 
 SKETCH_BITS = 19
 CROWDED = 64
@@ -137,9 +138,9 @@ def enough(shared: str, n: str, m: str, percent: int) -> str:
     return f"({shared}) * {100 + percent} >= {percent} * ({n} + {m})"
 
 
-def narrowed(df: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Rows of the documents in question: by a broadcast of their ids if these are few, else by a shuffle."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+def narrowed(df: DataFrame, pairs: DataFrame, side: str) -> DataFrame:
+    """Rows of the documents on one side of pairs: by a broadcast of their ids if these are few, else by a shuffle."""
+    ids = pairs.select(F.col(side).alias("doc_id")).distinct()
     wanted = stored(ids, "wanted")
     some = F.broadcast(wanted) if wanted.count() <= BROADCAST_MAX_ROWS else wanted
     return df.join(some, "doc_id")
@@ -154,9 +155,9 @@ def plausible(pairs: DataFrame, table: DataFrame, percent: int) -> DataFrame:
     """
     pairs = stored(pairs, "candidates")
     halves = F.array_distinct(F.transform("prefix", lambda g: F.shiftright(g, 32).cast("int")))
-    kept = narrowed(table.select("doc_id", "n", F.size("prefix").alias("cut"), halves.alias("halves")), pairs)
-    left = kept.toDF("a", "n", "i", "x")
-    right = kept.toDF("b", "m", "j", "y")
+    table = table.select("doc_id", "n", F.size("prefix").alias("cut"), halves.alias("halves"))
+    left = narrowed(table, pairs, "a").toDF("a", "n", "i", "x")
+    right = narrowed(table, pairs, "b").toDF("b", "m", "j", "y")
     most = "size(array_intersect(x, y)) + least(i - size(x), j - size(y)) + greatest(n - i, m - j)"
     joined = pairs.join(left, "a").join(right, "b").where(enough(most, "n", "m", percent))
     return joined.select("a", "b").distinct()
@@ -168,7 +169,7 @@ def verified(pairs: DataFrame, docs: DataFrame, table: DataFrame, width: int, pe
     Only the texts of pairs with plausible prefixes move: texts, as they are smaller than their sets of hashes.
     """
     pairs = stored(plausible(pairs, table, percent), "pairs")
-    texts = narrowed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary")), pairs)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, text="x"):
@@ -181,8 +182,7 @@ def verified(pairs: DataFrame, docs: DataFrame, table: DataFrame, width: int, pe
                 keep.append(100 * shared >= percent * (len(p) + len(q) - shared))
             yield piece.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("x"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("y"))
+    left, right = narrowed(texts, pairs, "a").toDF("a", "x"), narrowed(texts, pairs, "b").toDF("b", "y")
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(lean(compare), "a long, b long")
 
 
@@ -213,7 +213,7 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     leading = members.where("doc_id = leader").select("doc_id", "group_key")
 
     inside = members.where("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b"))
-    posted = filled.join(leading, ["doc_id", "group_key"])
+    posted = of_leaders(filled, classes, leading)
     light, heavy = (stored(found, "postings") for found in (light_postings(posted, percent), heavy_postings(posted)))
     star = light.select("doc_id", F.explode("near").alias("other"))
     if not heavy.isEmpty():
@@ -235,6 +235,15 @@ def jaccard_components(docs: DataFrame, width: int = 4, percent: int = 85) -> Da
     return placed.unionByName(empty).withColumnRenamed("n", "n_shingles")
 
 
+def of_leaders(filled: DataFrame, classes: DataFrame, leading: DataFrame) -> DataFrame:
+    """Rows of the leaders. The others are the fewer: prefixes stay where they are if those fit a broadcast."""
+    ids = ["doc_id", "group_key"]
+    others = stored(classes.select(*ids).distinct().join(leading, ids, "left_anti"), "others")
+    if fits_broadcast(others.count(), 0):
+        return filled.join(F.broadcast(others), ids, "left_anti")
+    return filled.join(leading, ids)
+
+
 def band_of(percent: int) -> Column:
     """Sizes in the same or the next band can be similar enough, others cannot."""
     return F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
@@ -248,7 +257,9 @@ def light_postings(posted: DataFrame, percent: int) -> DataFrame:
     n-grams are shared and whom to compare first.
     """
     rows = posted.select("doc_id", "n", F.posexplode(F.expr("slice(prefix, 1, light)")).alias("pos", "gram"))
-    rows = rows.repartition("gram").withColumn("band", band_of(percent))
+    rows = rows.select("doc_id", "gram", F.expr("shiftleft(n, 32) + pos AS place")).repartition("gram")
+    rows = rows.selectExpr("doc_id", "gram", "shiftright(place, 32) AS n", "CAST(place & 4294967295 AS INT) AS pos")
+    rows = rows.withColumn("band", band_of(percent))
     in_order = Window.partitionBy("gram").orderBy("band", "pos", "doc_id")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     shared = rows.select(
