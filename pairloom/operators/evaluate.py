@@ -35,6 +35,15 @@ def pairwise_evaluation(scored: DataFrame) -> DataFrame:
     )
 
 
+def ranking_loss(scored: DataFrame) -> DataFrame:
+    """One row: mean of ln(1 + exp(-margin)), and the pairs with both scores; null when there is none."""
+    margin = F.col("margin")
+    return with_margin(scored).agg(
+        F.avg(F.greatest(-margin, F.lit(0.0)) + F.log1p(F.exp(-F.abs(margin)))).alias("loss"),
+        F.count(margin).alias("pairs"),
+    )
+
+
 def category_evaluation(scored: DataFrame, category: str = "prompt_category", by: Sequence[str] = ()) -> DataFrame:
     """Accuracy per category and overall, with Wilson intervals.
 

@@ -9,6 +9,7 @@ split a stratum into 4,096).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -24,6 +25,8 @@ KEY = "_cut_key"
 COPY = "_copy_no"
 BUCKET = "_bucket"
 DIGITS = 3
+KEY_DIGITS = 32
+ROWS_PER_BUCKET = 1_000_000
 COPIES_PER_CHUNK = 65_536
 
 
@@ -210,25 +213,56 @@ def _whole_share(take: Column, rows: Column) -> Column:
     return (exact / rows.cast("decimal(19,0)")).cast("bigint")
 
 
+def split_buckets(keyed: DataFrame, groups: list[str], digits: int, most: int) -> DataFrame:
+    """Buckets of an adaptive radix, in the order of their keys: (groups, bucket, n).
+
+    A bucket is a key's first digits. Buckets of more than ``most`` rows are split by further digits, others stay; so
+    no bucket has more rows, whatever the keys, unless they agree in all digits. A round counts the rows of the full buckets
+    only and takes as many digits as the fullest one needs.
+    """
+    found = keyed.groupBy(*groups, key_bucket(F.col(KEY), digits).alias(BUCKET)).agg(F.count("*").alias("n"))
+    found = cut_lineage(found)
+    while digits < KEY_DIGITS:
+        largest = found.where(F.length(BUCKET) == digits).agg(F.max("n").alias("n")).first()["n"] or 0
+        if largest <= most:
+            break
+        full = (F.length(BUCKET) == digits) & (F.col("n") > most)
+        again = keyed.withColumn(BUCKET, key_bucket(F.col(KEY), digits))
+        again = again.join(found.where(full).select(*groups, BUCKET), [*groups, BUCKET], "left_semi")
+        digits = min(KEY_DIGITS, digits + max(1, math.ceil(math.log(largest / most, 16))))
+        parts = again.groupBy(*groups, key_bucket(F.col(KEY), digits).alias(BUCKET)).agg(F.count("*").alias("n"))
+        found = cut_lineage(found.where(~full).unionByName(parts))
+    return found
+
+
 def bucketed_rank(
-    keyed: DataFrame, groups: list[str], group_limit: int, seed: int, parts: list[str], digits: int = DIGITS
+    keyed: DataFrame,
+    groups: list[str],
+    group_limit: int,
+    seed: int,
+    parts: list[str],
+    digits: int = DIGITS,
+    most: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Rank 1..n in each group by md5(seed|parts), exact, in windows of one bucket each.
+    """Rank 1..n in each group by md5(seed|parts), exact, in windows of one bucket of at most ``most`` rows each.
 
-    ``group_limit`` is a known bound on the number of groups; it bounds the offset table.
+    The buckets come from the histogram of the keys, see ``split_buckets``; ``group_limit`` is a known bound on the number of
+    groups. A row finds its bucket among the lengths that occur, by the one that is in the table.
     """
-    rows = keyed.withColumn(KEY, seeded_md5(seed, *[F.col(p) for p in parts])).withColumn(
-        BUCKET, key_bucket(F.col(KEY), digits)
-    )
-    place = [*groups, BUCKET]
+    rows = keyed.withColumn(KEY, seeded_md5(seed, *[F.col(p) for p in parts]))
+    buckets = split_buckets(rows.select(*groups, KEY), groups, digits, most)
     earlier = Window.partitionBy(*groups).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy(*place)
-        .agg(F.count("*").alias("n"))
-        .select(*place, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    )
+    place = [*groups, BUCKET]
+    offsets = buckets.select(*place, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    lengths = [r[0] for r in buckets.select(F.length(BUCKET)).distinct().collect()] or [digits]
+    size = buckets.count() if len(lengths) > 1 else group_limit * 16 ** lengths[0]
+    fits = fits_broadcast(size, 0)
+    if len(lengths) == 1:
+        rows = rows.withColumn(BUCKET, key_bucket(F.col(KEY), lengths[0]))
+    else:
+        tried = F.explode(F.array(*[key_bucket(F.col(KEY), d) for d in sorted(lengths)]))
+        rows = rows.withColumn(BUCKET, tried).join(broadcast_if(buckets.select(*place), fits), place, "left_semi")
     in_bucket = Window.partitionBy(*place).orderBy(KEY, *parts)
-    fits = fits_broadcast(group_limit * 16**digits, 0)
     return (
         rows.withColumn("rank", F.row_number().over(in_bucket))
         .join(broadcast_if(offsets, fits), place)

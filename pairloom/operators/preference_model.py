@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -140,6 +141,46 @@ def score_with(df: DataFrame, scorer: BatchScorer, texts: dict[str, str]) -> Dat
     return df.mapInPandas(run, schema)
 
 
+def padded_batches(lengths: np.ndarray, budget: int) -> list[np.ndarray]:
+    """Row numbers by length, cut so that rows x longest of a batch is at most the budget.
+
+    Rows of equal length keep their order. A row longer than the budget is a batch of its own.
+    """
+    order = np.argsort(lengths, kind="stable")
+    batches, start = [], 0
+    for i, row in enumerate(order):
+        if i > start and (i - start + 1) * max(int(lengths[row]), 1) > budget:
+            batches.append(order[start:i])
+            start = i
+    return [*batches, order[start:]] if len(order) else []
+
+
+def score_within_budget(df: DataFrame, scorer: BatchScorer, texts: dict[str, str], budget: int) -> DataFrame:
+    """``score_with`` for scorers that pad a batch to its longest text: no call gets more than ``budget`` padded tokens.
+
+    Tokens are what stands between white space, counted on the JVM side. Rows of an Arrow batch are scored in order of
+    length, so that little is padded, and get their scores back by row number. A longer text is scored alone.
+    """
+    counted = df
+    for text in texts:
+        counted = counted.withColumn(f"_n_{text}", F.size(whitespace_tokens(stripped(F.coalesce(text, F.lit(""))))))
+    scores = [T.StructField(score, T.DoubleType()) for score in texts.values()]
+    schema = T.StructType([*df.schema.fields, *scores])
+    names = schema.names
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            added = {}
+            for text, score in texts.items():
+                values = np.empty(len(batch))
+                for rows in padded_batches(batch[f"_n_{text}"].to_numpy(), budget):
+                    values[rows] = scorer(batch[text].iloc[rows].reset_index(drop=True)).astype("float64").to_numpy()
+                added[score] = values
+            yield batch.assign(**added)[names]
+
+    return counted.mapInPandas(run, schema)
+
+
 def fit_fractions(
     train: DataFrame,
     fractions: Sequence[float] = CURVE_FRACTIONS,

@@ -12,7 +12,7 @@ from pairloom.operators.split import split_pairs
 from pairloom.operators.views import prompt_view, reward_view, supervised_view
 from pairloom.settings import CurationSettings
 from pairloom.sources.preference_csv import list_csv_files, read_preference_csv
-from pairloom.sources.sinks import write_view
+from pairloom.sources.sinks import write_counted, write_view
 
 
 @dataclass(frozen=True)
@@ -42,6 +42,10 @@ class CuratedData:
             write_view(view, paths[name])
         return paths
 
+    def write_counted_views(self, folder: str) -> dict[str, dict[str, int]]:
+        """Write the views as ``write_views`` does; rows per view and split, counted on their way to the files."""
+        return {name: write_counted(view, f"{folder.rstrip('/')}/{name}") for name, view in self.views.items()}
+
 
 def curate(raw: DataFrame, settings: CurationSettings = CurationSettings(), source_files=()) -> CuratedData:
     """Filter and split a table of annotations; lazily, but for the small cut tables."""

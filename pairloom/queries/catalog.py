@@ -18,7 +18,7 @@ from pairloom.operators import batches, curate, evaluate, report, rollout, rollo
 from pairloom.operators import preference_model as model
 from pairloom.plans.curation import CuratedData
 from pairloom.plans.curve import run_learning_curve
-from pairloom.plans.records import stage_record
+from pairloom.plans.records import stage_record, training_record
 from pairloom.queries import tables
 from pairloom.session import scratch_path, stored
 from pairloom.settings import (
@@ -30,6 +30,7 @@ from pairloom.settings import (
     CurationSettings,
     PolicyRunSettings,
     PreferenceModelSettings,
+    TrainingSettings,
 )
 from pairloom.sources import preference_csv, sinks
 
@@ -178,6 +179,38 @@ def stage_record_reward(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_reward_record(spark, sf_dir).select("stage", "num_epochs", "usable_pairs", "eval.*"))
 
 
+def _written_counts(spark: SparkSession, sf_dir: str) -> tuple[CuratedData, dict[str, dict[str, int]]]:
+    data = CuratedData(tables.preference_pairs(spark, sf_dir), stored(_labelled(spark, sf_dir), "labelled"), CurationSettings())
+    return data, data.write_counted_views(scratch_path(spark, "views"))
+
+
+@register
+def view_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every written view and split, as the sink counted them."""
+    _, counts = _written_counts(spark, sf_dir)
+    rows = [(view, split, n) for view, of_split in counts.items() for split, n in of_split.items()]
+    return spark.createDataFrame(rows, "view string, split string, n long")
+
+
+@register
+def stage_record_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole record of ranking-model training, with both evaluations."""
+    data, counts = _written_counts(spark, sf_dir)
+    held_out = data.labelled.where("split = 'val'")
+    record = training_record(
+        "reward",
+        counts["reward"],
+        sum(counts["reward"].values()),
+        TrainingSettings(learning_rate=1e-4),
+        {
+            "eval_loss": (evaluate.ranking_loss(held_out), "pairs"),
+            "eval_ranking": (evaluate.pairwise_evaluation(held_out), "pairs"),
+        },
+    )
+    names = [c for c in record.columns if not c.startswith("eval_")]
+    return _rounded(record.select(*names, "eval_loss.loss", "eval_ranking.*"))
+
+
 @register
 def metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "metrics")
@@ -597,6 +630,9 @@ def perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Preference model
 
 
+SCORING_BUDGET = 8 * MAX_TEXT_TOKENS
+
+
 def _words_minus_commas(batch: pd.Series) -> pd.Series:
     return batch.str.count(r"\S+") * 0.25 - batch.str.count(",")
 
@@ -610,6 +646,14 @@ def bulk_score_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(scored.drop("chosen", "rejected"))
 
 
+@register
+def bulk_score_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = _usable(spark, sf_dir).select("pair_id", "chosen", "rejected")
+    texts = {"chosen": "chosen_score", "rejected": "rejected_score"}
+    scored = model.score_within_budget(pairs, _words_minus_commas, texts, SCORING_BUDGET)
+    return _rounded(scored.drop("chosen", "rejected"))
+
+
 @register
 def preference_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted = model.fit_preferences(model.pair_features(_usable(spark, sf_dir)))

@@ -639,4 +639,22 @@ GROUP BY run_id""",
         )
         + " FROM usable",
     ),
+    "view_counts": _with(
+        LABELLED + FIRST,
+        """SELECT view, split, count(*) AS n FROM (
+  SELECT 'sft' AS view, split FROM labelled UNION ALL SELECT 'reward', split FROM labelled
+  UNION ALL SELECT 'ppo', split FROM first) GROUP BY ALL""",
+    ),
+    "stage_record_ranking": _with(
+        LABELLED,
+        f"""SELECT 'reward' AS stage, 'linear-preference' AS base_model, 3 AS num_epochs, -1 AS max_steps,
+  16 AS effective_batch_size, CAST(1e-4 AS DOUBLE) AS learning_rate,
+  (SELECT count(*) FROM labelled WHERE split = 'train') AS reward_train_examples, count(*) AS reward_val_examples,
+  (SELECT count(*) FROM labelled) AS usable_pairs, {_r("avg(ln(1 + exp(-margin)))", "loss")},
+  {_r("avg(CAST(win AS DOUBLE))", "pairwise_accuracy")}, {_r("avg(margin)", "mean_margin")},
+  {_r("avg(chosen_score)", "mean_chosen_score")}, {_r("avg(rejected_score)", "mean_rejected_score")},
+  count(*) AS pairs
+FROM labelled WHERE split = 'val'""",
+    ),
 }
+ORACLE["bulk_score_budget"] = ORACLE["bulk_score_function"]

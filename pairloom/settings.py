@@ -87,6 +87,22 @@ class PolicyRunSettings:
     seed: int = SEED
 
 
+@dataclass(frozen=True)
+class TrainingSettings:
+    """What a training stage states of itself in its record."""
+
+    base_model: str = "linear-preference"
+    num_epochs: int = 3
+    max_steps: int = -1
+    batch_size: int = 4
+    accumulation_steps: int = 4
+    learning_rate: float = 2e-4
+
+    @property
+    def effective_batch_size(self) -> int:
+        return self.batch_size * self.accumulation_steps
+
+
 @dataclass(frozen=True)
 class PreferenceModelSettings:
     """Parameters of the linear preference model."""

@@ -7,7 +7,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.session import cut_lineage
@@ -21,6 +21,14 @@ def write_view(view: DataFrame, path: str) -> None:
     view.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
+def write_counted(view: DataFrame, path: str, splits: tuple[str, ...] = ("train", "val")) -> dict[str, int]:
+    """Write a view and return its rows per split, counted while they are written and not by another scan."""
+    seen = Observation()
+    counts = [F.count_if(F.col("split") == name).alias(name) for name in splits]
+    write_view(view.observe(seen, *counts), path)
+    return {name: seen.get.get(name, 0) for name in splits}
+
+
 def read_view(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
     view = spark.read.parquet(path)
     return view if split is None else view.where(F.col("split") == split)

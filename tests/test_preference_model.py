@@ -104,3 +104,27 @@ def test_learning_curve_record(spark, tmp_path):
     assert [r["fraction"] for r in record["learning_curve"]] == [0.4, 1.0]
     assert record["power_analysis"]["val_size"] == 100
     assert len(record["power_analysis"]["sample_sizes"]) == 6
+
+
+@pytest.mark.parametrize("budget", [1, 7, 40, 10_000])
+def test_no_batch_is_above_the_budget(spark, budget):
+    rng = random.Random(3)
+    rows = [(i, " ".join(["word"] * rng.randrange(0, 15))) for i in range(200)] + [(200, None)]
+
+    def scorer(batch):
+        lengths = batch.fillna("").str.split().str.len()
+        assert len(batch) == 1 or len(batch) * lengths.max() <= budget
+        return lengths * 2.0
+
+    frame = spark.createDataFrame(rows, "id int, text string")
+    got = {r.id: r.score for r in model.score_within_budget(frame, scorer, {"text": "score"}, budget).collect()}
+    assert got == {i: 2.0 * len((t or "").split()) for i, t in rows}
+    assert model.score_within_budget(frame.limit(0), scorer, {"text": "score"}, budget).count() == 0
+
+
+def test_padded_batches_take_every_row_once():
+    lengths = np.array([5, 1, 9, 0, 3, 3, 30, 2])
+    batches = model.padded_batches(lengths, 10)
+    assert sorted(np.concatenate(batches).tolist()) == list(range(8))
+    assert all(len(b) == 1 or len(b) * lengths[b].max() <= 10 for b in batches)
+    assert model.padded_batches(np.array([], int), 10) == []

@@ -3,6 +3,7 @@
 import pytest
 
 from pairloom.plans.curation import curate_csv
+from pairloom.sources import sinks
 from pairloom.sources.preference_csv import list_csv_files, read_preference_csv, source_provenance
 from pairloom.sources.sinks import read_view
 
@@ -79,3 +80,10 @@ def test_curation_from_csv(spark, tmp_path, as_table):
         "chosen_output_tokens",
         "rejected_output_tokens",
     ]
+
+
+def test_rows_are_counted_while_written(spark, tmp_path):
+    view = spark.range(100).selectExpr("id", "IF(id % 5 = 0, 'val', 'train') AS split").repartition(7)
+    assert sinks.write_counted(view, f"{tmp_path}/view") == {"train": 80, "val": 20}
+    assert sinks.read_view(spark, f"{tmp_path}/view", "val").count() == 20
+    assert sinks.write_counted(view.where("id < 0"), f"{tmp_path}/none") == {"train": 0, "val": 0}

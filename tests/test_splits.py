@@ -212,3 +212,21 @@ def test_one_repeated_id_moves_few_rows(spark):
     last = before[-1].pair_id
     again = split_pairs(spark.createDataFrame([*rows, (last, "a", "another text")], schema)).where("split = 'val'").collect()
     assert len(again) == 41 and len({r.pair_id for r in before} - {r.pair_id for r in again}) == 0
+
+
+@pytest.mark.parametrize("digits, most", [(1, 5), (1, 40), (3, 1_000_000), (0, 300)])
+def test_adaptive_buckets_give_the_plain_rank(spark, digits, most):
+    """Buckets of different lengths: ranks are those of one window over the group, no bucket is too full."""
+    ids = spark.range(400).select(F.concat(F.lit("p"), F.col("id")).alias("prompt_id"))
+    rows = ids.withColumn("epoch", F.when(F.col("prompt_id") < "p3", 1).otherwise(2))
+    parts = ["epoch", "prompt_id"]
+    ranked = keyed_cut.bucketed_rank(rows, ["epoch"], 2, 42, parts, digits, most)
+    plain = {}
+    for r in rows.withColumn("key", keyed_cut.seeded_md5(42, *[F.col(p) for p in parts])).collect():
+        plain.setdefault(r.epoch, []).append((r.key, r.prompt_id))
+    expected = {(e, p): i for e, keys in plain.items() for i, (_, p) in enumerate(sorted(keys), 1)}
+    assert {(r.epoch, r.prompt_id): r["rank"] for r in ranked.collect()} == expected
+    keyed = rows.withColumn(keyed_cut.KEY, keyed_cut.seeded_md5(42, *[F.col(p) for p in parts]))
+    buckets = keyed_cut.split_buckets(keyed, ["epoch"], digits, most)
+    assert buckets.agg(F.max("n"), F.sum("n")).first()[0] <= most
+    assert buckets.agg(F.sum("n")).first()[0] == 400
