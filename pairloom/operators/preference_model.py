@@ -7,16 +7,16 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizerModel, HashingTF
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairloom.functions.keys import row_key
-from pairloom.functions.text import stripped, whitespace_tokens
+from pairloom.functions.token_counts import number_lists, text_pieces, token_counts, token_numbers
 from pairloom.operators.evaluate import category_evaluation
 from pairloom.operators.nested_fit import NestedFit, fit_nested
 from pairloom.operators.subsample import fraction_membership
@@ -24,36 +24,35 @@ from pairloom.settings import CURVE_FRACTIONS, PreferenceModelSettings
 
 BatchScorer = Callable[[pd.Series], pd.Series]
 
+#: Text bytes of the rows that are handed to a scorer together.
+SCORED_BYTES = 16_000_000
+
 
 def add_text_features(df: DataFrame, text: str, features: str, num_buckets: int, portable: bool = False) -> DataFrame:
-    """Hashed token counts plus the token count itself, as an array; row-local.
+    """Hashed token counts plus the token count itself, as an array; row-local, in Arrow batches.
 
-    ``portable`` takes a token's bucket from the first four md5 digits, which any SQL engine can compute.
+    Buckets are those of ``HashingTF``. ``portable`` takes a token's bucket from the first four md5 digits, which any
+    SQL engine can compute.
     """
-    tokens, counts = f"_{text}_tokens", f"_{text}_counts"
-    words = whitespace_tokens(stripped(F.coalesce(text, F.lit(""))))
-    if portable:
-        counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(num_buckets)], tokens, counts)
-        words = F.transform(words, lambda t: _md5_bucket(t, num_buckets).cast("string"))
-    else:
-        counter = HashingTF(numFeatures=num_buckets, inputCol=tokens, outputCol=counts)
-    with_tokens = df.withColumn(tokens, words)
-    values = F.concat(vector_to_array(F.col(counts)), F.array(F.size(tokens).cast("double")))
-    return counter.transform(with_tokens).withColumn(features, values).drop(tokens, counts)
 
+    @F.arrow_udf("array<double>")
+    def counted(texts: pa.Array) -> pa.Array:
+        return number_lists(token_counts(texts, num_buckets, portable))
 
-def _md5_bucket(token: Column, num_buckets: int) -> Column:
-    return F.conv(F.substring(F.md5(token), 1, 4), 16, 10).cast("int") % num_buckets
+    return df.withColumn(features, counted(F.col(text)))
 
 
 def pair_features(
     pairs: DataFrame, settings: PreferenceModelSettings = PreferenceModelSettings()
 ) -> DataFrame:
-    """Feature difference of each pair; what the shared prompt adds cancels out."""
-    both = add_text_features(pairs, "chosen", "_c", settings.num_buckets, settings.portable_hash)
-    both = add_text_features(both, "rejected", "_r", settings.num_buckets, settings.portable_hash)
-    difference = F.zip_with("_c", "_r", lambda c, r: c - r)
-    return both.withColumn("difference", difference).drop("_c", "_r")
+    """Feature difference of each pair, as ``add_text_features`` has them; what the shared prompt adds cancels out."""
+    num_buckets, portable = settings.num_buckets, settings.portable_hash
+
+    @F.arrow_udf("array<double>")
+    def difference(chosen: pa.Array, rejected: pa.Array) -> pa.Array:
+        return number_lists(token_counts(chosen, num_buckets, portable) - token_counts(rejected, num_buckets, portable))
+
+    return pairs.withColumn("difference", difference(F.col("chosen"), F.col("rejected")))
 
 
 def _oriented(features: DataFrame, order_key: Column) -> DataFrame:
@@ -62,7 +61,7 @@ def _oriented(features: DataFrame, order_key: Column) -> DataFrame:
     The half is chosen by a key of its own: splits and samples cut on the order key itself.
     """
     turned = F.substring(F.md5(F.concat(F.lit("side|"), order_key)), 1, 1) < "8"
-    vector = F.transform("difference", lambda x: F.when(turned, -x).otherwise(x))
+    vector = F.when(turned, F.transform("difference", lambda x: -x)).otherwise(F.col("difference"))
     return features.select(
         array_to_vector(vector).alias("features"), F.when(turned, 0.0).otherwise(1.0).alias("label")
     )
@@ -127,18 +126,26 @@ def score_with_model(
     return reduce(add, texts.items(), df)
 
 
-def score_with(df: DataFrame, scorer: BatchScorer, texts: dict[str, str]) -> DataFrame:
-    """Add a score column per text column with a user's batch function, in Arrow batches."""
-    scores = [T.StructField(score, T.DoubleType()) for score in texts.values()]
-    schema = T.StructType([*df.schema.fields, *scores])
-    names = schema.names
+def _with_scores(df: DataFrame, texts: dict[str, str], score: Callable[[pa.RecordBatch, str], np.ndarray]) -> DataFrame:
+    """Add a number per text column; the other columns stay Arrow, and a task holds a piece of a batch at a time."""
+    schema = T.StructType([*df.schema.fields, *[T.StructField(name, T.DoubleType()) for name in texts.values()]])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            added = {score: scorer(batch[text]).astype("float64") for text, score in texts.items()}
-            yield batch.assign(**added)[names]
+            for piece in text_pieces(batch, list(texts), SCORED_BYTES):
+                added = [pa.array(score(piece, text), pa.float64(), from_pandas=True) for text in texts]
+                yield pa.RecordBatch.from_arrays([*piece.columns, *added], names=schema.names)
+
+    return df.mapInArrow(run, schema)
+
 
-    return df.mapInPandas(run, schema)
+def score_with(df: DataFrame, scorer: BatchScorer, texts: dict[str, str]) -> DataFrame:
+    """Add a score column per text column with a user's batch function, in pieces of Arrow batches."""
+
+    def score(piece: pa.RecordBatch, text: str) -> np.ndarray:
+        return scorer(piece.column(text).to_pandas()).astype("float64").to_numpy()
+
+    return _with_scores(df, texts, score)
 
 
 def padded_batches(lengths: np.ndarray, budget: int) -> list[np.ndarray]:
@@ -158,27 +165,17 @@ def padded_batches(lengths: np.ndarray, budget: int) -> list[np.ndarray]:
 def score_within_budget(df: DataFrame, scorer: BatchScorer, texts: dict[str, str], budget: int) -> DataFrame:
     """``score_with`` for scorers that pad a batch to its longest text: no call gets more than ``budget`` padded tokens.
 
-    Tokens are what stands between white space, counted on the JVM side. Rows of an Arrow batch are scored in order of
+    Tokens are what stands between white space. Rows of a piece of an Arrow batch are scored in order of
     length, so that little is padded, and get their scores back by row number. A longer text is scored alone.
     """
-    counted = df
-    for text in texts:
-        counted = counted.withColumn(f"_n_{text}", F.size(whitespace_tokens(stripped(F.coalesce(text, F.lit(""))))))
-    scores = [T.StructField(score, T.DoubleType()) for score in texts.values()]
-    schema = T.StructType([*df.schema.fields, *scores])
-    names = schema.names
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            added = {}
-            for text, score in texts.items():
-                values = np.empty(len(batch))
-                for rows in padded_batches(batch[f"_n_{text}"].to_numpy(), budget):
-                    values[rows] = scorer(batch[text].iloc[rows].reset_index(drop=True)).astype("float64").to_numpy()
-                added[score] = values
-            yield batch.assign(**added)[names]
-
-    return counted.mapInPandas(run, schema)
+
+    def score(piece: pa.RecordBatch, text: str) -> np.ndarray:
+        series, values = piece.column(text).to_pandas(), np.empty(piece.num_rows)
+        for rows in padded_batches(token_numbers(piece.column(text)), budget):
+            values[rows] = scorer(series.iloc[rows].reset_index(drop=True)).astype("float64").to_numpy()
+        return values
+
+    return _with_scores(df, texts, score)
 
 
 def fit_fractions(

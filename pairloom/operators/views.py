@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.functions.text import ChatTemplate, chat_format, scoring_text, stripped, whitespace_tokens
+from pairloom.functions.text import ChatTemplate, chat_format, scoring_text
 from pairloom.settings import MAX_TEXT_TOKENS
 
 
@@ -52,31 +55,49 @@ def format_chats(view: DataFrame, template: ChatTemplate = ChatTemplate(), colum
 def cap_length(df: DataFrame, column: str, max_tokens: int) -> DataFrame:
     """Cut a text to its first whitespace tokens, joined by blanks, if it has too many.
 
-    Adds ``<column>_was_truncated``. Tokens are searched once per text and only up to the cap.
+    Adds ``<column>_was_truncated``. Tokens are searched once per text and only up to the cap, in Arrow batches.
     """
-    tokens, flag = f"_{column}_tokens", f"{column}_was_truncated"
-    found = df.withColumn(tokens, stripped(F.col(column))).withColumn(
-        tokens, whitespace_tokens(F.col(tokens), max_tokens + 1)
-    )
-    capped = F.array_join(F.slice(tokens, 1, max_tokens), " ")
+    cut, flag = f"_{column}_cut", f"{column}_was_truncated"
     return (
-        found.withColumn(flag, F.size(tokens) > max_tokens)
-        .withColumn(column, F.when(F.col(flag), capped).otherwise(F.col(column)))
-        .drop(tokens)
+        df.withColumn(cut, _cut_after(max_tokens)(F.col(column)))
+        .withColumn(flag, F.when(F.col(column).isNotNull(), F.col(cut).isNotNull()))
+        .withColumn(column, F.coalesce(cut, column))
+        .drop(cut)
     )
 
 
+def _cut_after(max_tokens: int):
+    """Column function: the first tokens of a text that has more of them, joined by blanks; otherwise null.
+
+    Bytes are split at ASCII white space, as ``\\s`` does in Java.
+    """
+
+    def cut(text: bytes | None) -> bytes | None:
+        tokens = text.split(None, max_tokens) if text is not None else []
+        return b" ".join(tokens[:max_tokens]) if len(tokens) > max_tokens else None
+
+    @F.arrow_udf("string")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([cut(t) for t in texts.cast(pa.binary()).to_pylist()], pa.binary()).cast(pa.string())
+
+    return run
+
+
 def capped_scoring_texts(
-    pairs: DataFrame, max_tokens: int = MAX_TEXT_TOKENS, template: ChatTemplate = ChatTemplate()
+    pairs: DataFrame,
+    max_tokens: int = MAX_TEXT_TOKENS,
+    template: ChatTemplate = ChatTemplate(),
+    sides: Sequence[str] = ("chosen", "rejected"),
 ) -> DataFrame:
     """``chosen_text`` and ``rejected_text``: the chat-formatted prompt and a response, each cut to the cap on its own.
 
     Adds ``chosen_text_was_truncated`` and ``rejected_text_was_truncated``. A null prompt or response gives a null text.
+    ``sides`` names the responses to do, where they come one after the other.
     """
     prompt = chat_format(F.col("prompt"), template)
-    for side in ("chosen", "rejected"):
+    for side in sides:
         pairs = pairs.withColumn(f"{side}_text", scoring_text(prompt, F.col(side)))
-    for side in ("chosen", "rejected"):
+    for side in sides:
         pairs = cap_length(pairs, f"{side}_text", max_tokens)
     return pairs
 
