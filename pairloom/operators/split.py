@@ -89,15 +89,18 @@ def split_pairs(
     category: str | None = "prompt_category",
     id_column: str = "pair_id",
     digits: int = DIGITS,
+    slim: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``split`` ('train' or 'val') and ``row_key``; ceil(n * val_fraction) rows are 'val'.
 
     The choice depends on the seed and the rows alone. A category of None gives a plain random
     split; so does a category table too sparse to stratify. If the cut falls among rows with one
-    id, those rows alone are ordered by their content as well.
+    id, those rows alone are ordered by their content as well. ``slim`` may give the same rows in a form that costs less
+    to derive, with ids and categories; the cut is then found there.
     """
     rows = _keyed(df, seed, category, id_column)
-    found = _find_cut(rows, val_fraction, category is not None, digits)
+    keys = rows if slim is None or id_column not in df.columns else _keyed(slim, seed, category, id_column)
+    found = _find_cut(keys, val_fraction, category is not None, digits)
     if found is not None and found.divided and id_column in df.columns:
         rows = content_at_ties(rows, found.cuts, found.fits, df.columns)
         found = _find_cut(rows, val_fraction, category is not None, digits)

@@ -1,3 +1,11 @@
+import random
+import string
+
+from pyspark.sql import functions as F
+
+from __spark_entry__ import queries
+from pairloom.functions.text import packed, unpacked
+from pairloom.operators import split
 from pairloom.queries import tables
 
 
@@ -23,3 +31,67 @@ def test_an_unread_text_does_not_move(spark, tmp_path):
         for order in (("prompt", "chosen", "rejected"), ("rejected", "prompt", "chosen"), ("chosen", "rejected", "prompt"))
     ]
     assert frames[0] == frames[1] == frames[2] and len(frames[0]) == 8
+
+
+def _bytes_shuffled(df):
+    df.collect()
+
+    def of(plan):
+        if plan.nodeName().startswith("AdaptiveSparkPlan"):
+            return of(plan.executedPlan())
+        if plan.nodeName().endswith("QueryStage"):
+            return of(plan.plan())
+        own = plan.metrics().apply("shuffleBytesWritten").value() if plan.nodeName() == "Exchange" else 0
+        children = plan.children()
+        return own + sum(of(children.apply(i)) for i in range(children.size()))
+
+    return of(df._jdf.queryExecution().executedPlan())
+
+
+def _annotated(spark, folder, documents, events):
+    spark.createDataFrame(documents, "doc_id long, text string, lang string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(events, "event_id long, event_type string, value double, props string").write.parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+def _rows(df):
+    return sorted(map(repr, df.collect()))
+
+
+def test_whole_pairs_are_the_pairs(spark, tmp_path, monkeypatch):
+    """Documents and events that come twice, lack an id or a text, and a prompt with more pairs than a cell holds."""
+    monkeypatch.setattr(tables, "PAIRS_PER_CELL", 3)
+    documents = [(i % 37 if i != 5 else None, f"text {i} é" * (i % 4) if i % 11 else None, "en", i) for i in range(42)]
+    ids = [*range(60), *[42 * 10 * i + 3 for i in range(40)], 7, 7, None]
+    events = [(i, "view", 1.0 + (k % 5), f'{{"k": {k % 20}}}') for k, i in enumerate(ids)]
+    folder = _annotated(spark, tmp_path, documents, events)
+    plain = tables.preference_pairs(spark, folder)
+    whole = tables.whole_pairs(tables.pair_events(spark, folder), folder)
+    assert whole.dtypes == plain.dtypes
+    assert len(_rows(plain)) > 80 and _rows(whole) == _rows(plain)
+    seeds = range(4)
+    slim = [_rows(split.split_pairs(whole, seed=s, slim=plain)) for s in seeds]
+    assert slim == [_rows(split.split_pairs(plain, seed=s)) for s in seeds]
+
+
+def test_a_pair_moves_without_its_texts(spark, tmp_path):
+    words = random.Random(1)
+    documents = [(i, "".join(words.choices(string.printable, k=10_000)), "en", 10_000) for i in range(42)]
+    events = [(i, "view", 10.0, '{"k": 5}') for i in range(840)]
+    folder = _annotated(spark, tmp_path, documents, events)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        view = queries()["reward_view"](spark, folder)
+        assert _bytes_shuffled(view) < 4_000_000  # 25 MB of texts are returned
+        assert view.count() == 840
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_packed_texts_come_back(spark):
+    texts = ["", "a", "é中\n" * 5_000, None] * 200
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
+    moved = rows.select("i", packed(F.col("t")).alias("t"))
+    assert _rows(unpacked(moved, ["t"], rows=7)) == _rows(rows)
+    assert moved.where("length(t) > 1000").isEmpty()
