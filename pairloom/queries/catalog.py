@@ -195,7 +195,7 @@ def stage_record_reward(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _written_counts(spark: SparkSession, sf_dir: str) -> tuple[CuratedData, dict[str, dict[str, int]]]:
-    labelled = stored(_labelled(spark, sf_dir, PROMPT_LAST), "labelled")
+    labelled = stored(_labelled_whole(spark, sf_dir), "labelled")
     data = CuratedData(tables.preference_pairs(spark, sf_dir), labelled, CurationSettings())
     return data, data.write_counted_views(scratch_path(spark, "views"))
 

@@ -2,6 +2,7 @@ import random
 import string
 
 from pyspark.sql import functions as F
+from shuffled import bytes_shuffled
 
 from __spark_entry__ import queries
 from pairloom.functions.text import packed, unpacked
@@ -33,21 +34,6 @@ def test_an_unread_text_does_not_move(spark, tmp_path):
     assert frames[0] == frames[1] == frames[2] and len(frames[0]) == 8
 
 
-def _bytes_shuffled(df):
-    df.collect()
-
-    def of(plan):
-        if plan.nodeName().startswith("AdaptiveSparkPlan"):
-            return of(plan.executedPlan())
-        if plan.nodeName().endswith("QueryStage"):
-            return of(plan.plan())
-        own = plan.metrics().apply("shuffleBytesWritten").value() if plan.nodeName() == "Exchange" else 0
-        children = plan.children()
-        return own + sum(of(children.apply(i)) for i in range(children.size()))
-
-    return of(df._jdf.queryExecution().executedPlan())
-
-
 def _annotated(spark, folder, documents, events):
     spark.createDataFrame(documents, "doc_id long, text string, lang string, n_chars long").write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(events, "event_id long, event_type string, value double, props string").write.parquet(f"{folder}/events.parquet")
@@ -83,7 +69,7 @@ def test_a_pair_moves_without_its_texts(spark, tmp_path):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         view = queries()["reward_view"](spark, folder)
-        assert _bytes_shuffled(view) < 4_000_000  # 25 MB of texts are returned
+        assert bytes_shuffled(view) < 4_000_000  # 25 MB of texts are returned
         assert view.count() == 840
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
