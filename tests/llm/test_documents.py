@@ -5,7 +5,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from shuffled import bytes_shuffled
 from support import awkward, empty, sentence
 
 import corpus_pipeline
@@ -25,6 +27,7 @@ from pairloom.llm.decontaminate import (
 from pairloom.llm.line_templates import CONSTANT, WILD, alike, leading, recurring, without_recurring_lines
 from pairloom.llm.packing import pack, packed_plan, with_word_counts
 from pairloom.llm.sharding import hilbert_index, hilbert_shards
+from pairloom.session import stored
 
 
 def test_hilbert_curve_visits_every_cell_by_single_steps():
@@ -375,3 +378,20 @@ def test_pipeline_takes_each_decision(spark, tmp_path, benchmark):
     kept = {r.doc_id for r in plan}
     assert kept == {i for i in range(80) if i not in range(0, 40, 2) and i != 5}
     assert sum(r.n_tokens for r in plan) == sum(len(docs[i].split()) for i in kept)
+
+
+def test_texts_stay_where_near_duplicates_go(spark):
+    """Few documents go, so their ids are sent to the texts, and ids that come twice as well."""
+    words = random.Random(2)
+    rows = [(i, " ".join(f"{words.getrandbits(64):x}" for _ in range(600))) for i in range(300)]
+    rows += [(300 + i, rows[i][1]) for i in range(3)] + [rows[7], (8, "another text of this id"), (None, rows[9][1])]
+    docs = stored(spark.createDataFrame(rows, "doc_id long, text string"), "docs")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = corpus_pipeline.near_duplicates(spark, docs, "")
+        assert bytes_shuffled(kept) < 200_000  # 3 MB of texts are returned
+        found = sorted(kept.collect(), key=repr)
+        assert found == sorted((Row(doc_id=i, text=t) for i, t in {*rows} if i is None or i < 300), key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
