@@ -256,29 +256,42 @@ def test_matches_against_all_windows():
     assert {(r[0], r[1]): r[4] for r in got} == pytest.approx(expected) and len(expected) > 8
 
 
-@pytest.mark.parametrize("entries", [6_000_000, 40])
-def test_latent_space_is_that_of_all_documents(spark, monkeypatch, entries):
-    """Against the eigenvectors of A'A, from the passages of every document and of the benchmark."""
-    monkeypatch.setattr(decontaminate, "SAMPLE_DOCS", 3)
-    monkeypatch.setattr(decontaminate, "BAND_ENTRIES", entries, raising=False)
+def documents_and_their_space(spark, rank):
+    """Documents, a benchmark of twenty words, and products of the latent vectors of all passages, by the eigenvectors of A'A."""
     rng = random.Random(43)
     words = [f"w{i}" for i in range(20)]
     items = [words[:11], words[9:]]
     docs = [[rng.choice([*words[i % 9 :], "other", "--"]) for _ in range(rng.randrange(150))] for i in range(40)]
     texts = spark.createDataFrame([*enumerate(map(" ".join, docs)), (40, None)], "doc_id long, text string").repartition(5)
     some = spark.createDataFrame(list(enumerate(map(" ".join, items))), "item_id long, text string")
-    searcher = next(decontaminate.searchers(texts, some, 4, 10))[0]
     terms = sorted(words)
-    frequencies = np.array([sum(t in d for d in docs) for t in terms])
-    idf = decontaminate.term_weights(frequencies, 41)
+    idf = decontaminate.term_weights(np.array([sum(t in d for d in docs) for t in terms]), 41)
     rows = []
     for text in [[w for w in d if w != "--"] for d in docs] + items:
         for at in range(0, len(text), 32):
             n = np.array([text[at : at + 32].count(t) for t in terms])
             row = np.where(n > 0, 1 + np.log(np.maximum(n, 1)), 0) * idf
             rows.append(row / max(np.linalg.norm(row), 1e-12))
-    space = np.linalg.eigh(np.array(rows).T @ np.array(rows))[1][:, -4:] * idf[:, None]
-    assert np.allclose(searcher.vectors @ searcher.vectors.T, space @ space.T, atol=1e-5)
+    space = np.linalg.eigh(np.array(rows).T @ np.array(rows))[1][:, -rank:] * idf[:, None]
+    return texts, some, space @ space.T
+
+
+@pytest.mark.parametrize("entries", [6_000_000, 40])
+def test_latent_space_is_that_of_all_documents(spark, monkeypatch, entries):
+    monkeypatch.setattr(decontaminate, "SAMPLE_DOCS", 3)
+    monkeypatch.setattr(decontaminate, "BAND_ENTRIES", entries, raising=False)
+    texts, some, expected = documents_and_their_space(spark, 4)
+    vectors = next(decontaminate.searchers(texts, some, 4, 10))[0].vectors
+    assert np.allclose(vectors @ vectors.T, expected, atol=1e-5)
+
+
+def test_documents_are_decontaminated_by_the_space_of_all(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(decontaminate, "SAMPLE_DOCS", 3)
+    monkeypatch.setattr(decontaminate, "block_clean", lambda docs, searcher: seen.append(searcher.vectors) or docs)
+    texts, some, expected = documents_and_their_space(spark, 4)
+    assert decontaminated(texts, some, rank=4).count() == 41
+    assert np.allclose(seen[0] @ seen[0].T, expected, atol=1e-5)
 
 
 def test_recall_of_copies_and_paraphrases(spark, monkeypatch):
