@@ -142,8 +142,7 @@ def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def view_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    data = CuratedData(tables.preference_pairs(spark, sf_dir), _labelled(spark, sf_dir, PROMPT_LAST), CurationSettings())
-    paths = data.write_views(scratch_path(spark, "views"))
+    paths = _whole_data(spark, sf_dir).write_views(scratch_path(spark, "views"))
     stored = [
         sinks.read_view(spark, paths["sft"]).select("split", F.lit("sft").alias("view"), "prompt", "category"),
         sinks.read_view(spark, paths["reward"]).select("split", F.lit("reward").alias("view"), "prompt", "category"),
@@ -194,9 +193,14 @@ def stage_record_reward(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(_reward_record(spark, sf_dir).select("stage", "num_epochs", "usable_pairs", "eval.*"))
 
 
-def _written_counts(spark: SparkSession, sf_dir: str) -> tuple[CuratedData, dict[str, dict[str, int]]]:
+def _whole_data(spark: SparkSession, sf_dir: str) -> CuratedData:
+    """Curated pairs with all texts, stored once for all views."""
     labelled = stored(_labelled_whole(spark, sf_dir), "labelled")
-    data = CuratedData(tables.preference_pairs(spark, sf_dir), labelled, CurationSettings())
+    return CuratedData(tables.preference_pairs(spark, sf_dir), labelled, CurationSettings())
+
+
+def _written_counts(spark: SparkSession, sf_dir: str) -> tuple[CuratedData, dict[str, dict[str, int]]]:
+    data = _whole_data(spark, sf_dir)
     return data, data.write_counted_views(scratch_path(spark, "views"))
 
 

@@ -10,15 +10,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.session import cut_lineage
+from pairloom.session import TEXT_FILES, cut_lineage
 
 SPACE = re.compile(r"\s*")
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 BEGIN = re.compile(r"\n(?=[{\[])")
 
 
 def write_view(view: DataFrame, path: str) -> None:
-    """Parquet, one folder per split; texts are most of it, so it is compressed with Zstandard."""
-    view.write.mode("overwrite").option("compression", "zstd").partitionBy("split").parquet(path)
+    """Parquet, one folder per split; texts are most of it, so files are as TEXT_FILES says.
+
+    Files of both splits are open at once, so that rows need no sort by their split and stay in order.
+    """
+    conf = view.sparkSession.conf
+    before = conf.get(OPEN_FILES, None)
+    conf.set(OPEN_FILES, 2)
+    try:
+        view.write.mode("overwrite").options(**TEXT_FILES).partitionBy("split").parquet(path)
+    finally:
+        conf.unset(OPEN_FILES) if before is None else conf.set(OPEN_FILES, before)
 
 
 def write_counted(view: DataFrame, path: str, splits: tuple[str, ...] = ("train", "val")) -> dict[str, int]:
