@@ -17,17 +17,20 @@ from pairloom.sources.sinks import write_counted, write_view
 
 @dataclass(frozen=True)
 class CuratedData:
+    """``prompts`` may give the view of distinct prompts in a form that costs less to derive."""
+
     raw: DataFrame
     labelled: DataFrame
     settings: CurationSettings
     source_files: tuple[str, ...] = ()
+    prompts: DataFrame | None = None
 
     @property
     def views(self) -> dict[str, DataFrame]:
         return {
             "sft": supervised_view(self.labelled),
             "reward": reward_view(self.labelled),
-            "ppo": prompt_view(self.labelled),
+            "ppo": prompt_view(self.labelled) if self.prompts is None else self.prompts,
         }
 
     def view(self, name: str, split: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pairloom.plans.curation import CuratedData
 from pairloom.plans.curve import run_learning_curve
 from pairloom.plans.records import stage_record, training_record
 from pairloom.queries import tables
-from pairloom.session import scratch_path, stored
+from pairloom.session import scratch_path, shuffles_freed, stored
 from pairloom.settings import (
     CURVE_VAL_FRACTION,
     MAX_LOSS_FOR_PERPLEXITY,
@@ -195,8 +195,10 @@ def stage_record_reward(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _whole_data(spark: SparkSession, sf_dir: str) -> CuratedData:
     """Curated pairs with all texts, stored once for all views."""
-    labelled = stored(_labelled_whole(spark, sf_dir), "labelled")
-    return CuratedData(tables.preference_pairs(spark, sf_dir), labelled, CurationSettings())
+    with shuffles_freed(spark):
+        labelled = stored(_labelled_whole(spark, sf_dir), "labelled")
+    prompts = tables.distinct_prompts(labelled, sf_dir)
+    return CuratedData(tables.preference_pairs(spark, sf_dir), labelled, CurationSettings(), prompts=prompts)
 
 
 def _written_counts(spark: SparkSession, sf_dir: str) -> tuple[CuratedData, dict[str, dict[str, int]]]:

@@ -10,10 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.session import TEXT_FILES, cut_lineage
+from pairloom.session import TEXT_FILES, cut_lineage, settings, shuffles_freed
 
 SPACE = re.compile(r"\s*")
-OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 BEGIN = re.compile(r"\n(?=[{\[])")
 
 
@@ -22,13 +21,9 @@ def write_view(view: DataFrame, path: str) -> None:
 
     Files of both splits are open at once, so that rows need no sort by their split and stay in order.
     """
-    conf = view.sparkSession.conf
-    before = conf.get(OPEN_FILES, None)
-    conf.set(OPEN_FILES, 2)
-    try:
+    spark = view.sparkSession
+    with settings(spark, spark_sql_maxConcurrentOutputFileWriters="2"), shuffles_freed(spark):
         view.write.mode("overwrite").options(**TEXT_FILES).partitionBy("split").parquet(path)
-    finally:
-        conf.unset(OPEN_FILES) if before is None else conf.set(OPEN_FILES, before)
 
 
 def write_counted(view: DataFrame, path: str, splits: tuple[str, ...] = ("train", "val")) -> dict[str, int]:

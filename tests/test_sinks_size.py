@@ -4,7 +4,7 @@ import string
 from pyarrow.parquet import ParquetFile
 
 from pairloom.session import stored
-from pairloom.sources.sinks import OPEN_FILES, read_view, write_view
+from pairloom.sources.sinks import read_view, write_view
 
 
 def _codecs(folder):
@@ -29,4 +29,4 @@ def test_a_text_that_comes_again_is_stored_once(spark, tmp_path):
     found = read_view(spark, f"{tmp_path}/view")
     assert sorted(found.select("split", "prompt").collect()) == sorted(view.collect())
     assert [r.prompt for r in read_view(spark, f"{tmp_path}/view", "val").collect()] == [t for s, t in rows if s == "val"]
-    assert spark.conf.get(OPEN_FILES) == "0"
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"

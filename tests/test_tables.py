@@ -6,8 +6,10 @@ from shuffled import bytes_shuffled
 
 from __spark_entry__ import queries
 from pairloom.functions.text import packed, unpacked
-from pairloom.operators import split
+from pairloom.operators import split, views
 from pairloom.queries import tables
+from pairloom.session import shuffles_freed, stored
+from pairloom.sources import sinks
 
 
 def _shuffles(df):
@@ -75,6 +77,33 @@ def test_a_pair_moves_without_its_texts(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_distinct_prompts_move_without_their_pairs(spark, tmp_path):
+    """Documents that come twice, lack an id or a text; the view is that of the pairs."""
+    words = random.Random(3)
+    texts = ["".join(words.choices(string.printable, k=10_000)) for _ in range(42)]
+    documents = [(i % 37 if i != 5 else None, texts[i % 37] if i % 11 else None, "en", i % 37) for i in range(42)]
+    documents = [d for d in documents if d[0] != 0]
+    folder = _annotated(spark, tmp_path, documents, [(i, "view", 10.0, '{"k": 5}') for i in range(840)])
+    labelled = stored(split.split_pairs(tables.preference_pairs(spark, folder)).repartition(8), "labelled")
+    prompts = tables.distinct_prompts(labelled, folder)
+    assert bytes_shuffled(prompts) < 500_000  # 630 KB of prompts come from 8 tasks otherwise
+    assert _rows(prompts) == _rows(views.prompt_view(labelled)) and prompts.count() > 10
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {x for x in files.mkString("\n").split("\n") if "/shuffle_" in x}
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark, tmp_path):
+    before = _shuffle_files(spark)
+    rows = spark.range(1000).repartition(4, "id")
+    with shuffles_freed(spark):
+        assert stored(rows, "freed").count() == 1000
+    sinks.write_view(rows.selectExpr("id", "'val' split").repartition(3, "id"), f"{tmp_path}/view")
+    assert not _shuffle_files(spark) - before
+
+
 def test_packed_texts_come_back(spark):
     texts = ["", "a", "é中\n" * 5_000, None] * 200
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
