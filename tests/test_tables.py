@@ -1,5 +1,6 @@
 import random
 import string
+from pathlib import Path
 
 from pyspark.sql import functions as F
 from shuffled import bytes_shuffled
@@ -7,9 +8,9 @@ from shuffled import bytes_shuffled
 from __spark_entry__ import queries
 from pairloom.functions.text import packed, unpacked
 from pairloom.operators import split, views
-from pairloom.queries import tables
+from pairloom.queries import catalog, tables
 from pairloom.session import shuffles_freed, stored
-from pairloom.sources import sinks
+from pairloom.sources import preference_csv, sinks
 
 
 def _shuffles(df):
@@ -104,6 +105,23 @@ def test_shuffle_files_go_when_a_table_is_written(spark, tmp_path):
     assert not _shuffle_files(spark) - before
 
 
+def test_annotation_files_hold_equal_texts_side_by_side(spark, tmp_path):
+    words = random.Random(4)
+    documents = [(i, "".join(words.choices(string.ascii_letters, k=3_000)), "en", 3_000) for i in range(84)]
+    events = [(i, ("view", "error", "purchase", None)[i % 4], 10.0, '{"k": 5}') for i in range(1680)]
+    folder = _annotated(spark, tmp_path, documents, events)
+    written = catalog._csv_folder("a test", folder)
+    size = sum(f.stat().st_size for f in Path(written.removeprefix("file:")).glob("*.gz"))
+    assert size < 3_500_000  # 11 MB of texts
+    ids = preference_csv.read_preference_csv(spark, written).select("pair_id", "prompt", "chosen", "rejected", "rejected_temperature", "note")
+    pairs = tables.preference_pairs(spark, folder).where("event_type IS NOT NULL")
+    plain = pairs.selectExpr(
+        "string(pair_id) pair_id", "prompt", "chosen", "rejected",
+        "if(event_type = 'purchase', null, rejected_temperature) rejected_temperature", "if(event_type = 'error', 'error', null) note",
+    )
+    assert _rows(ids) == _rows(plain) and ids.count() == 1260
+
+
 def test_packed_texts_come_back(spark):
     texts = ["", "a", "é中\n" * 5_000, None] * 200
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
