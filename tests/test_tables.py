@@ -120,6 +120,7 @@ def test_annotation_files_hold_equal_texts_side_by_side(spark, tmp_path):
         "if(event_type = 'purchase', null, rejected_temperature) rejected_temperature", "if(event_type = 'error', 'error', null) note",
     )
     assert _rows(ids) == _rows(plain) and ids.count() == 1260
+    assert preference_csv.source_provenance(spark, written).agg({"rows": "sum"}).first()[0] == 1260
 
 
 def test_packed_texts_come_back(spark):
